@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import relational
+from . import campaign, learning, matching, relational, storage
 
-_PARTS = (relational,)
+_PARTS = (relational, storage, campaign, matching, learning)
 
 
 def all_queries() -> dict:

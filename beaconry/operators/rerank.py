@@ -42,76 +42,73 @@ def _texts(values: Sequence[str]) -> Column:
     return F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")
 
 
-def item_order(items: Sequence[Item], allowed: Sequence[str], scores: Column, is_model_group: Column,
-               shuffle_by: Sequence[str], draw: Column, salt: str) -> Column:
-    """Array of struct(item_id, score, rank) for one channel slot.
-
-    Scored items in order of probability, restricted to the allowed ones; if none is left,
-    the allowed list itself. Groups not chosen by the model get a shuffled list. With the
-    configured share an item is put first, and only then disabled items are removed.
-    """
-    by_label = {item.label: item for item in items if item.label >= 0}
-    labels = sorted(label for label, item in by_label.items() if not allowed or item.main_id in allowed)
-    pairs = [
-        F.struct((-F.get(scores, label)).alias("down"), F.lit(label).alias("label"),
-                 F.lit(by_label[label].main_id).alias("item_id"))
-        for label in labels
-    ]
-    if pairs:
-        present = F.filter(F.array(*pairs), lambda p: p["label"] < F.size(scores))
-        ids = F.transform(F.array_sort(present), lambda p: p["item_id"])
-    else:
-        ids = _texts([])
-    if allowed:
-        ids = F.when(F.size(ids) > 0, ids).otherwise(_texts(allowed))
-    drawn = F.transform(ids, lambda i: F.struct(unit_hash(salt, *shuffle_by, i).alias("draw"), i.alias("item_id")))
-    ids = F.when(is_model_group, ids).otherwise(F.transform(F.array_sort(drawn), lambda p: p["item_id"]))
-
+def _first_item(items: Sequence[Item], allowed: Sequence[str], draw: Column) -> Column:
+    """Item the draw forces to the front; null for the users whose order stays."""
     forced = [i for i in items if i.prop > 0 and (not allowed or i.main_id in allowed)]
-    if forced:
-        bounds = accumulate(item.prop for item in forced)
-        first = case_of([(draw < bound, F.lit(item.main_id)) for item, bound in zip(forced, bounds)])
-        enabled = _texts([item.main_id for item in items if item.enable])
-        moved = F.filter(F.concat(F.array(first), F.array_remove(ids, first)), lambda i: F.array_contains(enabled, i))
-        ids = F.when(first.isNull(), ids).otherwise(moved)
+    if not forced:
+        return F.lit(None).cast("string")
+    bounds = accumulate(item.prop for item in forced)
+    return case_of([(draw < bound, F.lit(item.main_id)) for item, bound in zip(forced, bounds)])
 
-    known = {item_id: item.label for item in by_label.values() for item_id in item.item_ids}
-    label_of = F.create_map(*[F.lit(x) for pair in known.items() for x in pair]) if known else None
 
-    def scored(item_id: Column, position: Column) -> Column:
-        label = F.try_element_at(label_of, item_id) if known else F.lit(None).cast("int")
-        score = F.coalesce(F.get(scores, label), F.lit(0.0))
-        return F.struct(item_id.alias("item_id"), score.cast("double").alias("score"), position.alias("rank"))
-
-    return F.transform(ids, scored)
+def _by_slot(channels: Sequence[ChannelItems], value, default: Column) -> Column:
+    tests = [
+        ((F.col("channel_id") == c.channel_id) & (F.col("banner_id") == c.banner_id), value(c))
+        for c in channels
+        if c.items
+    ]
+    return case_of(tests, default) if tests else default
 
 
 def rerank(df: DataFrame, items: Sequence[Item], channels: Sequence[ChannelItems], scores: str = "probability",
            salt: str = "rerank") -> DataFrame:
     """One row per user, channel slot and item with score and rank from 0.
 
+    Scored items come in order of probability, restricted to those the slot allows; if none
+    is left, the allowed list itself. Groups not chosen by the model get a shuffled list.
+    With the configured share an item is put first, and only then disabled items go.
+
     Works row by row on arrays as short as the item list; nothing is shuffled but the
     de-duplication of the slots.
     """
-    slots = df.withColumn("banner_id", F.coalesce("banner_id", F.lit("")))
-    slots = slots.dropDuplicates(["user_id", "channel_id", "banner_id"])
     keys = ["user_id", "channel_id", "banner_id"]
-    is_model_group = F.col("user_type") == MODEL_GROUP
-    draw = unit_hash(f"{salt}|first", *keys)
-
-    def order_for(allowed: Sequence[str]) -> Column:
-        return item_order(items, allowed, F.col(scores), is_model_group, keys, draw, salt)
+    by_label = {item.label: item for item in items if item.label >= 0}
+    known = {item_id: item.label for item in by_label.values() for item_id in item.item_ids}
+    labels = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
+    enabled = _texts([item.main_id for item in items if item.enable])
+    probability = F.col(scores)
 
-    branches = [
-        ((F.col("channel_id") == c.channel_id) & (F.col("banner_id") == c.banner_id), order_for(c.items))
-        for c in channels
-        if c.items
-    ]
-    order = case_of(branches, order_for(())) if branches else order_for(())
+    slots = df.withColumn("banner_id", F.coalesce("banner_id", F.lit(""))).dropDuplicates(keys)
     kept = [c for c in slots.columns if c != scores]
-    return (
-        slots.withColumn("_order", order)
-        .select(*kept, F.explode("_order").alias("_item"))
-        .select(*kept, "_item.*")
-        .where(F.col("item_id").isNotNull())
+    slots = slots.withColumn("_allowed", _by_slot(channels, lambda c: _texts(c.items), _texts([])))
+
+    candidates = F.array(*[
+        F.struct((-F.get(probability, label)).alias("down"), F.lit(label).alias("label"), F.lit(item.main_id).alias("item_id"))
+        for label, item in sorted(by_label.items())
+    ])
+    usable = F.filter(
+        candidates,
+        lambda p: (p["label"] < F.size(probability))
+        & ((F.size("_allowed") == 0) | F.array_contains("_allowed", p["item_id"])),
     )
+    slots = slots.withColumn("_scored", F.transform(F.array_sort(usable), lambda p: p["item_id"]))
+    slots = slots.withColumn("_ids", F.when(F.size("_scored") > 0, F.col("_scored")).otherwise(F.col("_allowed")))
+
+    drawn = F.transform("_ids", lambda i: F.struct(unit_hash(salt, *keys, i).alias("draw"), i.alias("item_id")))
+    mixed = F.transform(F.array_sort(drawn), lambda p: p["item_id"])
+    slots = slots.withColumn("_order", F.when(F.col("user_type") == MODEL_GROUP, F.col("_ids")).otherwise(mixed))
+
+    if any(item.prop > 0 for item in items):
+        slots = slots.withColumn("_draw", unit_hash(f"{salt}|first", *keys))
+        draw = F.col("_draw")
+        slots = slots.withColumn("_first", _by_slot(channels, lambda c: _first_item(items, c.items, draw), _first_item(items, (), draw)))
+        front = F.concat(F.array("_first"), F.array_remove("_order", F.col("_first")))
+        moved = F.filter(front, lambda i: F.array_contains(enabled, i))
+        slots = slots.withColumn("_order", F.when(F.col("_first").isNull(), F.col("_order")).otherwise(moved))
+
+    def scored(item_id: Column, position: Column) -> Column:
+        score = F.coalesce(F.get(probability, F.try_element_at(labels, item_id)), F.lit(0.0))
+        return F.struct(item_id.alias("item_id"), score.cast("double").alias("score"), position.alias("rank"))
+
+    ranked = slots.withColumn("_item", F.explode(F.transform("_order", scored)))
+    return ranked.select(*kept, "_item.*").where(F.col("item_id").isNotNull())

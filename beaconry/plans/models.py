@@ -25,9 +25,9 @@ def _as_vector(df: DataFrame, features: str) -> DataFrame:
 
 def fit_propensity(df: DataFrame, features: str = FEATURES, seed: int = 7, **params) -> GBTClassificationModel:
     """Binary gradient-boosted trees."""
-    trainer = GBTClassifier(labelCol=LABEL, featuresCol=_VECTOR, predictionCol="_class", probabilityCol=_RAW,
-                            rawPredictionCol="_margin", seed=seed, **{"maxIter": 20, "maxDepth": 4, **params})
-    return trainer.fit(_as_vector(df.select(features, LABEL), features))
+    trainer = GBTClassifier(labelCol=LABEL, featuresCol=_VECTOR, predictionCol="_class", seed=seed,
+                            **{"maxIter": 20, "maxDepth": 4, **params})
+    return trainer.setProbabilityCol(_RAW).setRawPredictionCol("_margin").fit(_as_vector(df.select(features, LABEL), features))
 
 
 def with_labels(df: DataFrame, labels: dict[str, int], product: str = "prod_id") -> DataFrame:

@@ -6,14 +6,15 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import ymd
 from ..operators.aggregates import days_with_any
-from ..operators.dimensions import with_each
+from ..operators.dimensions import rows_to_frame, with_each
 from ..operators.filters import anti, blank_keys
 from ..operators.ranking import ranked
-from .calendar import DAILY_PUSHES
+from .calendar import DAILY_PUSHES, blocked_from, push_plan
 
 SLOT = ["channel_id", "banner_id"]
 USER_SLOT = ["user_id", *SLOT]
@@ -30,6 +31,7 @@ class ChannelState:
     plan_push: int
     days_remain: int
     blocked_from: str
+    daily: bool
     limits: Mapping[str, int] = field(default_factory=dict)  # users per group; absent: not pushed
 
     def row(self) -> dict:
@@ -37,6 +39,25 @@ class ChannelState:
                 "plan_push": self.plan_push, "_limits": dict(self.limits)}
 
 
+def channel_states(spark: SparkSession, batch: str, react_delay: int, channels: Sequence[Mapping[str, object]]) -> list[ChannelState]:
+    """Plan of every configured slot on the day of the batch (yyyyMMdd).
+
+    channels: channel_id, banner_id, max_push, feedback_delay, push_delay, limits.
+    """
+    rows = [{k: v for k, v in c.items() if k != "limits"} for c in channels]
+    schema = "channel_id string, banner_id string, max_push int, feedback_delay int, push_delay int"
+    day = F.to_date(F.lit(batch), "yyyyMMdd")
+    frame = rows_to_frame(spark, rows, schema).withColumn("batch", day)
+    blocked = blocked_from(F.col("batch"), react_delay, F.col("feedback_delay"), F.col("push_delay"))
+    plan = push_plan(frame, "batch", "max_push", react_delay).withColumn("blocked_from", ymd(blocked)).collect()
+    limits = {(c["channel_id"], c["banner_id"]): c["limits"] for c in channels}
+    return [
+        ChannelState(r["channel_id"], r["banner_id"], r["month_push"], r["plan_push"], r["days_remain"], r["blocked_from"],
+                     r["max_push"] >= DAILY_PUSHES, limits[(r["channel_id"], r["banner_id"])])
+        for r in plan
+    ]
+
+
 def candidate_state(pool: DataFrame, channels: Sequence[ChannelState], pushes: DataFrame, sends: DataFrame,
                     start: str, end: str, delivered_rank: int = 0) -> DataFrame:
     """The best users of every group and slot up to its limit, with pushes tried and arrived.
@@ -61,7 +82,7 @@ def candidate_state(pool: DataFrame, channels: Sequence[ChannelState], pushes: D
 def without_open_pushes(state: DataFrame, channels: Sequence[ChannelState], pushes: DataFrame, end: str,
                         delivered_rank: int = 0) -> DataFrame:
     """Drop users whose last pushes may still be under way; slots pushed daily keep everyone."""
-    waiting = [c for c in channels if c.max_push < DAILY_PUSHES]
+    waiting = [c for c in channels if not c.daily]
     if not waiting:
         return state
     tests = [

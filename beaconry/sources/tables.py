@@ -44,7 +44,7 @@ def drift(stored: T.StructType, declared: T.StructType) -> list[str]:
     return found
 
 
-def create_table(spark: SparkSession, spec: TableSpec) -> None:
+def create_table(spark: SparkSession, spec: TableSpec, location: str | None = None) -> None:
     """Create the table if it is not there; a stored table with other columns is an error,
     nothing is dropped silently."""
     if spark.catalog.tableExists(spec.name):
@@ -54,7 +54,8 @@ def create_table(spark: SparkSession, spec: TableSpec) -> None:
         return
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.schema)
     keys = f" PARTITIONED BY ({', '.join(spec.partitions)})" if spec.partitions else ""
-    spark.sql(f"CREATE TABLE {spec.name} ({columns}) USING parquet{keys}")
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE {spec.name} ({columns}) USING parquet{keys}{place}")
 
 
 def conform(df: DataFrame, spec: TableSpec) -> DataFrame:

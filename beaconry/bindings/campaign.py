@@ -491,7 +491,7 @@ SELECT user_id, 'v1' AS model_version, '[{{"positionId":"B9","slots":[{{"index":
   'debit' AS scene_id, 'A1' AS actv_id, 'B9' AS banner_id FROM pk GROUP BY 1
 """)
 def delivery_app_slots(t: Tables) -> DataFrame:
-    return delivery.app_rows(delivered_package(t).drop("scene_id", "banner_id"), "B9", "debitCard", "debit", "A1")
+    return delivery.app_rows(delivered_package(t).drop("scene_id", "banner_id"), "B9", "debitCard", "debit", "A1", 3)
 
 
 # --- reports ----------------------------------------------------------------------------------

@@ -86,7 +86,7 @@ WITH {SQL_MATCH}, timed AS (SELECT pair.* FROM pair LEFT JOIN term ON pair.cust_
 def match_rules_and_term(t: Tables) -> DataFrame:
     terms = matching.average_terms(purchases(t), products(t))
     people = customers(t).join(terms, "cust_id", "left")
-    return _text(matching.rule_lists(people, products(t), purchases(t), 5, with_term=True))
+    return _text(matching.rule_lists(people, products(t), purchases(t), 5))
 
 
 @query(f"""

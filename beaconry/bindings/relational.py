@@ -384,11 +384,12 @@ LEFT JOIN part ON p_retailprice * 10 <= c_acctbal GROUP BY 1
 def join_theta_levels(t: Tables) -> DataFrame:
     parts = t.part.select((F.col("p_retailprice") * 10).alias("need"), "p_retailprice")
     needs = L.level_values(parts, "need")
-    counts = L.count_by_level(parts, "need", needs, output="affordable")
-    best = parts.groupBy(F.col("need").alias("reach")).agg(F.max("p_retailprice").alias("best_price"))
-    customers = t.customer.select("c_custkey", L.snap_down(F.col("c_acctbal"), needs).alias("reach"))
-    rows = customers.join(counts.join(best, "reach"), "reach", "left").drop("reach")
-    return rows.fillna(0, subset=["affordable"])
+    numbered = L.with_level(parts, "need", needs, "no")
+    counts = L.count_by_level(numbered, "no", len(needs), "affordable")
+    best = numbered.groupBy("no").agg(F.max("p_retailprice").alias("best_price"))
+    customers = L.with_level(t.customer.select("c_custkey", "c_acctbal"), "c_acctbal", needs, "no")
+    rows = customers.join(counts.join(best, "no"), "no", "left")
+    return rows.select("c_custkey", F.coalesce("affordable", F.lit(0)).alias("affordable"), "best_price")
 
 
 @query("""

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 MAX_ROWS = 10_000
+BROADCAST_ROWS = 100_000
 
 
 def rows_to_frame(spark: SparkSession, rows: Sequence[Mapping[str, object]], schema: str) -> DataFrame:
@@ -23,6 +24,11 @@ def small_rows(df: DataFrame, limit: int = MAX_ROWS) -> list[dict]:
     return [row.asDict() for row in rows]
 
 
+def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """`df` marked for broadcast if it has at most `limit` rows; else left to the planner."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
 def literal_row(row: Mapping[str, object]) -> Column:
     fields = []
     for name, value in row.items():

@@ -6,48 +6,91 @@ once per level and met by an equi join. Customer x product pairs are never built
 
 from __future__ import annotations
 
+import math
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ranking import top_k
 
-MAX_LEVELS = 100_000
+MAX_LEVELS = 1_000_000
+_DIRECT_LEVELS = 256
 
 
-def level_values(products: DataFrame, level: str, limit: int = MAX_LEVELS) -> list:
+def level_values(products: DataFrame, level: str, limit: int = MAX_LEVELS) -> list[float]:
     """Sorted distinct levels of the product table, read to the driver; their number is checked."""
-    rows = products.select(level).where(F.col(level).isNotNull()).distinct().limit(limit + 1).collect()
+    rows = products.select(F.col(level).cast("double")).where(F.col(level).isNotNull()).distinct().limit(limit + 1).collect()
     if len(rows) > limit:
-        raise ValueError(f"{level} has more than {limit} values; band it before matching")
+        raise ValueError(f"{level} has more than {limit} values")
     return sorted(row[0] for row in rows)
 
 
-def snap_down(value, levels: Sequence) -> Column:
-    """Largest level not above the value; null when there is none."""
-    steps = F.array(*[F.lit(x) for x in levels])
-    return F.array_max(F.filter(steps, lambda x: x <= value))
+def with_level(df: DataFrame, value: str, levels: Sequence[float], output: str) -> DataFrame:
+    """Add the number (from 1) of the largest level not above the value; 0 if there is none,
+    null for a null value. The level is found by binary search."""
+    if not levels:
+        return df.withColumn(output, F.when(F.col(value).isNotNull(), 0))
+    inner = [float(x) for x in levels]
+    # a lowest limit below the first level, and one more limit so that a single level is enough
+    search = Bucketizer(splits=[-math.inf, *inner, math.inf], inputCol="_value", outputCol="_bucket", handleInvalid="keep")
+    found = search.transform(df.withColumn("_value", F.col(value).cast("double")))
+    return found.withColumn(output, F.when(F.col(value).isNotNull(), F.col("_bucket").cast("int"))).drop("_value", "_bucket")
 
 
-def best_by_level(products: DataFrame, level: str, levels: Sequence, order: Sequence[Column], k: int,
-                  groups: Sequence[str] = (), reach: str = "reach", rank: str = "rank") -> DataFrame:
-    """For every level the k best products at or below it.
+def best_by_level(products: DataFrame, level: str, count: int, order: Sequence[Column], k: int,
+                  groups: Sequence[str] = (), rank: str | None = None) -> DataFrame:
+    """For every level number 1..`count` the k best products at or below it; `level` becomes
+    the level reached.
 
-    The k best up to a level are among the k best of each level, so products are cut to k
-    per level before they are handed to the levels above.
+    The k best up to a level are among the k best of each level below, so products are cut
+    to k per level before they are handed upwards. With many levels they are handed on in
+    two steps: inside blocks of levels, and from block to later blocks.
     """
-    known = products.where(F.col(level).isNotNull())
-    best = top_k(known, [*groups, level], order, k, rank="_own").drop("_own")
-    above = F.filter(F.array(*[F.lit(x) for x in levels]), lambda x: x >= F.col(level))
-    spread = best.withColumn(reach, F.explode(above))
-    return top_k(spread, [*groups, reach], order, k, rank)
-
-
-def count_by_level(products: DataFrame, level: str, levels: Sequence, reach: str = "reach",
-                   output: str = "matches") -> DataFrame:
-    """For every level the number of products at or below it."""
-    counts = products.where(F.col(level).isNotNull()).groupBy(level).agg(F.count("*").alias("_n"))
-    above = F.filter(F.array(*[F.lit(x) for x in levels]), lambda x: x >= F.col(level))
-    spread = counts.withColumn(reach, F.explode(above))
-    return spread.groupBy(reach).agg(F.sum("_n").alias(output))
+    groups = list(groups)
+    rank = rank or "_reached"
+    best = top_k(products.where(F.col(level) >= 1), [*groups, level], order, k, rank="_own").drop("_own")
+    if count <= _DIRECT_LEVELS:
+        upwards = F.explode(F.sequence(F.col(level), F.lit(count)))
+        handed = best.withColumn(level, upwards)
+        return _ranked_or_plain(top_k(handed, [*groups, level], order, k, rank), rank)
+
+    width = math.isqrt(count) + 1
+    blocks = (count - 1) // width + 1
+    block = F.floor((F.col(level) - 1) / width).cast("int")
+    end = F.least((block + 1) * width, F.lit(count)).cast("int")
+    inside = best.withColumn(level, F.explode(F.sequence(F.col(level), end)))
+    inside = top_k(inside, [*groups, level], order, k, rank="_own").drop("_own")
+    per_block = top_k(best.withColumn("_block", block), [*groups, "_block"], order, k, rank="_own").drop("_own", level)
+    later = per_block.where(F.col("_block") < blocks - 1).withColumn(
+        "_block", F.explode(F.sequence(F.col("_block") + 1, F.lit(blocks - 1))))
+    before = top_k(later, [*groups, "_block"], order, k, rank="_own").drop("_own")
+    first = F.col("_block") * width + 1
+    from_before = before.withColumn(level, F.explode(F.sequence(first, F.least(first + width - 1, F.lit(count))))).drop("_block")
+    both = inside.unionByName(from_before.select(*[F.col(c).cast(inside.schema[c].dataType) for c in inside.columns]))
+    return _ranked_or_plain(top_k(both, [*groups, level], order, k, rank), rank)
+
+
+def _ranked_or_plain(df: DataFrame, rank: str) -> DataFrame:
+    return df.drop("_reached") if rank == "_reached" else df
+
+
+def best_by_levels(products: DataFrame, counts: dict[str, int], order: Sequence[Column], k: int,
+                   groups: Sequence[str] = ()) -> DataFrame:
+    """The k best products at or below every combination of several levels, one level after
+    the other. The result has at most k rows per combination."""
+    names = list(counts)
+    for name, count in counts.items():
+        others = [n for n in names if n != name]
+        products = best_by_level(products, name, count, order, k, [*groups, *others])
+    return products
+
+
+def count_by_level(products: DataFrame, level: str, count: int, output: str = "matches") -> DataFrame:
+    """For every level number 1..`count` the number of products at or below it.
+
+    The running sum goes over one row per level, whose number is bounded."""
+    counts = products.where(F.col(level) >= 1).groupBy(level).agg(F.count("*").alias("_n"))
+    upto = Window.orderBy(level).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return counts.select(level, F.sum("_n").over(upto).alias(output))

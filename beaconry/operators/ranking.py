@@ -6,11 +6,13 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import pin
 
 _POSITION_BITS = 33  # monotonically_increasing_id: task number above, row number below
 _IN_TASK_LIMIT = 10_000
+_BROADCAST_ROWS = 200_000
 
 
 def _names(columns: Sequence[str] | str) -> list[str]:
@@ -25,16 +27,33 @@ def _placed(df: DataFrame, order: Sequence[Column], groups: list[str]) -> DataFr
 
 def _with_earlier(placed: DataFrame, groups: list[str], total: Column) -> DataFrame:
     """Add `_first` (first position of the group in the task), `_before` (its total in earlier
-    tasks) and `_all`. The joined table has one row per task and group in it."""
+    tasks) and `_all`.
+
+    There is one total per task and group in it. For the few groups this is meant for that is
+    a small table: it is read to the driver, added up there and broadcast. If it is not
+    small, the same sums are made by a window and an ordinary join.
+    """
+    spark = placed.sparkSession
     held = placed.groupBy("_task", *groups).agg(total.alias("_held"), F.min("_position").alias("_first"))
-    earlier = Window.partitionBy(*groups).orderBy("_task")
-    offsets = held.select(
-        F.col("_task").alias("_o_task"),
-        *[F.col(g).alias(f"_o_{g}") for g in groups],
-        "_first",
-        (F.sum("_held").over(earlier) - F.col("_held")).alias("_before"),
-        F.sum("_held").over(Window.partitionBy(*groups)).alias("_all"),
-    )
+    rows = held.limit(_BROADCAST_ROWS + 1).collect()
+    names = ["_o_task", *[f"_o_{g}" for g in groups], "_first", "_before", "_all"]
+    if len(rows) <= _BROADCAST_ROWS:
+        sums: dict[tuple, int] = {}
+        table = []
+        for row in sorted(rows, key=lambda r: r["_task"]):
+            group = tuple(row[g] for g in groups)
+            table.append([row["_task"], *group, row["_first"], sums.get(group, 0), group])
+            sums[group] = sums.get(group, 0) + row["_held"]
+        fields = [T.StructField("_o_task", T.LongType())]
+        fields += [T.StructField(f"_o_{g}", placed.schema[g].dataType) for g in groups]
+        fields += [T.StructField(n, T.LongType()) for n in ("_first", "_before", "_all")]
+        offsets = F.broadcast(spark.createDataFrame([(*r[:-1], sums[r[-1]]) for r in table], T.StructType(fields)))
+    else:
+        earlier = Window.partitionBy(*groups).orderBy("_task")
+        offsets = held.select(
+            "_task", *groups, "_first", F.sum("_held").over(earlier) - F.col("_held"),
+            F.sum("_held").over(Window.partitionBy(*groups)),
+        ).toDF(*names)
     match = F.col("_task") == F.col("_o_task")
     for g in groups:
         match = match & F.col(g).eqNullSafe(F.col(f"_o_{g}"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from itertools import accumulate
 from typing import Sequence
 
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 from ..functions.scalars import case_of, unit_hash
 from .ranking import first_n, top_k
 
+_MARGIN = 6.0  # standard deviations
+
 
 def sample_rows(df: DataFrame, fraction: float, salt: str, *keys: str) -> DataFrame:
     """About `fraction` of the rows."""
@@ -43,8 +46,18 @@ def random_split(df: DataFrame, weights: Sequence[tuple[str, float]], seed: int,
 
 
 def pick_rows(df: DataFrame, n: int, salt: str, key: str) -> DataFrame:
-    """`n` rows drawn at random."""
+    """`n` rows drawn at random.
+
+    The draws are uniform, so the n smallest lie below a bound a little above n / rows; only
+    those are put in order. If the bound was too low (or n is near the row count) all are.
+    """
     draw = df.withColumn("_draw", unit_hash(salt, key))
+    total = df.count()
+    share = n / max(total, 1)
+    bound = share + _MARGIN * math.sqrt(share / max(total, 1))
+    if bound < 1:
+        low = draw.where(F.col("_draw") < bound)
+        draw = low if low.limit(n).count() == n else draw
     return first_n(draw, [F.col("_draw"), F.col(key)], n).drop("_draw")
 
 

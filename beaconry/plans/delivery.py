@@ -62,8 +62,8 @@ def random_test_items(pairs: DataFrame, num_items: int, salt: str) -> DataFrame:
     return pick_per_group(pairs, "user_id", "item_id", num_items, salt)
 
 
-def app_rows(items: DataFrame, banner_id: str, prod_type: str, scene_id: str, actv_id: str) -> DataFrame:
-    """One JSON slot per user and model version."""
-    typed = items.withColumn("_type", F.lit(prod_type))
+def app_rows(items: DataFrame, banner_id: str, prod_type: str, scene_id: str, actv_id: str, num_items: int) -> DataFrame:
+    """One JSON slot per user and model version with the items the slot has room for."""
+    typed = items.where(F.col("rank") < num_items).withColumn("_type", F.lit(prod_type))
     slots = json_slots(typed, ["user_id", "model_version"], banner_id, "item_id", "_type", "rank")
     return slots.withColumns({"scene_id": F.lit(scene_id), "actv_id": F.lit(actv_id), "banner_id": F.lit(banner_id)})

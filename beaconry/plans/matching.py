@@ -13,7 +13,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.levels import best_by_level, level_values, snap_down
+from ..operators.levels import best_by_level, best_by_levels, level_values, with_level
 from ..operators.ranking import first_per_key, top_k
 
 DIAMOND_LEVELS = (53, 54)
@@ -43,63 +43,73 @@ def product_rule(products: DataFrame) -> DataFrame:
     )
 
 
-_PROFILE = ["p_level", "p_new", "p_diamond", "p_salary", "p_pension", "p_auth", "p_risk", "p_term"]
+_LEVELS = ["level", "private", "risk", "term"]
+_FLAGS = ["p_new", "p_diamond", "p_salary", "p_pension"]
 
 
-def customer_profile(customers: DataFrame, terms: Sequence | None) -> DataFrame:
-    """Customers with the attributes the rules compare. Levels compare as numbers. Without a
-    valid risk test every risk is open; `terms` bands the average term to product terms."""
+def customer_profile(customers: DataFrame) -> DataFrame:
+    """Customers with what the rules compare, every limit as a number that a product's must
+    not exceed. Without a valid risk test every risk is open; certification opens private
+    products; the average term counts as 1 when unknown."""
     flag = lambda name: F.coalesce(F.col(name), F.lit("0")) == "1"
     level = F.coalesce(F.col("service_level_cust").try_cast("int"), F.lit(0))
     risk = F.coalesce(F.col("risk_level_cust").try_cast("int"), F.lit(0))
-    term = F.lit(ANY_LEVEL) if terms is None else F.coalesce(snap_down(F.coalesce("avg_term", F.lit(1.0)), terms), F.lit(-1))
+    term = F.coalesce(F.col("avg_term"), F.lit(1.0)) if "avg_term" in customers.columns else F.lit(float(ANY_LEVEL))
     return customers.select(
-        "cust_id", level.alias("p_level"), flag("is_new_client").alias("p_new"),
-        level.isin(*DIAMOND_LEVELS).alias("p_diamond"), flag("salary_ind").alias("p_salary"),
-        flag("pension_ind").alias("p_pension"), flag("auth_type").alias("p_auth"),
-        F.when(flag("risk_fin_valid_ind"), risk).otherwise(ANY_LEVEL).alias("p_risk"), term.alias("p_term"),
+        "cust_id", level.alias("level"), flag("auth_type").cast("int").alias("private"),
+        F.when(flag("risk_fin_valid_ind"), risk).otherwise(ANY_LEVEL).alias("risk"), term.alias("term"),
+        flag("is_new_client").alias("p_new"), level.isin(*DIAMOND_LEVELS).alias("p_diamond"),
+        flag("salary_ind").alias("p_salary"), flag("pension_ind").alias("p_pension"),
     )
 
 
-def _fits(with_term: bool) -> Column:
-    """Certification, risk and term of a product against a profile."""
-    fits = (~F.col("private") | F.col("p_auth")) & ((F.col("p_risk") == ANY_LEVEL) | (F.col("p_risk") >= F.col("risk")))
-    return fits & (F.col("term") <= F.col("p_term")) if with_term else fits
-
-
-def rule_lists(customers: DataFrame, products: DataFrame, whitelist: DataFrame, k: int, with_term: bool = False) -> DataFrame:
+def rule_lists(customers: DataFrame, products: DataFrame, whitelist: DataFrame, k: int) -> DataFrame:
     """The k products with the highest benchmark each customer may buy; customers without
-    any get a null list.
+    any get a null list. The term rule applies when the customers have `avg_term`.
 
-    customers: cust_id and rule attributes (and avg_term). products: on sale.
-    whitelist: cust_id, prod_id.
+    customers: cust_id and rule attributes. products: on sale. whitelist: cust_id, prod_id.
     """
+    with_term = "avg_term" in customers.columns
     ruled = product_rule(products)
-    terms = level_values(ruled, "term") if with_term else None
-    profiles = customer_profile(customers, terms)
+    # without a risk a product fits only customers whose risk is open, without a term nobody
+    ruled = ruled.withColumns({
+        "risk": F.coalesce("risk", F.lit(ANY_LEVEL)), "private": F.col("private").cast("int"),
+        "term": F.col("term") if with_term else F.lit(0),
+    }).where(F.col("term").isNotNull())
     order = [F.desc("benchmark"), F.col("prod_id")]
 
-    cells = top_k(ruled.where(F.col("rule") != "whitelist"), ["rule", "level", "private", "risk", *(["term"] if with_term else [])],
-                  order, k, rank="_cell")
+    profiles, grid, counts = customer_profile(customers), ruled.where(F.col("rule") != "whitelist"), {}
+    numbered = []
+    for name in _LEVELS:
+        values = level_values(grid, name)
+        counts[name] = len(values)
+        grid = with_level(grid, name, values, f"{name}_no")
+        profiles = with_level(profiles, name, values, f"{name}_no")
+        numbered.append(f"{name}_no")
+    grid = grid.select("rule", "prod_id", "benchmark", *numbered)
+    best = best_by_levels(grid, {f"{n}_no": c for n, c in counts.items()}, order, k, ["rule"])
+
     kinds = F.array_compact(F.array(
         F.lit("level"), F.when(F.col("p_new"), "new"), F.when(F.col("p_diamond"), "diamond"),
         F.when(F.col("p_salary"), "salary"), F.when(F.col("p_pension"), "pension"),
     ))
-    distinct = profiles.select(*_PROFILE).distinct()
-    opened = distinct.withColumn("rule", F.explode(kinds))
-    allowed = opened.join(cells, "rule").where((F.col("p_level") >= F.col("level")) & _fits(with_term))
+    key = [*numbered, *_FLAGS]
+    opened = profiles.select(*key).distinct().withColumn("rule", F.explode(kinds))
     entry = F.struct((-F.col("benchmark")).alias("down"), F.col("prod_id"))
-    best = top_k(allowed, _PROFILE, order, k).groupBy(*_PROFILE).agg(F.collect_list(entry).alias("_shared"))
+    shared = top_k(opened.join(best, ["rule", *numbered]), key, order, k).groupBy(*key).agg(F.collect_list(entry).alias("_shared"))
 
-    listed = whitelist.select("cust_id", "prod_id").distinct().join(ruled.where(F.col("rule") == "whitelist"), "prod_id")
-    own = listed.join(profiles, "cust_id").where(_fits(with_term))
+    special = ruled.where(F.col("rule") == "whitelist").select(
+        "prod_id", "benchmark", *[F.col(n).alias(f"_{n}") for n in ("private", "risk", "term")])
+    listed = whitelist.join(special, "prod_id").select("cust_id", *special.columns).distinct()
+    own = listed.join(profiles, "cust_id").where(
+        (F.col("_private") <= F.col("private")) & (F.col("_risk") <= F.col("risk")) & (F.col("_term") <= F.col("term")))
     own = top_k(own, "cust_id", order, k).groupBy("cust_id").agg(F.collect_list(entry).alias("_own"))
 
     nothing = F.array().cast("array<struct<down:double,prod_id:string>>")
     merged = F.slice(F.array_sort(F.concat(F.coalesce("_shared", nothing), F.coalesce("_own", nothing))), 1, k)
     names = F.transform(merged, lambda p: p["prod_id"])
     return (
-        profiles.join(best, _PROFILE, "left").join(own, "cust_id", "left")
+        profiles.join(shared, key, "left").join(own, "cust_id", "left")
         .select("cust_id", F.when(F.size(names) > 0, names).alias("prod_list"))
     )
 
@@ -113,11 +123,10 @@ def average_terms(subscriptions: DataFrame, products: DataFrame) -> DataFrame:
 def level_lists(customers: DataFrame, reach: str, products: DataFrame, level: str, order: Sequence[Column], k: int) -> DataFrame:
     """The k best products with `level` at or below the customer's `reach`; null list if none."""
     levels = level_values(products, level)
-    best = best_by_level(products, level, levels, order, k, reach="_reach", rank="_rank")
+    best = best_by_level(with_level(products, level, levels, "_no"), "_no", len(levels), order, k, rank="_rank")
     pairs = F.sort_array(F.collect_list(F.struct("_rank", "prod_id")))
-    lists = best.groupBy("_reach").agg(F.transform(pairs, lambda p: p["prod_id"]).alias("prod_list"))
-    banded = customers.select("cust_id", snap_down(F.col(reach), levels).alias("_reach"))
-    return banded.join(lists, "_reach", "left").select("cust_id", "prod_list")
+    lists = best.groupBy("_no").agg(F.transform(pairs, lambda p: p["prod_id"]).alias("prod_list"))
+    return with_level(customers, reach, levels, "_no").join(lists, "_no", "left").select("cust_id", "prod_list")
 
 
 def fund_risk(age: Column, risk: Column) -> Column:

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..functions.dates import ymd
+from ..functions.dates import on_days, ymd
 from ..operators.dimensions import small_rows
 from ..operators.filters import semi, union_all, union_present
-from ..operators.ranking import top_k, top_list
+from ..operators.ranking import first_per_key, top_k, top_list
 from ..operators.rerank import ChannelItems, Item, rerank
 from ..operators.sampling import random_split
 from ..plans import calendar, cohort, delivery, evaluation, feedback, groups, package, push, reports
@@ -227,13 +227,14 @@ def pushes(t: Tables) -> DataFrame:
     slots = S.lookup(F.col("event_type"), {"view": "APP", "click": "APP", "signup": "SMS"})
     banner = S.lookup(F.col("event_type"), {"view": "popup", "click": "feed"})
     rows = t.events.where(F.col("event_type").isin("view", "click", "signup"))
+    rows = rows.where(on_days("ts", START, LAST))
     return rows.select("user_id", slots.alias("channel_id"), banner.alias("banner_id"), event_item().alias("item_id"),
                        F.when(F.col("value") < 50, 0).otherwise(1).alias("rank"), ymd("ts").alias("dt"))
 
 
 def sends(t: Tables) -> DataFrame:
     k = S.json_field(F.col("props"), "k").cast("int")
-    rows = t.events.where(F.col("event_type").isin("purchase", "error"))
+    rows = t.events.where(F.col("event_type").isin("purchase", "error") & on_days("ts", START, LAST))
     return rows.select("user_id", F.when(k < 67, "APP").otherwise("SMS").alias("channel_id"), F.when(k < 34, "popup").when(k < 67, "feed").alias("banner_id"),
                        (F.col("event_type") == "purchase").cast("int").alias("send"), ymd("ts").alias("dt"))
 
@@ -312,9 +313,12 @@ def brand_scores(t: Tables) -> DataFrame:
     """Share of every brand in a customer's spending, as class probabilities."""
     lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("p_partkey"), S.money(F.col("l_extendedprice")).alias("amount"))
     spent = lines.join(t.orders.select("o_orderkey", F.col("o_custkey").alias("user_id")), "o_orderkey").join(t.part.select("p_partkey", "p_brand"), "p_partkey")
-    total = F.sum("amount").cast("double")
-    shares = [F.coalesce(F.sum(F.when(F.col("p_brand") == f"Brand#{i}", F.col("amount"))).cast("double"), F.lit(0.0)) / total for i in range(1, BRANDS + 1)]
-    return spent.groupBy("user_id").agg(F.array(*shares).alias("probability"))
+    brands = spent.groupBy("user_id", "p_brand").agg(F.sum("amount").alias("amount"))
+    total = F.sum("amount").cast("double").alias("total")
+    by_brand = F.map_from_entries(F.collect_list(F.struct("p_brand", F.col("amount").cast("double")))).alias("by_brand")
+    users = brands.groupBy("user_id").agg(total, by_brand)  # one entry per class at most
+    shares = [F.coalesce(F.try_element_at("by_brand", F.lit(f"Brand#{i}")), F.lit(0.0)) / F.col("total") for i in range(1, BRANDS + 1)]
+    return users.select("user_id", F.array(*shares).alias("probability"))
 
 
 def slot_users(t: Tables) -> DataFrame:
@@ -387,10 +391,10 @@ UNION ALL SELECT user_id, user_type, 'CARD', 'SMS', '', 0, NULL FROM np WHERE ra
 """)
 def feedback_messages(t: Tables) -> DataFrame:
     events = t.events.withColumns({"dt": ymd("ts"), "item_id": event_item()})
-    packed = events.where((F.col("event_type") == "signup") & F.col("dt").between("20240105", "20240110")).select("user_id", "item_id").distinct()
+    packed = events.where((F.col("event_type") == "signup") & on_days("ts", "20240105", "20240110")).select("user_id", "item_id").distinct()
     pack = packed.join(pool(t).select("user_id", "user_type"), "user_id").withColumns({"channel_id": F.lit("SMS"), "banner_id": F.lit(None).cast("string")})
     phones = t.customer.select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("tel_number"))
-    log = events.where((F.col("event_type") == "purchase") & (F.col("dt") == "20240113")).select(
+    log = events.where((F.col("event_type") == "purchase") & on_days("ts", "20240113", "20240113")).select(
         F.format_string("Customer#%09d", "user_id").alias("phone"), "value")
     sent = feedback.message_feedback(pack, phones, log, F.col("value") > 100)
     return sent.unionByName(feedback.unpushed_groups(pool(t), {"ctl1": 30, "noop": 100000}, "CARD", "SMS", ""))
@@ -518,9 +522,10 @@ def report_retention_list(t: Tables) -> DataFrame:
         return t.orders.where(F.col("o_orderstatus") == status).select(
             F.col("o_custkey").alias("user_id"), F.lit(kind).alias("user_type"), ymd("o_orderdate").alias("joined"))
 
-    lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), ymd("l_shipdate").alias("day"), S.money(F.col("l_extendedprice")).alias("amount"),
+    shipped = t.lineitem.where(on_days("l_shipdate", "20001104", "20011104"))
+    lines = shipped.select(F.col("l_orderkey").alias("o_orderkey"), ymd("l_shipdate").alias("day"), S.money(F.col("l_extendedprice")).alias("amount"),
                               F.col("l_returnflag").alias("currency"), F.col("l_linestatus").alias("code"))
-    transactions = lines.where(F.col("day") >= "20001104").join(t.orders.select("o_orderkey", F.col("o_custkey").alias("user_id")), "o_orderkey")
+    transactions = lines.join(t.orders.select("o_orderkey", F.col("o_custkey").alias("user_id")), "o_orderkey")
     codes = t.orders.where(F.col("o_orderstatus") == "F").select(F.col("o_orderstatus").alias("code"))
     spent = reports.spending(transactions.withColumn("currency", F.when(F.col("currency") == "N", "CNY").otherwise("USD")), codes, "20001104", "20011104")
     retainable = t.customer.select(F.col("c_custkey").alias("user_id"), (F.col("c_acctbal") > 5000).cast("int").alias("value_flag"),
@@ -705,7 +710,7 @@ def _cohort(t: Tables) -> DataFrame:
     fb = event_feedback(t)
     kept = (F.col("send") > 0) & F.col("user_type").isin("exp", "ctl") & F.col("dt").between("20240105", "20240106")
     delivered = fb.where(kept).select("user_id", "user_type", F.col("item_id").alias("prod_id"), "dt").distinct()
-    seen = t.events.where((F.col("event_type") == "view") & ymd("ts").between("20240101", "20240118")).select("user_id")
+    seen = t.events.where((F.col("event_type") == "view") & on_days("ts", "20240101", "20240118")).select("user_id")
     patch = t.customer.where(F.col("c_nationkey") == 7).select(F.col("c_custkey").alias("user_id"))
     return evaluation.evaluation_cohort(delivered, holders(t, CREDIT), [seen, patch], 300, "card9", "19000000", "blank")
 
@@ -734,8 +739,6 @@ x AS (SELECT one.user_id, user_type, c_nationkey AS branch, view, click, buy, CA
 {_sql_eval('sum', 'GROUP BY user_type')} UNION ALL {_sql_eval('date', 'GROUP BY branch, user_type')} UNION ALL {_sql_eval('all', '')}
 """)
 def evaluation_funnel(t: Tables) -> DataFrame:
-    from ..operators.ranking import first_per_key
-
     kind = F.col("event_type")
     steps = {"view": kind == "view", "click": kind == "click", "buy": (kind == "purchase") & (F.col("value") > 20)}
     counts = evaluation.step_counts(t.events, steps)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..functions.dates import month_of, parse_ymd, reformat_date, shift_ymd, ymd
+from ..functions.dates import month_of, on_days, parse_ymd, reformat_date, shift_ymd, ymd
 from ..functions.product_text import (
     benchmark_number,
     benchmark_text,
@@ -25,7 +25,8 @@ from ..operators import filters as P
 from ..operators import levels as L
 from ..operators import ranking as R
 from ..operators import sampling
-from ..operators.dimensions import small_rows, with_each
+from ..operators.dimensions import small_rows, small_side, with_each
+from ..session import pin
 from ..sources.partitions import scan_range, snapshot
 from ..sources.tables import load_features
 from .registry import Tables, registrar
@@ -70,9 +71,8 @@ SELECT l_orderkey, l_linenumber, l_quantity, strftime(l_shipdate, '%Y%m%d') AS d
 WHERE l_shipdate BETWEEN TIMESTAMP '1997-03-01' AND TIMESTAMP '1997-03-31'
 """)
 def scan_range_pushed(t: Tables) -> DataFrame:
-    ship = F.col("l_shipdate")
-    rows = t.lineitem.where(ship.between(F.lit("1997-03-01").cast("timestamp_ntz"), F.lit("1997-03-31").cast("timestamp_ntz")))
-    return rows.select("l_orderkey", "l_linenumber", "l_quantity", ymd(ship).alias("dt"))
+    rows = t.lineitem.where(on_days("l_shipdate", "19970301", "19970331"))
+    return rows.select("l_orderkey", "l_linenumber", "l_quantity", ymd("l_shipdate").alias("dt"))
 
 
 @query("""
@@ -388,7 +388,7 @@ def join_theta_levels(t: Tables) -> DataFrame:
     counts = L.count_by_level(numbered, "no", len(needs), "affordable")
     best = numbered.groupBy("no").agg(F.max("p_retailprice").alias("best_price"))
     customers = L.with_level(t.customer.select("c_custkey", "c_acctbal"), "c_acctbal", needs, "no")
-    rows = customers.join(counts.join(best, "no"), "no", "left")
+    rows = customers.join(small_side(pin(counts.join(best, "no"))), "no", "left")
     return rows.select("c_custkey", F.coalesce("affordable", F.lit(0)).alias("affordable"), "best_price")
 
 
@@ -441,9 +441,8 @@ SELECT today.* FROM today ANTI JOIN past ON today.user_id = past.user_id AND tod
 def join_not_delivered_before(t: Tables) -> DataFrame:
     keys = ["user_id", "item", "event_type"]
     pairs = t.events.withColumn("item", S.json_field(F.col("props"), "k"))
-    cut, start = F.lit("2024-01-25").cast("timestamp_ntz"), F.lit("2024-01-05").cast("timestamp_ntz")
-    today = pairs.where(F.col("ts") >= cut).select(*keys).distinct()
-    return P.anti(today, pairs.where((F.col("ts") >= start) & (F.col("ts") < cut)), keys)
+    today = pairs.where(on_days("ts", "20240125", "20991231")).select(*keys).distinct()
+    return P.anti(today, pairs.where(on_days("ts", "20240105", "20240124")), keys)
 
 
 # --- aggregations ----------------------------------------------------------------------------

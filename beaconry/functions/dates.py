@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,6 +25,16 @@ def shift_ymd(value, days) -> Column:
     return F.date_format(F.date_add(parse_ymd(value), days), "yyyyMMdd")
 
 
+def on_days(stamp, start: str, end: str) -> Column:
+    """Whether a timestamp lies on the text days start..end; written on the bare column, so
+    that the test reaches the scan."""
+    first = datetime.strptime(start, "%Y%m%d")
+    after = datetime.strptime(end, "%Y%m%d") + timedelta(days=1)
+    stamp = F.col(stamp) if isinstance(stamp, str) else stamp
+    literal = lambda d: F.lit(d.strftime("%Y-%m-%d")).cast("timestamp_ntz")
+    return (stamp >= literal(first)) & (stamp < literal(after))
+
+
 def reformat_date(value, source: str, target: str) -> Column:
     """Text date from one pattern to another; null when it does not parse."""
     return F.date_format(F.try_to_timestamp(value, F.lit(source)), target)

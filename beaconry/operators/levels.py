@@ -16,15 +16,22 @@ from pyspark.sql import functions as F
 from .ranking import top_k
 
 MAX_LEVELS = 1_000_000
-_DIRECT_LEVELS = 256
+_DIRECT_LEVELS = 16
 
 
-def level_values(products: DataFrame, level: str, limit: int = MAX_LEVELS) -> list[float]:
-    """Sorted distinct levels of the product table, read to the driver; their number is checked."""
-    rows = products.select(F.col(level).cast("double")).where(F.col(level).isNotNull()).distinct().limit(limit + 1).collect()
+def all_level_values(products: DataFrame, names: Sequence[str], limit: int = MAX_LEVELS) -> dict[str, list[float]]:
+    """Sorted distinct values of several level columns, read to the driver in one job; their
+    number is checked."""
+    pairs = F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).cast("double").alias("value")) for n in names])
+    values = products.select(F.explode(pairs).alias("p")).select("p.*").where(F.col("value").isNotNull()).distinct()
+    rows = values.limit(limit + 1).collect()
     if len(rows) > limit:
-        raise ValueError(f"{level} has more than {limit} values")
-    return sorted(row[0] for row in rows)
+        raise ValueError(f"{', '.join(names)} have more than {limit} values")
+    return {n: sorted(r["value"] for r in rows if r["name"] == n) for n in names}
+
+
+def level_values(products: DataFrame, level: str, limit: int = MAX_LEVELS) -> list[float]:
+    return all_level_values(products, [level], limit)[level]
 
 
 def with_level(df: DataFrame, value: str, levels: Sequence[float], output: str) -> DataFrame:
@@ -40,40 +47,16 @@ def with_level(df: DataFrame, value: str, levels: Sequence[float], output: str)
 
 
 def best_by_level(products: DataFrame, level: str, count: int, order: Sequence[Column], k: int,
-                  groups: Sequence[str] = (), rank: str | None = None) -> DataFrame:
+                  groups: Sequence[str] = (), rank: str = "rank") -> DataFrame:
     """For every level number 1..`count` the k best products at or below it; `level` becomes
     the level reached.
 
     The k best up to a level are among the k best of each level below, so products are cut
-    to k per level before they are handed upwards. With many levels they are handed on in
-    two steps: inside blocks of levels, and from block to later blocks.
+    to k per level before they are handed upwards.
     """
-    groups = list(groups)
-    rank = rank or "_reached"
-    best = top_k(products.where(F.col(level) >= 1), [*groups, level], order, k, rank="_own").drop("_own")
-    if count <= _DIRECT_LEVELS:
-        upwards = F.explode(F.sequence(F.col(level), F.lit(count)))
-        handed = best.withColumn(level, upwards)
-        return _ranked_or_plain(top_k(handed, [*groups, level], order, k, rank), rank)
-
-    width = math.isqrt(count) + 1
-    blocks = (count - 1) // width + 1
-    block = F.floor((F.col(level) - 1) / width).cast("int")
-    end = F.least((block + 1) * width, F.lit(count)).cast("int")
-    inside = best.withColumn(level, F.explode(F.sequence(F.col(level), end)))
-    inside = top_k(inside, [*groups, level], order, k, rank="_own").drop("_own")
-    per_block = top_k(best.withColumn("_block", block), [*groups, "_block"], order, k, rank="_own").drop("_own", level)
-    later = per_block.where(F.col("_block") < blocks - 1).withColumn(
-        "_block", F.explode(F.sequence(F.col("_block") + 1, F.lit(blocks - 1))))
-    before = top_k(later, [*groups, "_block"], order, k, rank="_own").drop("_own")
-    first = F.col("_block") * width + 1
-    from_before = before.withColumn(level, F.explode(F.sequence(first, F.least(first + width - 1, F.lit(count))))).drop("_block")
-    both = inside.unionByName(from_before.select(*[F.col(c).cast(inside.schema[c].dataType) for c in inside.columns]))
-    return _ranked_or_plain(top_k(both, [*groups, level], order, k, rank), rank)
-
-
-def _ranked_or_plain(df: DataFrame, rank: str) -> DataFrame:
-    return df.drop("_reached") if rank == "_reached" else df
+    known = products.where(F.col(level) >= 1)
+    best = top_k(known, [*groups, level], order, k, rank).drop(rank)
+    return _hand_up(best, level, count, order, k, list(groups), rank)
 
 
 def best_by_levels(products: DataFrame, counts: dict[str, int], order: Sequence[Column], k: int,
@@ -81,10 +64,37 @@ def best_by_levels(products: DataFrame, counts: dict[str, int], order: Sequence[
     """The k best products at or below every combination of several levels, one level after
     the other. The result has at most k rows per combination."""
     names = list(counts)
+    best = top_k(products, [*groups, *names], order, k).drop("rank")
     for name, count in counts.items():
-        others = [n for n in names if n != name]
-        products = best_by_level(products, name, count, order, k, [*groups, *others])
-    return products
+        others = [*groups, *(n for n in names if n != name)]
+        best = _hand_up(best.where(F.col(name) >= 1), name, count, order, k, others, "rank").drop("rank")
+    return best
+
+
+def _hand_up(best: DataFrame, level: str, count: int, order: Sequence[Column], k: int, groups: list[str],
+             rank: str) -> DataFrame:
+    """The k best at or below every level, from the k best of each.
+
+    With many levels they go up in two steps, inside blocks of levels and from each block to
+    the later ones, so a product is copied about 2 x sqrt(levels) times and not `levels`.
+    """
+    if count <= _DIRECT_LEVELS:
+        handed = best.withColumn(level, F.explode(F.sequence(F.col(level), F.lit(count))))
+        return top_k(handed, [*groups, level], order, k, rank)
+
+    width = math.isqrt(count) + 1
+    blocks = (count - 1) // width + 1
+    block = F.floor((F.col(level) - 1) / width).cast("int")
+    end = F.least((block + 1) * width, F.lit(count))
+    inside = best.withColumn(level, F.explode(F.sequence(F.col(level), end)))
+    per_block = top_k(best.withColumn("_block", block), [*groups, "_block"], order, k, rank).drop(rank)
+    later = per_block.where(F.col("_block") < blocks - 1)
+    later = later.withColumn("_block", F.explode(F.sequence(F.col("_block") + 1, F.lit(blocks - 1))))
+    before = top_k(later, [*groups, "_block"], order, k, rank).drop(rank)
+    first = F.col("_block") * width + 1
+    reached = F.explode(F.sequence(first, F.least(first + (width - 1), F.lit(count))))
+    both = inside.unionByName(before.withColumn(level, reached).drop("_block"))
+    return top_k(both, [*groups, level], order, k, rank)
 
 
 def count_by_level(products: DataFrame, level: str, count: int, output: str = "matches") -> DataFrame:

@@ -1,9 +1,8 @@
 """Products that fit a customer.
 
-Rules look at few attributes, so many customers share the same answer. Product lists are
-worked out per distinct combination of rule attributes and joined back on it; products are
-cut to the list length per combination of their own attributes first. Both steps keep the
-exact result, and neither builds customer x product pairs.
+Every rule says that some product attribute must not exceed the customer's. The attributes
+have few values, so the best products are worked out once per combination of them and met
+by an equi join; customer x product pairs are never built and nothing is left out.
 """
 
 from __future__ import annotations
@@ -13,8 +12,10 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.levels import best_by_level, best_by_levels, level_values, with_level
+from ..operators.dimensions import small_side
+from ..operators.levels import all_level_values, best_by_level, best_by_levels, level_values, with_level
 from ..operators.ranking import first_per_key, top_k
+from ..session import pin
 
 DIAMOND_LEVELS = (53, 54)
 OLD_AGE = 75
@@ -44,7 +45,7 @@ def product_rule(products: DataFrame) -> DataFrame:
 
 
 _LEVELS = ["level", "private", "risk", "term"]
-_FLAGS = ["p_new", "p_diamond", "p_salary", "p_pension"]
+_FLAGS = ["new", "diamond", "salary", "pension"]
 
 
 def customer_profile(customers: DataFrame) -> DataFrame:
@@ -58,8 +59,8 @@ def customer_profile(customers: DataFrame) -> DataFrame:
     return customers.select(
         "cust_id", level.alias("level"), flag("auth_type").cast("int").alias("private"),
         F.when(flag("risk_fin_valid_ind"), risk).otherwise(ANY_LEVEL).alias("risk"), term.alias("term"),
-        flag("is_new_client").alias("p_new"), level.isin(*DIAMOND_LEVELS).alias("p_diamond"),
-        flag("salary_ind").alias("p_salary"), flag("pension_ind").alias("p_pension"),
+        flag("is_new_client").alias("is_new"), level.isin(*DIAMOND_LEVELS).alias("is_diamond"),
+        flag("salary_ind").alias("is_salary"), flag("pension_ind").alias("is_pension"),
     )
 
 
@@ -80,8 +81,7 @@ def rule_lists(customers: DataFrame, products: DataFrame, whitelist: DataFrame,
 
     profiles, grid, counts = customer_profile(customers), ruled.where(F.col("rule") != "whitelist"), {}
     numbered = []
-    for name in _LEVELS:
-        values = level_values(grid, name)
+    for name, values in all_level_values(grid, _LEVELS).items():
         counts[name] = len(values)
         grid = with_level(grid, name, values, f"{name}_no")
         profiles = with_level(profiles, name, values, f"{name}_no")
@@ -89,14 +89,11 @@ def rule_lists(customers: DataFrame, products: DataFrame, whitelist: DataFrame,
     grid = grid.select("rule", "prod_id", "benchmark", *numbered)
     best = best_by_levels(grid, {f"{n}_no": c for n, c in counts.items()}, order, k, ["rule"])
 
-    kinds = F.array_compact(F.array(
-        F.lit("level"), F.when(F.col("p_new"), "new"), F.when(F.col("p_diamond"), "diamond"),
-        F.when(F.col("p_salary"), "salary"), F.when(F.col("p_pension"), "pension"),
-    ))
-    key = [*numbered, *_FLAGS]
-    opened = profiles.select(*key).distinct().withColumn("rule", F.explode(kinds))
     entry = F.struct((-F.col("benchmark")).alias("down"), F.col("prod_id"))
-    shared = top_k(opened.join(best, ["rule", *numbered]), key, order, k).groupBy(*key).agg(F.collect_list(entry).alias("_shared"))
+    lists = best.groupBy(*numbered).agg(*[
+        F.collect_list(F.when(F.col("rule") == rule, entry)).alias(f"_{rule}") for rule in ("level", *_FLAGS)
+    ])
+    shared = small_side(pin(lists))  # one row per combination of levels, k products per rule
 
     special = ruled.where(F.col("rule") == "whitelist").select(
         "prod_id", "benchmark", *[F.col(n).alias(f"_{n}") for n in ("private", "risk", "term")])
@@ -106,10 +103,12 @@ def rule_lists(customers: DataFrame, products: DataFrame, whitelist: DataFrame,
     own = top_k(own, "cust_id", order, k).groupBy("cust_id").agg(F.collect_list(entry).alias("_own"))
 
     nothing = F.array().cast("array<struct<down:double,prod_id:string>>")
-    merged = F.slice(F.array_sort(F.concat(F.coalesce("_shared", nothing), F.coalesce("_own", nothing))), 1, k)
+    open_lists = [F.coalesce("_level", nothing)]
+    open_lists += [F.when(F.col(f"is_{rule}"), F.coalesce(f"_{rule}", nothing)).otherwise(nothing) for rule in _FLAGS]
+    merged = F.slice(F.array_sort(F.concat(*open_lists, F.coalesce("_own", nothing))), 1, k)
     names = F.transform(merged, lambda p: p["prod_id"])
     return (
-        profiles.join(shared, key, "left").join(own, "cust_id", "left")
+        profiles.join(shared, numbered, "left").join(own, "cust_id", "left")
         .select("cust_id", F.when(F.size(names) > 0, names).alias("prod_list"))
     )
 
@@ -126,7 +125,7 @@ def level_lists(customers: DataFrame, reach: str, products: DataFrame, level: st
     best = best_by_level(with_level(products, level, levels, "_no"), "_no", len(levels), order, k, rank="_rank")
     pairs = F.sort_array(F.collect_list(F.struct("_rank", "prod_id")))
     lists = best.groupBy("_no").agg(F.transform(pairs, lambda p: p["prod_id"]).alias("prod_list"))
-    return with_level(customers, reach, levels, "_no").join(lists, "_no", "left").select("cust_id", "prod_list")
+    return with_level(customers, reach, levels, "_no").join(small_side(pin(lists)), "_no", "left").select("cust_id", "prod_list")
 
 
 def fund_risk(age: Column, risk: Column) -> Column:

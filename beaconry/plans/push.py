@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import ymd
+from ..functions.scalars import case_of
 from ..operators.aggregates import days_with_any
 from ..operators.dimensions import rows_to_frame, with_each
-from ..operators.filters import anti, blank_keys
+from ..operators.filters import blank_keys
 from ..operators.ranking import ranked
+from ..session import pin
 from .calendar import DAILY_PUSHES, blocked_from, push_plan
 
 SLOT = ["channel_id", "banner_id"]
@@ -79,41 +81,42 @@ def candidate_state(pool: DataFrame, channels: Sequence[ChannelState], pushes: D
     return state.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast("int") for c in ("try_push", "actual_push")}).drop("max_user")
 
 
-def without_open_pushes(state: DataFrame, channels: Sequence[ChannelState], pushes: DataFrame, end: str,
-                        delivered_rank: int = 0) -> DataFrame:
-    """Drop users whose last pushes may still be under way; slots pushed daily keep everyone."""
+def open_pushes(channels: Sequence[ChannelState], pushes: DataFrame, end: str, delivered_rank: int = 0) -> DataFrame | None:
+    """Users and slots whose last pushes may still be under way; none for slots pushed daily."""
     waiting = [c for c in channels if not c.daily]
     if not waiting:
-        return state
+        return None
     tests = [
         (F.col("channel_id") == c.channel_id) & (F.col("banner_id") == c.banner_id) & F.col("dt").between(c.blocked_from, end)
         for c in waiting
     ]
     recent = blank_keys(pushes.where(F.col("rank") == delivered_rank), "banner_id")
-    return anti(state, recent.where(reduce(lambda a, b: a | b, tests)), USER_SLOT)
+    return recent.where(reduce(lambda a, b: a | b, tests)).select(*USER_SLOT).distinct()
 
 
 def daily_selection(state: DataFrame, channels: Sequence[ChannelState], pushes: DataFrame, end: str,
                     fail_rate: float = 0.0, delivered_rank: int = 0) -> DataFrame:
     """All candidates by tag: all, filtered (no push under way), done (plan met), ready
-    (pushed today) and later. Today's share is what must go out per day to meet the plan."""
-    filtered = without_open_pushes(state, channels, pushes, end, delivered_rank)
-    done = F.col("plan_push") <= F.col("actual_push")
-    open_users = ranked(filtered.where(~done).drop("rank"), [F.col("try_push"), F.desc("score"), F.col("user_id")],
-                        GROUP_SLOT, rank="_turn", size="_open")
-    days = reduce(
-        lambda acc, c: acc.when((F.col("channel_id") == c.channel_id) & (F.col("banner_id") == c.banner_id), c.days_remain),
-        channels[1:],
-        F.when((F.col("channel_id") == channels[0].channel_id) & (F.col("banner_id") == channels[0].banner_id),
-               channels[0].days_remain),
-    )
+    (pushed today) and later. Today's share is what must go out per day to meet the plan.
+
+    The state is pinned with a mark for pushes under way, then read for the first three tags
+    and for the turns of the open users.
+    """
+    waiting = open_pushes(channels, pushes, end, delivered_rank)
+    marks = state.withColumn("_waiting", F.lit(None).cast("boolean")) if waiting is None else state.join(
+        waiting.withColumn("_waiting", F.lit(True)), USER_SLOT, "left")
+    met = F.col("plan_push") <= F.col("actual_push")
+    rows = pin(marks.select(*USER_SLOT, "user_type", "max_push", "plan_push", "try_push", "actual_push", "score",
+                            F.col("_waiting").isNull().alias("_free"), met.alias("_met")))
+    tags = F.array_compact(F.array(F.lit("all"), F.when(F.col("_free"), "filtered"), F.when(F.col("_free") & F.col("_met"), "done")))
+    settled = rows.withColumn("tag", F.explode(tags))
+
+    unmet = rows.where(F.col("_free") & ~F.col("_met"))
+    turns = ranked(unmet, [F.col("try_push"), F.desc("score"), F.col("user_id")], GROUP_SLOT, rank="_turn", size="_open")
+    days = case_of([
+        ((F.col("channel_id") == c.channel_id) & (F.col("banner_id") == c.banner_id), F.lit(c.days_remain)) for c in channels
+    ])
     share = (F.lit(1 / (1.0 - fail_rate)) * F.col("_open") / days).cast("int")
-    turns = open_users.withColumn("tag", F.when(F.col("_turn") <= share, "ready").otherwise("later"))
+    turns = turns.withColumn("tag", F.when(F.col("_turn") <= share, "ready").otherwise("later"))
     columns = [*USER_SLOT, "user_type", "max_push", "plan_push", "try_push", "actual_push", "tag"]
-    parts = [
-        state.withColumn("tag", F.lit("all")),
-        filtered.withColumn("tag", F.lit("filtered")),
-        filtered.where(done).withColumn("tag", F.lit("done")),
-        turns,
-    ]
-    return reduce(DataFrame.unionByName, [p.select(*columns) for p in parts])
+    return settled.select(*columns).unionByName(turns.select(*columns))

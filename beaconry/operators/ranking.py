@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from ..session import pin
 
 _POSITION_BITS = 33  # monotonically_increasing_id: task number above, row number below
-_IN_TASK_LIMIT = 10_000
+_IN_TASK_LIMIT = 1_000
 _BROADCAST_ROWS = 200_000
 
 

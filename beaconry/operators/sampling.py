@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from itertools import accumulate
 from typing import Sequence
 
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import case_of, unit_hash
 from .ranking import first_n, top_k
 
-_MARGIN = 6.0  # standard deviations
+_BANDS = 65_536
 
 
 def sample_rows(df: DataFrame, fraction: float, salt: str, *keys: str) -> DataFrame:
@@ -48,17 +47,19 @@ def random_split(df: DataFrame, weights: Sequence[tuple[str, float]], seed: int,
 def pick_rows(df: DataFrame, n: int, salt: str, key: str) -> DataFrame:
     """`n` rows drawn at random.
 
-    The draws are uniform, so the n smallest lie below a bound a little above n / rows; only
-    those are put in order. If the bound was too low (or n is near the row count) all are.
+    The draws are counted in bands first; only the bands that hold the n smallest are put in
+    order, so the sort sees little more than n rows.
     """
     draw = df.withColumn("_draw", unit_hash(salt, key))
-    total = df.count()
-    share = n / max(total, 1)
-    bound = share + _MARGIN * math.sqrt(share / max(total, 1))
-    if bound < 1:
-        low = draw.where(F.col("_draw") < bound)
-        draw = low if low.limit(n).count() == n else draw
-    return first_n(draw, [F.col("_draw"), F.col(key)], n).drop("_draw")
+    bands = draw.groupBy(F.floor(F.col("_draw") * _BANDS).alias("band")).count().collect()
+    held, last = 0, _BANDS
+    for band, count in sorted(tuple(row) for row in bands):
+        held += count
+        if held >= n:
+            last = band + 1
+            break
+    low = draw.where(F.col("_draw") < last / _BANDS)
+    return first_n(low, [F.col("_draw"), F.col(key)], n).drop("_draw")
 
 
 def pick_per_group(df: DataFrame, group: str, item: str, k: int, salt: str, rank: str = "rank") -> DataFrame:

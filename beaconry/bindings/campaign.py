@@ -615,9 +615,10 @@ def report_warehouse_union(t: Tables) -> DataFrame:
     return reports.warehouse_extract(union_present([*_warehouse_sources(t), None]), BATCH)
 
 
-def event_feedback(t: Tables) -> DataFrame:
+def event_feedback(t: Tables, start: str = "20240105", end: str = "20240118") -> DataFrame:
     kind = F.col("event_type")
-    rows = t.events.select("user_id", event_item().alias("item_id"), ymd("ts").alias("dt"), kind.isin("view", "purchase").cast("int").alias("send"), (kind == "click").cast("int").alias("click"))
+    seen = t.events.where(on_days("ts", start, end))
+    rows = seen.select("user_id", event_item().alias("item_id"), ymd("ts").alias("dt"), kind.isin("view", "purchase").cast("int").alias("send"), (kind == "click").cast("int").alias("click"))
     return rows.join(pool(t).select("user_id", "user_type"), "user_id")
 
 
@@ -707,8 +708,8 @@ coh AS (SELECT * FROM dl UNION ALL SELECT user_id, '0', 'card9', '19000000' FROM
 
 
 def _cohort(t: Tables) -> DataFrame:
-    fb = event_feedback(t)
-    kept = (F.col("send") > 0) & F.col("user_type").isin("exp", "ctl") & F.col("dt").between("20240105", "20240106")
+    fb = event_feedback(t, "20240105", "20240106")
+    kept = (F.col("send") > 0) & F.col("user_type").isin("exp", "ctl")
     delivered = fb.where(kept).select("user_id", "user_type", F.col("item_id").alias("prod_id"), "dt").distinct()
     seen = t.events.where((F.col("event_type") == "view") & on_days("ts", "20240101", "20240118")).select("user_id")
     patch = t.customer.where(F.col("c_nationkey") == 7).select(F.col("c_custkey").alias("user_id"))

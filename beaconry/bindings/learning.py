@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..functions.dates import days_since, parse_ymd, ymd
+from ..functions.dates import days_since, ymd
 from ..operators.filters import fill_features, union_all
 from ..operators.sampling import sample_rows
 from ..plans import features, metrics, models, samples
@@ -82,14 +82,14 @@ def wide_customers(t: Tables) -> DataFrame:
 
 
 @query()
-def feature_pipeline_fit(t: Tables) -> DataFrame:
+def feature_vectors_fitted(t: Tables) -> DataFrame:
     wide = wide_customers(t)
     model = features.fit_features(wide, _MAP, "20240131")
     return features.transform_features(wide, model, _MAP)
 
 
 @query()
-def feature_pipeline_reloaded(t: Tables) -> DataFrame:
+def feature_vectors_reloaded(t: Tables) -> DataFrame:
     wide = wide_customers(t)
     path = scratch_path(t.spark, "features")
     features.save_features(features.fit_features(wide, _MAP, "20240131"), _MAP, t.spark, path)

@@ -925,10 +925,10 @@ def fn_sql_registered(t: Tables) -> DataFrame:
 
 
 @query("""
-WITH c AS (SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN '上海银行' || c_name WHEN c_mktsegment = 'MACHINERY' THEN c_name || '(分行级)' ELSE c_name END AS b FROM customer)
-SELECT c_custkey, CASE WHEN starts_with(b, '上海银行') THEN substr(b, 5) WHEN contains(b, '(分行级)') THEN split_part(b, '(分行级)', 1) ELSE b END AS branch FROM c
+WITH c AS (SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN '第一银行' || c_name WHEN c_mktsegment = 'MACHINERY' THEN c_name || '(分行级)' ELSE c_name END AS b FROM customer)
+SELECT c_custkey, CASE WHEN starts_with(b, '第一银行') THEN substr(b, 5) WHEN contains(b, '(分行级)') THEN split_part(b, '(分行级)', 1) ELSE b END AS branch FROM c
 """)
 def fn_branch_name(t: Tables) -> DataFrame:
     name, segment = F.col("c_name"), F.col("c_mktsegment")
-    raw = F.when(segment == "BUILDING", F.concat(F.lit("上海银行"), name)).when(segment == "MACHINERY", F.concat(name, F.lit("(分行级)"))).otherwise(name)
-    return t.customer.select("c_custkey", S.branch_name(raw).alias("branch"))
+    raw = F.when(segment == "BUILDING", F.concat(F.lit("第一银行"), name)).when(segment == "MACHINERY", F.concat(name, F.lit("(分行级)"))).otherwise(name)
+    return t.customer.select("c_custkey", S.branch_name(raw, "第一银行").alias("branch"))

@@ -94,15 +94,14 @@ def clean_ad(text) -> Column:
     return text
 
 
-# How branch names are written in the source.
-BRANCH_PREFIX = "上海银行"
+# Fixed value: mark of the organisation level behind a branch name.
 BRANCH_SUFFIX = "(分行级)"
 
 
-def branch_name(value, prefix: str = BRANCH_PREFIX, suffix: str = BRANCH_SUFFIX) -> Column:
+def branch_name(value, bank: str, suffix: str = BRANCH_SUFFIX) -> Column:
     """Branch name without the bank's name in front or the level mark behind."""
     return (
-        F.when(F.startswith(value, F.lit(prefix)), F.substr(value, F.lit(len(prefix) + 1)))
+        F.when(F.startswith(value, F.lit(bank)), F.substr(value, F.lit(len(bank) + 1)))
         .when(F.contains(value, F.lit(suffix)), F.substring_index(value, suffix, 1))
         .otherwise(value)
     )

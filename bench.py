@@ -39,7 +39,7 @@ def main() -> None:
     known = all_queries()
     names = sys.argv[1:] or HEADLINE
     names = list(known) if names == ["all"] else names
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "1"))
     times = {}
     for name in names:
         runs = sorted(run(spark, known[name], directory) for _ in range(repeat + 1))

@@ -64,9 +64,9 @@ def test_clean_ad(spark):
 
 
 def test_branch_name(spark):
-    assert value(spark, S.branch_name(F.lit("上海银行东区"))) == "东区"
-    assert value(spark, S.branch_name(F.lit("西区(分行级)"))) == "西区"
-    assert value(spark, S.branch_name(F.lit("南区"))) == "南区"
+    assert value(spark, S.branch_name(F.lit("第一银行东区"), "第一银行")) == "东区"
+    assert value(spark, S.branch_name(F.lit("西区(分行级)"), "第一银行")) == "西区"
+    assert value(spark, S.branch_name(F.lit("南区"), "第一银行")) == "南区"
 
 
 def test_vectors(spark):

@@ -13,7 +13,7 @@ from ..operators.ranking import first_per_key, top_k, top_list
 from ..operators.rerank import ChannelItems, Item, rerank
 from ..operators.sampling import random_split
 from ..plans import calendar, cohort, delivery, evaluation, feedback, groups, package, push, reports
-from .registry import Tables, registrar
+from .registry import Tables, decimals_as_doubles, registrar
 from .relational import CENTS, _sql_funnel, sql_hash
 
 QUERIES: dict = {}
@@ -385,9 +385,9 @@ pack AS (SELECT DISTINCT ev.user_id, user_type, item FROM ev JOIN pool ON ev.use
 got AS (SELECT user_id, SUM(CASE WHEN value > 100 THEN 1 ELSE 0 END) AS n FROM ev WHERE event_type = 'purchase' AND dt = '20240113' GROUP BY 1),
 lim AS (SELECT * FROM (VALUES ('ctl1', 30), ('noop', 100000)) AS v(user_type, max_user)),
 np AS (SELECT user_id, pool.user_type, ROW_NUMBER() OVER (PARTITION BY pool.user_type ORDER BY score DESC, user_id) AS rank, max_user FROM pool JOIN lim ON pool.user_type = lim.user_type)
-SELECT pack.user_id, user_type, item AS item_id, 'SMS' AS channel_id, '' AS banner_id, CASE WHEN n > 0 THEN 1 ELSE 0 END AS send, NULL::INTEGER AS click
+SELECT pack.user_id, user_type, item AS item_id, 'SMS' AS channel_id, '' AS banner_id, CASE WHEN n > 0 THEN 1 ELSE 0 END AS send
 FROM pack LEFT JOIN got ON pack.user_id = got.user_id
-UNION ALL SELECT user_id, user_type, 'CARD', 'SMS', '', 0, NULL FROM np WHERE rank <= max_user
+UNION ALL SELECT user_id, user_type, 'CARD', 'SMS', '', 0 FROM np WHERE rank <= max_user
 """)
 def feedback_messages(t: Tables) -> DataFrame:
     events = t.events.withColumns({"dt": ymd("ts"), "item_id": event_item()})
@@ -397,7 +397,8 @@ def feedback_messages(t: Tables) -> DataFrame:
     log = events.where((F.col("event_type") == "purchase") & on_days("ts", "20240113", "20240113")).select(
         F.format_string("Customer#%09d", "user_id").alias("phone"), "value")
     sent = feedback.message_feedback(pack, phones, log, F.col("value") > 100)
-    return sent.unionByName(feedback.unpushed_groups(pool(t), {"ctl1": 30, "noop": 100000}, "CARD", "SMS", ""))
+    unpushed = feedback.unpushed_groups(pool(t), {"ctl1": 30, "noop": 100000}, "CARD", "SMS", "")
+    return sent.unionByName(unpushed).drop("click")  # messages have no clicks
 
 
 @query(f"""
@@ -552,15 +553,16 @@ def _sql_side(name: str) -> str:
 @query(f"""
 WITH {SQL_STANDINS}, {_sql_side('credit')}, {_sql_side('debit')}
 SELECT COALESCE(c.user_id, d.user_id) AS cust_id, CASE WHEN c.user_id IS NULL THEN 'debit_card' ELSE 'credit_card' END AS user_type,
-  d.score AS debit_score, d.rank AS debit_rank, d.rank::DOUBLE / d.n AS debit_percentile, CASE WHEN d.user_id IS NULL THEN 'NULL_VALUE' ELSE '20240120' END AS debit_date,
-  c.score AS credit_score, c.rank AS credit_rank, c.rank::DOUBLE / c.n AS credit_percentile, CASE WHEN c.user_id IS NULL THEN 'NULL_VALUE' ELSE '20240120' END AS credit_date,
+  d.score AS debit_score, d.rank::DOUBLE AS debit_rank, d.rank::DOUBLE / d.n AS debit_percentile, CASE WHEN d.user_id IS NULL THEN 'NULL_VALUE' ELSE '20240120' END AS debit_date,
+  c.score AS credit_score, c.rank::DOUBLE AS credit_rank, c.rank::DOUBLE / c.n AS credit_percentile, CASE WHEN c.user_id IS NULL THEN 'NULL_VALUE' ELSE '20240120' END AS credit_date,
   '20240120' AS model_dt, '20240120' AS data_dt, {', '.join(f"'NULL_VALUE' AS rev{i}" for i in range(1, 11))}
 FROM credit_p c FULL JOIN debit_p d ON c.user_id = d.user_id
 """)
 def report_prediction_extract(t: Tables) -> DataFrame:
     scored = pool(t)
     sides = [reports.pool_percentiles(semi(scored, holders(t, p), "user_id")) for p in (CREDIT, DEBIT)]
-    return reports.prediction_extract(sides[0], sides[1], BATCH)
+    extract = reports.prediction_extract(sides[0], sides[1], BATCH)
+    return extract.withColumns({f"{side}_rank": F.col(f"{side}_rank").cast("double") for side in ("credit", "debit")})
 
 
 _SQL_WAREHOUSE = """
@@ -630,7 +632,7 @@ fb AS (SELECT ev.user_id, item AS item_id, dt, CASE WHEN event_type IN ('view',
 
 @query(f"""
 WITH {SQL_STANDINS}, {_SQL_FEEDBACK},
-bal AS (SELECT user_id, dt, CAST(SUM({CENTS.format('value')}) AS DOUBLE) AS aum, COUNT(*) AS moves FROM ev GROUP BY 1, 2),
+bal AS (SELECT user_id, dt, CAST(SUM({CENTS.format('value')}) AS DOUBLE) AS aum, COUNT(*)::DOUBLE AS moves FROM ev GROUP BY 1, 2),
 touch AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY dt DESC, item_id) AS rn FROM fb
    WHERE (dt BETWEEN '20240105' AND '20240118' AND send > 0 AND user_type NOT IN ('ctl1', 'noop')) OR (dt = '20240118' AND user_type IN ('ctl1', 'noop'))) WHERE rn = 1),
 b AS (SELECT user_id, user_type, item_id AS prod_id, CASE WHEN user_type IN ('ctl1', 'noop') THEN '20240105' ELSE strftime(strptime(dt, '%Y%m%d') - INTERVAL 1 DAY, '%Y%m%d') END AS before_dt FROM touch)
@@ -638,7 +640,7 @@ SELECT b.user_id, user_type, prod_id, before_dt, o.aum AS pre_aum, o.moves AS pr
 LEFT JOIN bal o ON b.user_id = o.user_id AND b.before_dt = o.dt LEFT JOIN bal n ON b.user_id = n.user_id AND n.dt = '20240125'
 """)
 def report_touched_assets(t: Tables) -> DataFrame:
-    balances = t.events.groupBy("user_id", ymd("ts").alias("dt")).agg(F.sum(S.money(F.col("value"))).cast("double").alias("aum"), F.count("*").alias("moves"))
+    balances = t.events.groupBy("user_id", ymd("ts").alias("dt")).agg(F.sum(S.money(F.col("value"))).cast("double").alias("aum"), F.count("*").cast("double").alias("moves"))
     return reports.touched_assets(event_feedback(t), balances, "20240118", "20240105", "20240125", ["ctl1", "noop"], ["aum", "moves"])
 
 
@@ -725,9 +727,9 @@ _STEPS = ("view", "click", "buy")
 
 
 def _sql_eval(level: str, group: str) -> str:
-    keys = {"sum": "NULL::INTEGER AS branch, user_type", "date": "branch, user_type", "all": "NULL AS branch, NULL AS user_type"}[level]
+    keys = {"sum": "NULL::VARCHAR AS branch, user_type", "date": "branch, user_type", "all": "NULL AS branch, NULL AS user_type"}[level]
     return f"""SELECT '{level}' AS level, {keys}, {_sql_funnel(_STEPS)}, SUM(applied)::BIGINT AS applied,
-      CAST(round(SUM(applied)::DECIMAL(28,10) / COUNT(*), 6) AS DECIMAL(38,6)) AS applied_rate, CAST(SUM(balance) AS DECIMAL(38,6)) AS balance FROM x {group}"""
+      CAST(CAST(round(SUM(applied)::DECIMAL(28,10) / COUNT(*), 6) AS DECIMAL(38,6)) AS DOUBLE) AS applied_rate, CAST(SUM(balance) AS DOUBLE) AS balance FROM x {group}"""
 
 
 @query(f"""
@@ -735,7 +737,7 @@ WITH {SQL_STANDINS}, {_SQL_FEEDBACK}, {_SQL_COHORT},
 n AS (SELECT user_id, SUM(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS view, SUM(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS click,
    SUM(CASE WHEN event_type = 'purchase' AND value > 20 THEN 1 ELSE 0 END) AS buy FROM ev GROUP BY 1),
 one AS (SELECT user_id, user_type FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY dt DESC, prod_id) AS rn FROM coh) WHERE rn = 1),
-x AS (SELECT one.user_id, user_type, c_nationkey AS branch, view, click, buy, CASE WHEN a.user_id IS NULL THEN 0 ELSE 1 END AS applied, CAST(c_acctbal AS DECIMAL(38,6)) AS balance
+x AS (SELECT one.user_id, user_type, CAST(c_nationkey AS VARCHAR) AS branch, view, click, buy, CASE WHEN a.user_id IS NULL THEN 0 ELSE 1 END AS applied, CAST(c_acctbal AS DECIMAL(38,6)) AS balance
    FROM one JOIN customer ON one.user_id = c_custkey LEFT JOIN n ON one.user_id = n.user_id LEFT JOIN (SELECT DISTINCT user_id FROM debit WHERE apply_dt >= '20000101') a ON one.user_id = a.user_id)
 {_sql_eval('sum', 'GROUP BY user_type')} UNION ALL {_sql_eval('date', 'GROUP BY branch, user_type')} UNION ALL {_sql_eval('all', '')}
 """)
@@ -744,8 +746,8 @@ def evaluation_funnel(t: Tables) -> DataFrame:
     steps = {"view": kind == "view", "click": kind == "click", "buy": (kind == "purchase") & (F.col("value") > 20)}
     counts = evaluation.step_counts(t.events, steps)
     last = first_per_key(_cohort(t), "user_id", [F.desc("dt"), F.col("prod_id")]).select("user_id", "user_type")
-    people = t.customer.select(F.col("c_custkey").alias("user_id"), F.col("c_nationkey").alias("branch"), F.col("c_acctbal").cast("decimal(28,6)").alias("balance"))
+    people = t.customer.select(F.col("c_custkey").alias("user_id"), F.col("c_nationkey").cast("string").alias("branch"), F.col("c_acctbal").cast("decimal(28,6)").alias("balance"))
     applied = holders(t, DEBIT).where(F.col("apply_dt") >= "20000101").select("user_id").distinct().withColumn("applied", F.lit(1))
     rows = last.join(people, "user_id").join(counts, "user_id", "left").join(applied, "user_id", "left")
     levels = {"sum": ["user_type"], "date": ["branch", "user_type"], "all": []}
-    return evaluation.funnel(rows, list(steps), levels, ["balance"], "applied")
+    return decimals_as_doubles(evaluation.funnel(rows, list(steps), levels, ["balance"], "applied"))

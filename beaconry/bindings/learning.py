@@ -98,7 +98,7 @@ def feature_vectors_reloaded(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT c_custkey AS user_id, CAST(round(list_sum(list_transform(embedding, lambda x: x::DOUBLE)), 6) AS DOUBLE) AS total, len(embedding)::INTEGER AS size
+SELECT c_custkey AS user_id, CAST(round(list_sum(list_transform(embedding, lambda x: x::DOUBLE)), 6) AS DOUBLE) AS total, COALESCE(len(embedding), 0)::INTEGER AS size
 FROM customer LEFT JOIN embeddings ON c_custkey = vec_id AND label < 5
 """)
 def feature_attach_stored(t: Tables) -> DataFrame:
@@ -108,7 +108,7 @@ def feature_attach_stored(t: Tables) -> DataFrame:
     rows = features.attach_features(users, stored, "v1")
     vector = F.col("user_features")
     total = F.round(F.aggregate(vector, F.lit(0.0), lambda a, x: a + x), 6)
-    return rows.select("user_id", total.alias("total"), F.when(vector.isNotNull(), F.size(vector)).alias("size"))
+    return rows.select("user_id", total.alias("total"), F.when(vector.isNotNull(), F.size(vector)).otherwise(0).alias("size"))
 
 
 # --- samples -----------------------------------------------------------------------------------
@@ -299,8 +299,7 @@ def metric_model_evaluation(t: Tables) -> DataFrame:
     scored = models.score(held_out, model)
     area = metrics.auc(scored.select(F.get("probability", 1).alias("score"), F.col("label").alias("positive")))
     counts = metrics.binary_metrics(scored)
-    one = F.lit(1)
     return union_all([
         counts.select(F.explode(F.create_map(*[x for c in ("accuracy", "precision", "recall", "f1") for x in (F.lit(c), F.col(c))])).alias("metric", "value")),
-        area.select(F.explode(F.create_map(F.lit("auc"), F.col("auc") * one)).alias("metric", "value")),
+        area.select(F.explode(F.create_map(F.lit("auc"), F.col("auc"))).alias("metric", "value")),
     ])

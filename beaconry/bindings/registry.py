@@ -5,6 +5,8 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import read_table
 
@@ -20,6 +22,12 @@ class Tables:
         return read_table(self.spark, self.directory, name)
 
 
+def decimals_as_doubles(df: DataFrame) -> DataFrame:
+    """Decimals as doubles, which every client reads alike."""
+    exact = [f.name for f in df.schema if isinstance(f.dataType, T.DecimalType)]
+    return df.withColumns({name: F.col(name).cast("double") for name in exact})
+
+
 def registrar(queries: dict, oracles: dict):
     """Decorator factory: `@query(sql)` above a function of `Tables`."""
 

@@ -29,7 +29,7 @@ from ..operators.dimensions import small_rows, small_side, with_each
 from ..session import pin
 from ..sources.partitions import scan_range, snapshot
 from ..sources.tables import load_features
-from .registry import Tables, registrar
+from .registry import Tables, decimals_as_doubles, registrar
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -89,7 +89,7 @@ def scan_range_text(t: Tables) -> DataFrame:
 @query(f"""
 WITH o AS (SELECT o_custkey, COUNT(*) AS n_orders, MAX(strftime(o_orderdate, '%Y%m%d')) AS last_order,
                   CAST(SUM({CENTS.format('o_totalprice')}) AS DOUBLE) AS spent FROM orders GROUP BY 1),
-     e AS (SELECT user_id, COUNT(*) AS n_events FROM events GROUP BY 1)
+     e AS (SELECT user_id, COUNT(*)::DOUBLE AS n_events FROM events GROUP BY 1)
 SELECT c_custkey AS user_id, c_acctbal, c_mktsegment, n_orders, last_order, spent, n_events
 FROM customer LEFT JOIN o ON c_custkey = o_custkey LEFT JOIN e ON c_custkey = user_id
 """)
@@ -99,7 +99,7 @@ def scan_wide_features(t: Tables) -> DataFrame:
         F.count("*").alias("n_orders"), F.max(ymd("o_orderdate")).alias("last_order"),
         F.sum(S.money(F.col("o_totalprice"))).cast("double").alias("spent"),
     )
-    events = t.events.groupBy(F.col("user_id").alias("cust_id")).agg(F.count("*").alias("n_events"), F.lit("x").alias("last_order"))
+    events = t.events.groupBy(F.col("user_id").alias("cust_id")).agg(F.count("*").cast("double").alias("n_events"), F.lit("x").alias("last_order"))
     users = t.customer.select(F.col("c_custkey").alias("user_id"))
     return load_features(users, [profile, orders, events],
                          ["c_acctbal", "n_orders", "c_mktsegment", "last_order", "spent", "n_events", "unknown"])
@@ -214,12 +214,12 @@ def project_dedupe(t: Tables) -> DataFrame:
 
 @query("""
 SELECT CAST(s_suppkey AS VARCHAR) AS item_id, CAST(trunc(s_acctbal) AS INTEGER) AS whole, s_name AS name,
-       CAST(s_acctbal AS DECIMAL(18,2)) AS balance FROM supplier
+       CAST(CAST(s_acctbal AS DECIMAL(18,2)) AS DOUBLE) AS balance FROM supplier
 """)
 def project_cast_rename(t: Tables) -> DataFrame:
     renamed = t.supplier.withColumnRenamed("s_name", "name")
-    return renamed.select(F.col("s_suppkey").cast("string").alias("item_id"), F.col("s_acctbal").cast("int").alias("whole"),
-                          "name", S.money(F.col("s_acctbal")).alias("balance"))
+    return decimals_as_doubles(renamed.select(F.col("s_suppkey").cast("string").alias("item_id"), F.col("s_acctbal").cast("int").alias("whole"),
+                          "name", S.money(F.col("s_acctbal")).alias("balance")))
 
 
 @query(f"SELECT o_orderkey, o_custkey FROM orders WHERE {sql_hash('neg', 'o_orderkey')} < 0.035")
@@ -252,11 +252,12 @@ def sample_pick_rows(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT c_custkey, c_name, o_orderkey, o_totalprice FROM customer
+SELECT c_custkey, c_name, CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_totalprice FROM customer
 LEFT JOIN (SELECT * FROM orders WHERE o_orderpriority = '1-URGENT') ON c_custkey = o_custkey
 """)
 def join_left(t: Tables) -> DataFrame:
-    urgent = t.orders.where(F.col("o_orderpriority") == "1-URGENT").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice")
+    urgent = t.orders.where(F.col("o_orderpriority") == "1-URGENT").select(
+        F.col("o_custkey").alias("c_custkey"), F.col("o_orderkey").cast("string").alias("o_orderkey"), "o_totalprice")
     return t.customer.select("c_custkey", "c_name").join(urgent, "c_custkey", "left")
 
 
@@ -529,8 +530,8 @@ def _sql_funnel(steps) -> str:
     for s in steps:
         users, total = f"SUM(CASE WHEN {s} > 0 THEN 1 ELSE 0 END)", f"COALESCE(SUM({s}), 0)"
         parts += [f"CAST({users} AS BIGINT) AS {s}_users", f"CAST({total} AS BIGINT) AS {s}_total",
-                  f"CAST(round({users}::DECIMAL(28,10) / COUNT(*), 6) AS DECIMAL(38,6)) AS {s}_user_rate",
-                  f"CAST(round({total}::DECIMAL(28,10) / COUNT(*), 6) AS DECIMAL(38,6)) AS {s}_rate"]
+                  f"CAST(CAST(round({users}::DECIMAL(28,10) / COUNT(*), 6) AS DECIMAL(38,6)) AS DOUBLE) AS {s}_user_rate",
+                  f"CAST(CAST(round({total}::DECIMAL(28,10) / COUNT(*), 6) AS DECIMAL(38,6)) AS DOUBLE) AS {s}_rate"]
     return ",\n".join(parts)
 
 
@@ -538,7 +539,7 @@ _SQL_COUNTS = """
 WITH n AS (SELECT user_id, SUM(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS view,
                   SUM(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS click,
                   SUM(CASE WHEN event_type = 'purchase' AND value > 100 THEN 1 ELSE 0 END) AS purchase FROM events GROUP BY 1),
-     u AS (SELECT c_custkey, c_mktsegment, c_nationkey, view, click, purchase FROM customer LEFT JOIN n ON c_custkey = user_id)
+     u AS (SELECT c_custkey, c_mktsegment, CAST(c_nationkey AS VARCHAR) AS c_nationkey, view, click, purchase FROM customer LEFT JOIN n ON c_custkey = user_id)
 """
 
 
@@ -547,22 +548,22 @@ def _step_counts(t: Tables) -> DataFrame:
     counts = t.events.groupBy(F.col("user_id").alias("c_custkey")).agg(
         F.count_if(kind == "view").alias("view"), F.count_if(kind == "click").alias("click"),
         F.count_if((kind == "purchase") & (F.col("value") > 100)).alias("purchase"))
-    return t.customer.select("c_custkey", "c_mktsegment", "c_nationkey").join(counts, "c_custkey", "left")
+    return t.customer.select("c_custkey", "c_mktsegment", F.col("c_nationkey").cast("string").alias("c_nationkey")).join(counts, "c_custkey", "left")
 
 
 @query(f"{_SQL_COUNTS} SELECT c_mktsegment, {_sql_funnel(_FUNNEL_STEPS)} FROM u GROUP BY 1")
 def agg_funnel(t: Tables) -> DataFrame:
-    return _step_counts(t).groupBy("c_mktsegment").agg(*A.funnel_columns(_FUNNEL_STEPS))
+    return decimals_as_doubles(_step_counts(t).groupBy("c_mktsegment").agg(*A.funnel_columns(_FUNNEL_STEPS)))
 
 
 @query(f"""{_SQL_COUNTS}
-SELECT 'sum' AS level, NULL::INTEGER AS c_nationkey, c_mktsegment, {_sql_funnel(_FUNNEL_STEPS)} FROM u GROUP BY c_mktsegment
+SELECT 'sum' AS level, NULL::VARCHAR AS c_nationkey, c_mktsegment, {_sql_funnel(_FUNNEL_STEPS)} FROM u GROUP BY c_mktsegment
 UNION ALL SELECT 'branch', c_nationkey, c_mktsegment, {_sql_funnel(_FUNNEL_STEPS)} FROM u GROUP BY c_nationkey, c_mktsegment
 UNION ALL SELECT 'all', NULL, NULL, {_sql_funnel(_FUNNEL_STEPS)} FROM u
 """)
 def agg_levels(t: Tables) -> DataFrame:
     levels = {"sum": ["c_mktsegment"], "branch": ["c_nationkey", "c_mktsegment"], "all": []}
-    return A.at_levels(_step_counts(t), levels, A.funnel_columns(_FUNNEL_STEPS))
+    return decimals_as_doubles(A.at_levels(_step_counts(t), levels, A.funnel_columns(_FUNNEL_STEPS)))
 
 
 @query("""
@@ -808,14 +809,14 @@ def fn_dates(t: Tables) -> DataFrame:
 @query("""
 SELECT c_custkey, round(ln(1 + greatest(c_acctbal, 0)), 6) AS logged, c_acctbal / 7 AS divided,
        CAST(trunc(c_acctbal) AS INTEGER) AS whole, greatest(c_nationkey, 10) AS at_least,
-       CAST(CAST(c_acctbal AS DECIMAL(18,2)) * 3 AS DECIMAL(38,6)) AS exact
+       CAST(CAST(CAST(c_acctbal AS DECIMAL(18,2)) * 3 AS DECIMAL(38,6)) AS DOUBLE) AS exact
 FROM customer
 """)
 def fn_math(t: Tables) -> DataFrame:
     balance = F.col("c_acctbal")
     return t.customer.select(
         "c_custkey", F.round(S.safe_log1p(balance), 6).alias("logged"), (balance / 7).alias("divided"), balance.cast("int").alias("whole"),
-        F.greatest("c_nationkey", F.lit(10)).alias("at_least"), (S.money(balance) * 3).cast("decimal(38,6)").alias("exact"))
+        F.greatest("c_nationkey", F.lit(10)).alias("at_least"), (S.money(balance) * 3).cast("decimal(38,6)").cast("double").alias("exact"))
 
 
 @query("""

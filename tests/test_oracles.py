@@ -8,11 +8,12 @@ import numpy as np
 import pytest
 
 import __spark_entry__ as contract
+from beaconry.bindings import all_oracles, all_queries
 
 DATA = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 NOT_DISTRIBUTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "BatchEvalPython", "ArrowEvalPython")
 
 

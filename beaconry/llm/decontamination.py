@@ -36,11 +36,12 @@ UNITS = ("%", "$", "€", "£", "°", "mm", "cm", "m", "km", "mg", "g", "kg", "m
 def template(text: Column) -> Column:
     """array<struct<c, v>>: template word, and the value that a placeholder stands for (null for a plain word)."""
     raw = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(_TOKEN), F.lit(0))
-    return F.filter(F.transform(raw, lambda t, i: _word(raw, t, i)), lambda w: w["c"].isNotNull())
+    # Each token beside the one before it: a lambda that named the array would evaluate it for every token.
+    pairs = F.arrays_zip(raw.alias("t"), F.concat(F.array(F.lit(None).cast("string")), raw).alias("before"))
+    return F.filter(F.transform(pairs, lambda p: _word(p["t"], p["before"])), lambda w: w["c"].isNotNull())
 
 
-def _word(raw: Column, t: Column, i: Column) -> Column:
-    before = F.get(raw, i - 1)
+def _word(t: Column, before: Column) -> Column:
     first = F.substring(t, 1, 1)
     low = F.lower(t)
     digit = first.between("0", "9")
@@ -49,7 +50,7 @@ def _word(raw: Column, t: Column, i: Column) -> Column:
     inside = F.coalesce(~F.substring(before, 1, 1).isin(".", "!", "?", ":", "\n"), F.lit(False))
     unit = low.isin(*UNITS[:5]) | (after_number & low.isin(*UNITS))
     name = inside & (F.lower(first) != first)
-    kind = F.when(mark, F.lit(None)).when(digit, NUMBER).when(unit, UNIT).when(name, NAME).otherwise(low)
+    kind = F.when(t.isNull() | mark, F.lit(None)).when(digit, NUMBER).when(unit, UNIT).when(name, NAME).otherwise(low)
     return F.struct(kind.cast("string").alias("c"), F.when(digit | unit | name, low).alias("v"))
 
 
@@ -60,8 +61,9 @@ def _windows(words: Column) -> Column:
 
 def question_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """Telling windows of each question: item, place, h, slots (offset, kind, value), n (telling windows of the item)."""
-    rows = benchmark.select(F.col(id_col).alias("item"), template(F.col(text_col)).alias("t")).where("size(t) > 0").distinct()
-    at = rows.select("item", "t", F.posexplode(_windows(F.transform("t", lambda w: w["c"]))).alias("place", "h"))
+    rows = benchmark.select(F.col(id_col).alias("item"), template(F.col(text_col)).alias("t")).where("size(t) > 0")
+    rows = rows.select("item", "t", F.transform("t", lambda w: w["c"]).alias("c")).distinct()
+    at = rows.select("item", "t", F.posexplode(_windows(F.col("c"))).alias("place", "h"))
     part = F.slice("t", F.col("place") + 1, WORDS)
     slots = F.filter(F.transform(part, lambda w, i: F.struct(i.alias("offset"), w["c"].alias("kind"), w["v"].alias("value"))), lambda s: s["value"].isNotNull())
     at = at.select("item", "place", "h", F.size(part).alias("words"), slots.alias("slots"))
@@ -112,26 +114,27 @@ def leaks_sql() -> str:
     ends = "'.', '!', '?', ':', chr(10)"
 
     def words(table, key):
-        before = "substring(raw[i - 1], 1, 1)"
-        digit, mark = "substring(x, 1, 1) BETWEEN '0' AND '9'", f"substring(x, 1, 1) IN ({ends})"
-        unit = f"(lower(x) IN ({signs}) OR (i > 1 AND {before} BETWEEN '0' AND '9' AND lower(x) IN ({units})))"
-        name = f"(i > 1 AND {before} NOT IN ({ends}) AND lower(substring(x, 1, 1)) <> substring(x, 1, 1))"
-        return f"""SELECT key, list_filter(list_transform(raw, (x, i) -> {{'c': CASE WHEN {mark} THEN NULL WHEN {digit} THEN '{NUMBER}' WHEN {unit} THEN '{UNIT}'
- WHEN {name} THEN '{NAME}' ELSE lower(x) END, 'v': CASE WHEN {digit} OR {unit} OR {name} THEN lower(x) END}}), w -> w.c IS NOT NULL) AS t
+        before = "substring(z[2], 1, 1)"
+        digit, mark = "substring(z[1], 1, 1) BETWEEN '0' AND '9'", f"substring(z[1], 1, 1) IN ({ends})"
+        unit = f"(lower(z[1]) IN ({signs}) OR (z[2] IS NOT NULL AND {before} BETWEEN '0' AND '9' AND lower(z[1]) IN ({units})))"
+        name = f"(z[2] IS NOT NULL AND {before} NOT IN ({ends}) AND lower(substring(z[1], 1, 1)) <> substring(z[1], 1, 1))"
+        return f"""SELECT key, list_filter(list_transform(list_zip(raw, list_concat([NULL], raw[:-2])), lambda z: {{'c': CASE WHEN {mark} THEN NULL WHEN {digit} THEN '{NUMBER}' WHEN {unit} THEN '{UNIT}'
+ WHEN {name} THEN '{NAME}' ELSE lower(z[1]) END, 'v': CASE WHEN {digit} OR {unit} OR {name} THEN lower(z[1]) END}}), lambda w: w.c IS NOT NULL) AS t
  FROM (SELECT DISTINCT {key} AS key, regexp_extract_all(coalesce(text, ''), '{_TOKEN.replace(chr(92) + "n", chr(10))}') AS raw FROM {table})"""
 
     windows = f"unnest(range(1, greatest(len(t) - {WORDS - 2}, 2))) AS place"
-    return f"""WITH q AS ({words("benchmark", "item_id")}), d AS ({words("documents", "doc_id")}),
+    return f"""WITH q AS ({words("benchmark", "item_id")}), d AS MATERIALIZED (SELECT row_number() OVER () AS rid, key, t FROM ({words("documents", "doc_id")})),
 qw AS (SELECT key AS item, place, list_slice(t, place, place + {WORDS - 1}) AS p FROM (SELECT key, t, {windows} FROM q WHERE len(t) > 0)),
-qt AS (SELECT item, place, list_transform(p, w -> w.c) AS h, list_transform(p, w -> w.v) AS old FROM qw
- WHERE len(list_filter(p, w -> w.v IS NULL)) >= least({LITERALS}, len(p))),
-qn AS (SELECT *, (SELECT count(DISTINCT place) FROM qt b WHERE b.item = a.item) AS n FROM qt a),
-dw AS (SELECT key AS doc_id, t, place AS spot, list_slice(t, place, place + {WORDS - 1}) AS p FROM (SELECT key, t, {windows} FROM d WHERE len(t) > 0)),
-hits AS (SELECT DISTINCT doc_id, dw.t AS t, item, spot, place, n, old, list_transform(p, w -> w.v) AS new, spot - place AS shift
- FROM (SELECT doc_id, t, spot, p, list_transform(p, w -> w.c) AS h FROM dw) dw JOIN qn USING (h)),
-slots AS (SELECT DISTINCT doc_id, t, item, shift, unnest(list_zip(h.old, h.new)) AS s FROM hits h),
-vals AS (SELECT doc_id, t, item, shift, s[1] AS old, count(DISTINCT s[2]) AS c, max((s[1] <> s[2])::int) AS other FROM slots WHERE s[1] IS NOT NULL GROUP BY 1, 2, 3, 4, 5),
-ok AS (SELECT doc_id, t, item, shift, max(c) AS c, sum(other) AS n_changed FROM vals GROUP BY 1, 2, 3, 4)
-SELECT h.doc_id AS doc_id, h.item AS item_id, count(DISTINCT place) AS n_windows, max(n) AS item_windows, coalesce(max(n_changed), 0)::bigint AS n_changed
-FROM hits h LEFT JOIN ok ON h.doc_id IS NOT DISTINCT FROM ok.doc_id AND h.t = ok.t AND h.item = ok.item AND h.shift = ok.shift
-WHERE coalesce(c, 1) = 1 GROUP BY h.doc_id, h.t, h.item HAVING count(DISTINCT place) >= {SHARE} * max(n) OR count(DISTINCT place) >= {LONG}"""
+qt AS (SELECT item, place, list_transform(p, lambda w: w.c) AS h, list_transform(p, lambda w: w.v) AS old FROM qw
+ WHERE len(list_filter(p, lambda w: w.v IS NULL)) >= least({LITERALS}, len(p))),
+qc AS (SELECT item, count(DISTINCT place) AS n FROM qt GROUP BY item),
+qn AS (SELECT DISTINCT item, place, h, old, n FROM qt JOIN qc USING (item)),
+dw AS (SELECT rid, place AS spot, list_slice(t, place, place + {WORDS - 1}) AS p FROM (SELECT rid, t, {windows} FROM d WHERE len(t) > 0)),
+hits AS (SELECT DISTINCT rid, item, spot, place, n, old, new, spot - place AS shift
+ FROM (SELECT rid, spot, list_transform(p, lambda w: w.c) AS h, list_transform(p, lambda w: w.v) AS new FROM dw) x JOIN qn USING (h)),
+slots AS (SELECT DISTINCT rid, item, shift, unnest(list_zip(old, new)) AS s FROM hits),
+vals AS (SELECT rid, item, shift, s[1] AS old, count(DISTINCT s[2]) AS c, max((s[1] <> s[2])::int) AS other FROM slots WHERE s[1] IS NOT NULL GROUP BY 1, 2, 3, 4),
+ok AS (SELECT rid, item, shift, max(c) AS c, sum(other) AS n_changed FROM vals GROUP BY 1, 2, 3)
+SELECT d.key AS doc_id, h.item AS item_id, count(DISTINCT place) AS n_windows, max(n) AS item_windows, coalesce(max(n_changed), 0)::bigint AS n_changed
+FROM hits h JOIN d ON d.rid = h.rid LEFT JOIN ok ON h.rid = ok.rid AND h.item = ok.item AND h.shift = ok.shift
+WHERE coalesce(c, 1) = 1 GROUP BY h.rid, d.key, h.item HAVING count(DISTINCT place) >= {SHARE} * max(n) OR count(DISTINCT place) >= {LONG}"""

@@ -24,8 +24,9 @@ KINDS = {"integer": "^-?(0|[1-9][0-9]*)$", "number": "^-?(0|[1-9][0-9]*)([.][0-9
 
 
 def json_text(value: Column) -> Column:
-    """A JSON string literal of `value`."""
-    return F.expr("substring(to_json(struct({0} AS v)), 6, length(to_json(struct({0} AS v))) - 6)".format(value._jc.toString()))
+    """A JSON string literal of `value`, null for null."""
+    whole = F.to_json(F.struct(value.alias("v")))
+    return F.when(value.isNotNull(), F.substring(whole, F.lit(6), F.length(whole) - 6))
 
 
 def steps(calls: DataFrame) -> DataFrame:

@@ -149,7 +149,7 @@ judged AS (SELECT *, CASE {cases} END AS rule FROM split),
 urls AS (SELECT url, count(*) AS n, first(rule) AS rule FROM judged GROUP BY url),
 folded AS (SELECT url, n, '^^' || regexp_replace(translate(url, '{_UPPER}123456789', '{_LOWER}000000000'), '[^a-z0./:?=&%_-]', '*', 'g') || '$' AS symbols,
  substring(md5(url), 1, 1) IN ('0', '1', '2') AS held, (rule IS NOT NULL AND rule IN ({good}))::int AS good, (rule IS NOT NULL AND rule NOT IN ({good}))::int AS bad FROM urls),
-steps AS (SELECT url, n, held, good, bad, unnest(list_transform(range(1, length(symbols) - 1), i -> substring(symbols, i, 3))) AS gram FROM folded),
+steps AS (SELECT url, n, held, good, bad, unnest(list_transform(range(1, length(symbols) - 1), lambda i: substring(symbols, i, 3))) AS gram FROM folded),
 grams AS (SELECT gram, sum(CASE WHEN held THEN 0 ELSE n * good END) AS good, sum(CASE WHEN held THEN 0 ELSE n * bad END) AS bad FROM steps GROUP BY gram),
 {order("o1", "''", None)},
 {order("o2", "substring(gram, 2, 1)", "o1")},

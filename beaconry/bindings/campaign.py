@@ -9,7 +9,7 @@ from ..functions import scalars as S
 from ..functions.dates import on_days, ymd
 from ..operators.dimensions import small_rows
 from ..operators.filters import semi, union_all, union_present
-from ..operators.ranking import first_per_key, top_k, top_list
+from ..operators.ranking import first_per_key, top_k
 from ..operators.rerank import ChannelItems, Item, rerank
 from ..operators.sampling import random_split
 from ..plans import calendar, cohort, delivery, evaluation, feedback, groups, package, push, reports
@@ -576,7 +576,7 @@ src AS (
    CASE event_type WHEN 'view' THEN 'S2011' WHEN 'click' THEN 'S2021' END, 'dag', 'v3', '20240119', 'events' FROM events
  UNION ALL SELECT CAST(o_custkey AS VARCHAR), 'exp', c_name, c_mktsegment, 'finc', CAST(part AS VARCHAR), 'SMS', NULL, NULL, CAST(rn AS VARCHAR), 'S1106', 'S1106', NULL, '20240119', 'lists'
    FROM (SELECT o_custkey, l_partkey AS part, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY l_partkey) AS rn FROM (SELECT DISTINCT o_custkey, l_partkey FROM orders JOIN lineitem ON o_orderkey = l_orderkey))
-   JOIN customer ON o_custkey = c_custkey WHERE rn <= 3),
+   JOIN customer ON o_custkey = c_custkey),
 best AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY src_tbl, cust_id, prod_id, scene_id ORDER BY TRY_CAST(rank AS DOUBLE) DESC, user_type DESC NULLS LAST, prod_type DESC NULLS LAST, score DESC NULLS LAST) AS rn FROM src) WHERE rn = 1)
 """
 
@@ -599,7 +599,7 @@ def _warehouse_sources(t: Tables) -> list[DataFrame]:
         "model_dt": F.lit("20240119"), "src_tbl": F.lit("events")})
     lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("part"))
     bought = lines.join(t.orders.select("o_orderkey", F.col("o_custkey").alias("c_custkey")), "o_orderkey").select("c_custkey", "part").distinct()
-    lists = top_list(bought, "c_custkey", "part", [F.col("part")], 3, "prods").join(t.customer.select("c_custkey", "c_name", "c_mktsegment"), "c_custkey")
+    lists = bought.groupBy("c_custkey").agg(F.sort_array(F.collect_list("part")).alias("prods")).join(t.customer.select("c_custkey", "c_name", "c_mktsegment"), "c_custkey")
     exploded = lists.select("c_custkey", "c_name", "c_mktsegment", F.posexplode("prods").alias("pos", "part"))
     fourth = reports.to_warehouse(exploded, {
         "cust_id": "c_custkey", "user_type": F.lit("exp"), "cust_name": "c_name", "phone_number": "c_mktsegment", "prod_type": F.lit("finc"), "prod_id": "part",

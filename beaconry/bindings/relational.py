@@ -835,10 +835,10 @@ def fn_arrays(t: Tables) -> DataFrame:
 
 
 @query("""
-SELECT e.vec_id, p.i::INTEGER AS pos, e.embedding[p.i + 1]::DOUBLE AS value FROM embeddings e, (SELECT unnest(range(0, 3)) AS i) p
+SELECT vec_id, unnest(range(0, len(embedding)))::INTEGER AS pos, unnest(embedding)::DOUBLE AS value FROM embeddings
 """)
 def fn_posexplode(t: Tables) -> DataFrame:
-    rows = t.embeddings.select("vec_id", F.posexplode(F.slice("embedding", 1, 3)).alias("pos", "value"))
+    rows = t.embeddings.select("vec_id", F.posexplode("embedding").alias("pos", "value"))
     return rows.withColumn("value", F.col("value").cast("double"))
 
 

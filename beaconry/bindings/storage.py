@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..functions.dates import month_of, ymd
 from ..operators.dimensions import rows_to_frame
-from ..operators.ranking import top_list
 from ..session import scratch_path
 from ..sources import keyvalue, partitions, tables, textfiles
 from .registry import Tables, registrar
@@ -161,7 +160,7 @@ def delivery_file(t: Tables) -> DataFrame:
 @query("""
 WITH c AS (SELECT DISTINCT o_custkey, l_partkey FROM orders JOIN lineitem ON o_orderkey = l_orderkey),
      r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY l_partkey) AS rn FROM c),
-     g AS (SELECT o_custkey, '["' || string_agg(CAST(l_partkey AS VARCHAR), '","' ORDER BY rn) || '"]' AS prods FROM r WHERE rn <= 3 GROUP BY 1)
+     g AS (SELECT o_custkey, '["' || string_agg(CAST(l_partkey AS VARCHAR), '","' ORDER BY rn) || '"]' AS prods FROM r GROUP BY 1)
 SELECT 's1106|cust|' || c_custkey AS key, '{"prod_list":' || COALESCE(prods, 'null') || ',"cust_name":' ||
        CASE WHEN c_acctbal < 0 THEN 'null' ELSE '"' || c_name || '"' END || '}' AS value, 86400 AS ttl
 FROM customer LEFT JOIN g ON c_custkey = o_custkey
@@ -169,7 +168,7 @@ FROM customer LEFT JOIN g ON c_custkey = o_custkey
 def keyvalue_rows(t: Tables) -> DataFrame:
     lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("part"))
     bought = lines.join(t.orders.select("o_orderkey", F.col("o_custkey").alias("c_custkey")), "o_orderkey").select("c_custkey", "part").distinct()
-    lists = top_list(bought, "c_custkey", "part", [F.col("part")], 3, "prods")
+    lists = bought.groupBy("c_custkey").agg(F.sort_array(F.collect_list("part")).alias("prods"))
     rows = t.customer.join(lists, "c_custkey", "left").select(
         "c_custkey", F.col("prods").cast("array<string>").alias("prod_list"), F.when(F.col("c_acctbal") >= 0, F.col("c_name")).alias("cust_name"))
     return keyvalue.kv_rows(rows, "s1106|cust", "c_custkey", ["prod_list", "cust_name"], 86400)

@@ -58,7 +58,7 @@ RATIO_SUFFIX = "、"
 
 _DECIMAL = "decimal(38,18)"
 _DIGITS = 4
-_MAX_PLACES = 12
+_MAX_PLACES = 18  # all that the decimal type holds
 
 
 def _text(value) -> Column:
@@ -78,7 +78,7 @@ def _places(number: Column) -> Column:
 
 
 def _rounded(number: Column, places: Column) -> Column:
-    return case_of([(places == n, F.bround(number, n).cast("string")) for n in range(_MAX_PLACES + 1)])
+    return case_of([(F.least(places, F.lit(_MAX_PLACES)) == n, F.bround(number, n).cast("string")) for n in range(_MAX_PLACES + 1)])
 
 
 def _significant(number, source) -> Column:

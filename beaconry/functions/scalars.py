@@ -80,10 +80,7 @@ def case_of(branches: Sequence[tuple[Column, object]], default=None) -> Column:
 
 # Patterns that define what counts as noise in a marketing text.
 PLACEHOLDER = r"\$\{(.+?)\}"
-URL = (
-    r"[-a-zA-Z0-9@:%._\+~#=]{1,256}\.[a-zA-Z0-9()]{1,6}\b"
-    r"([-a-zA-Z0-9()@:%_\+.~#?&//=]*)"
-)
+URL = r"[-a-zA-Z0-9@:%._\+~#=]{1,256}\.[a-zA-Z0-9()]{1,6}\b([-a-zA-Z0-9()@:%_\+.~#?&//=]*)"
 SALUTATION = r"(尊敬|亲爱)的.*(先生|女士)(：|，)"
 
 

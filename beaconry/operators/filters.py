@@ -57,8 +57,8 @@ def blank_keys(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def fill_features(df: DataFrame, numeric: Sequence[str], text: Sequence[str]) -> DataFrame:
-    """Numbers to double with null as 0; null and empty text as NA."""
-    df = df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in numeric})
+    """Numbers to double with null, NaN and text that is no number as 0; null and empty text as NA."""
+    df = df.withColumns({c: F.coalesce(F.nanvl(F.col(c).try_cast("double"), F.lit(0.0)), F.lit(0.0)) for c in numeric})
     return df.withColumns({c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit("NA")) for c in text})
 
 

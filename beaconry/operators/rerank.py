@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 from itertools import accumulate
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import case_of, unit_hash
@@ -78,12 +78,15 @@ def rerank(df: DataFrame, items: Sequence[Item], channels: Sequence[ChannelItems
     enabled = _texts([item.main_id for item in items if item.enable])
     probability = F.col(scores)
 
-    slots = df.withColumn("banner_id", F.coalesce("banner_id", F.lit(""))).dropDuplicates(keys)
+    # Of a slot listed twice the model's user stays.
+    first = Window.partitionBy(*keys).orderBy((F.col("user_type") == MODEL_GROUP).desc_nulls_last(), "user_type")
+    slots = df.withColumn("banner_id", F.coalesce("banner_id", F.lit("")))
+    slots = slots.withColumn("_row", F.row_number().over(first)).where(F.col("_row") == 1).drop("_row")
     kept = [c for c in slots.columns if c != scores]
     slots = slots.withColumn("_allowed", _by_slot(channels, lambda c: _texts(c.items), _texts([])))
 
     candidates = F.array(*[
-        F.struct((-F.get(probability, label)).alias("down"), F.lit(label).alias("label"), F.lit(item.main_id).alias("item_id"))
+        F.struct(F.get(probability, label).isNull().alias("last"), (-F.get(probability, label)).alias("down"), F.lit(label).alias("label"), F.lit(item.main_id).alias("item_id"))
         for label, item in sorted(by_label.items())
     ])
     usable = F.filter(

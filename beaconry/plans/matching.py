@@ -89,7 +89,8 @@ def rule_lists(customers: DataFrame, products: DataFrame, whitelist: DataFrame,
     grid = grid.select("rule", "prod_id", "benchmark", *numbered)
     best = best_by_levels(grid, {f"{n}_no": c for n, c in counts.items()}, order, k, ["rule"])
 
-    entry = F.struct((-F.col("benchmark")).alias("down"), F.col("prod_id"))
+    last = F.lit(float("inf"))  # products without benchmark come last, as they do in `order`
+    entry = F.struct(F.coalesce(-F.col("benchmark"), last).alias("down"), F.col("prod_id"))
     lists = best.groupBy(*numbered).agg(*[
         F.collect_list(F.when(F.col("rule") == rule, entry)).alias(f"_{rule}") for rule in ("level", *_FLAGS)
     ])

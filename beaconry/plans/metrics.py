@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.dimensions import rows_to_frame
 from ..operators.ranking import total_before
 
 
@@ -46,14 +45,17 @@ def auc(df: DataFrame, groups: Sequence[str] = (), score: str = "score", positiv
     return sums.select(*groups, "positives", "negatives", area.alias("auc"))
 
 
+def class_range(spark: SparkSession, classes: int, label: str) -> DataFrame:
+    """The classes 0 to `classes` - 1."""
+    return spark.range(classes).select(F.col("id").cast("int").alias(label))
+
+
 def with_class_rows(df: DataFrame, classes: int, label: str = "label", probability: str = "probability") -> DataFrame:
-    """Scores plus a certain row for every class without samples."""
+    """Scores plus a certain row for every class 0 to `classes` - 1 without samples; other labels stay as they are."""
     rows = df.select(F.col(label).cast("int").alias(label), F.col(probability).cast("array<double>").alias(probability))
-    present = {r[0] for r in rows.select(label).distinct().limit(classes + 1).collect()}
-    missing = [{label: c, probability: [float(i == c) for i in range(classes)]} for c in range(classes) if c not in present]
-    if not missing:
-        return rows
-    return rows.unionByName(rows_to_frame(df.sparkSession, missing, f"{label} int, {probability} array<double>"))
+    sure = F.transform(F.sequence(F.lit(0), F.lit(classes - 1)), lambda i: (i == F.col(label)).cast("double"))
+    missing = class_range(df.sparkSession, classes, label).join(rows.select(label).distinct(), label, "left_anti")
+    return rows.unionByName(missing.select(label, sure.alias(probability)))
 
 
 def one_vs_rest_auc(df: DataFrame, label: str = "label", probability: str = "probability") -> DataFrame:

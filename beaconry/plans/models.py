@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import argmax, lookup
+from .metrics import class_range
 
 LABEL = "label"
 FEATURES = "features"
@@ -38,12 +39,9 @@ def with_labels(df: DataFrame, labels: dict[str, int], product: str = "prod_id")
 
 def pad_classes(df: DataFrame, classes: int, width: int, features: str = FEATURES) -> DataFrame:
     """One zero row for every class that has no sample, so that the model knows all classes."""
-    present = {row[0] for row in df.select(LABEL).distinct().limit(classes + 1).collect()}
-    missing = [([0.0] * width, c) for c in range(classes) if c not in present]
-    if not missing:
-        return df.select(features, LABEL)
-    pad = df.sparkSession.createDataFrame(missing, f"{features} array<double>, {LABEL} int")
-    return df.select(features, F.col(LABEL).cast("int")).unionByName(pad)
+    rows = df.select(features, F.col(LABEL).cast("int").alias(LABEL))
+    missing = class_range(df.sparkSession, classes, LABEL).join(rows.select(LABEL).distinct(), LABEL, "left_anti")
+    return rows.unionByName(missing.select(F.array_repeat(F.lit(0.0), width).alias(features), LABEL))
 
 
 def fit_products(df: DataFrame, classes: int, features: str = FEATURES, max_iter: int = 20):

@@ -7,8 +7,6 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import parse_ymd
-
 
 def resolve_partition(partitions: DataFrame, column: str, wanted: str, not_after: bool = False) -> str | None:
     """Partition to read for `wanted`: itself if present, else the largest one.
@@ -70,15 +68,21 @@ def _write(df: DataFrame, path: str, keys: Sequence[str], overwrite: bool) -> No
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
+def partition_keys(column: Column) -> Column:
+    """Keys and values of a partition path such as `a=1/b=x%2Fy`, as an array of structs."""
+    plain = lambda text: F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+    return F.transform(F.split(column, "/"), lambda part: F.struct(
+        plain(F.substring_index(part, "=", 1)).alias("name"), plain(F.regexp_extract(part, "=(.*)$", 1)).alias("value")))
+
+
 def expired_partitions(names: DataFrame, today, keep_days: int, column: str = "partition") -> DataFrame:
-    """Dated partitions (`name=yyyyMMdd` inside a partition path) older than `keep_days`."""
-    pattern = r"(\w+_?\w+)=(\d{8})"
-    return (
-        names.select(F.regexp_extract(column, pattern, 1).alias("name"), F.regexp_extract(column, pattern, 2).alias("date"))
-        .groupBy("name", "date")
-        .agg(F.count("*").alias("num"))
-        .where((F.col("date") != "") & (parse_ymd(F.col("date")) < F.date_sub(today, keep_days)))
-    )
+    """Keys of a partition path whose value is a date (yyyyMMdd) before the days kept, and how many partitions have it."""
+    keys = names.select(F.explode(partition_keys(F.col(column))).alias("key")).select("key.name", F.col("key.value").alias("date"))
+    return keys.where(_expired(F.col("date"), today, keep_days)).groupBy("name", "date").agg(F.count("*").alias("num"))
+
+
+def _expired(value: Column, today, keep_days: int) -> Column:
+    return (F.length(value) == 8) & F.coalesce(F.try_to_date(value, "yyyyMMdd") < F.date_sub(today, keep_days), F.lit(False))
 
 
 def list_partitions(spark: SparkSession, table: str) -> DataFrame:
@@ -86,19 +90,26 @@ def list_partitions(spark: SparkSession, table: str) -> DataFrame:
 
 
 def has_partition(spark: SparkSession, table: str, **partition: str) -> bool:
-    wanted = "/".join(f"{k}={v}" for k, v in partition.items())
-    return not list_partitions(spark, table).where(F.col("partition") == wanted).isEmpty()
+    """Whether the table has this partition, in whichever order its keys are named."""
+    wanted = F.array_sort(F.array(*[F.struct(F.lit(k).alias("name"), F.lit(str(v)).alias("value")) for k, v in partition.items()]))
+    return not list_partitions(spark, table).where(F.array_sort(partition_keys(F.col("partition"))) == wanted).isEmpty()
+
+
+def _spec(**partition: str) -> str:
+    quoted = {k: str(v).replace("\\", "\\\\").replace("'", "\\'") for k, v in partition.items()}
+    return "PARTITION (" + ", ".join(f"`{k}`='{v}'" for k, v in quoted.items()) + ")"
 
 
 def drop_partition(spark: SparkSession, table: str, **partition: str) -> None:
-    spec = ", ".join(f"{k}='{v}'" for k, v in partition.items())
-    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {_spec(**partition)}")
 
 
 def retire(spark: SparkSession, table: str, today, keep_days: int) -> list[str]:
     """Drop the expired partitions of a catalog table in one statement; returns their dates."""
-    expired = expired_partitions(list_partitions(spark, table), today, keep_days).orderBy("date").collect()
-    if expired:
-        specs = ", ".join(f"PARTITION ({row['name']}='{row['date']}')" for row in expired)
+    keys = list_partitions(spark, table).select(partition_keys(F.col("partition")).alias("keys"))
+    old = F.filter("keys", lambda k: _expired(k["value"], today, keep_days))
+    rows = keys.select("keys", F.transform(old, lambda k: k["value"]).alias("dates")).where(F.size("dates") > 0).collect()
+    if rows:
+        specs = ", ".join(_spec(**{k["name"]: k["value"] for k in row["keys"]}) for row in rows)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
-    return [row["date"] for row in expired]
+    return sorted({date for row in rows for date in row["dates"]})

@@ -15,16 +15,16 @@ HEADER_SUFFIX = ".header"
 
 def read_delimited(spark: SparkSession, path: str, schema: str, sep: str = FIELD_SEPARATOR,
                    header: bool = True) -> DataFrame:
-    """Delimited text with a declared schema; rows that do not fit are dropped."""
-    return (
-        spark.read.schema(schema).option("sep", sep).option("header", header).option("mode", "DROPMALFORMED")
-        .option("enforceSchema", "true").csv(path)
-    )
+    """Delimited text with a declared schema; rows that do not fit are dropped, whichever columns are used."""
+    rows = (spark.read.schema(schema).option("sep", sep).option("header", header).option("mode", "DROPMALFORMED")
+            .option("enforceSchema", "true").csv(path))
+    # True of every row, but it makes the reader parse all columns, also where few are used.
+    return rows.where(F.hash(*rows.columns) >= -2**31)
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = FIELD_SEPARATOR) -> None:
-    """Rows without quotes at `path`, their column names next to it."""
-    df.write.mode("overwrite").option("sep", sep).option("quote", "").csv(path)
+    """Rows without quotes at `path`, their column names next to it; empty text is written as nothing, like null."""
+    df.write.mode("overwrite").option("sep", sep).option("quote", "").option("emptyValue", "").csv(path)
     names = df.sparkSession.createDataFrame([(sep.join(df.columns),)], "value string")
     names.coalesce(1).write.mode("overwrite").text(path + HEADER_SUFFIX)
 
@@ -37,9 +37,9 @@ def read_with_header(spark: SparkSession, path: str, sep: str = FIELD_SEPARATOR)
 
 
 def delivery_line(columns: Sequence[str], sep: str = DELIVERY_SEPARATOR, token: str = NULL_TOKEN) -> Column:
-    """A delivery row as text; null and the null token become blank."""
+    """A delivery row as one line: null and the null token become blank, line breaks a space."""
     cells = [F.coalesce(F.nullif(F.col(c).cast("string"), F.lit(token)), F.lit("")) for c in columns]
-    return F.concat_ws(sep, *cells)
+    return F.regexp_replace(F.concat_ws(sep, *cells), r"[\r\n]+", " ")
 
 
 def delivery_manifest(lines: DataFrame, name: str, header: str, column: str = "value") -> DataFrame:

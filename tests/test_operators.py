@@ -189,3 +189,18 @@ def test_rerank_drops_disabled_only_with_a_forced_item(spark):
     off = Item(("b",), 1, enable=False)
     orders = {tuple(i for i, *_ in o) for o in order(spark, [A, off, C], [0.1, 0.2, 0.0], users=60)}
     assert orders == {("b", "a", "c"), ("c", "a")}
+
+
+def test_features_that_are_no_numbers_become_zero(spark):
+    from beaconry.operators.filters import fill_features
+    df = spark.createDataFrame([("1.5", float("nan")), ("x1", 2.0), (None, None)], "a string, b double")
+    assert [(r.a, r.b) for r in fill_features(df, ["a", "b"], []).collect()] == [(1.5, 0.0), (0.0, 2.0), (0.0, 0.0)]
+
+
+def test_padding_looks_only_at_the_classes(spark):
+    from beaconry.plans.metrics import with_class_rows
+    from beaconry.plans.models import pad_classes
+    df = spark.createDataFrame([(y, [0.5, 0.5]) for y in (-5, -4, -3, 0, 1, 7)], "label int, probability array<double>")
+    assert with_class_rows(df, 2).count() == 6 and with_class_rows(df, 3).where("label = 2").first().probability == [0.0, 0.0, 1.0]
+    rows = df.withColumnRenamed("probability", "features")
+    assert pad_classes(rows, 2, 2).count() == 6 and pad_classes(rows, 3, 2).where("label = 2").first().features == [0.0, 0.0]

@@ -90,3 +90,34 @@ def test_shared_folder_comes_from_the_session(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert session.shared_dir(spark) == folder
     assert session.scratch_path(spark, "a").startswith(folder)
+
+
+def test_bad_rows_go_whichever_columns_are_used(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("a\x01b\nx\x011\ny\x01oops\nz\x013\n")
+    df = textfiles.read_delimited(spark, str(tmp_path / "in.csv"), "a string, b int")
+    assert df.count() == 2 and len(df.collect()) == 2 and len(df.select("a").collect()) == 2
+
+
+def test_export_of_empty_text(spark, tmp_path):
+    textfiles.write_delimited(spark.createDataFrame([("", "a"), (None, "b")], "x string, y string"), str(tmp_path / "out"))
+    assert sorted(r.y for r in textfiles.read_with_header(spark, str(tmp_path / "out")).where("x is null").collect()) == ["a", "b"]
+
+
+def test_delivery_line_stays_one_line(spark, tmp_path):
+    df = spark.createDataFrame([("a\r\nb", "c")], "x string, y string")
+    made = textfiles.write_delivery(df, spark, str(tmp_path), "D", ["x", "y"]).first()
+    assert made.rows == 1 and [r.value for r in spark.read.text(str(tmp_path / "D")).collect()] == ["a b@!@c"]
+
+
+def test_partition_names_in_any_order_and_with_any_value(spark):
+    spark.sql("DROP TABLE IF EXISTS parts_probe")
+    spark.sql("CREATE TABLE parts_probe (x int, dt string, tag string) USING parquet PARTITIONED BY (dt, tag)")
+    spark.sql("INSERT INTO parts_probe VALUES (1, '20240101', 'a/b'), (2, '20240101', \"o'x\"), (3, '20300101', 'c+d')")
+    assert partitions.has_partition(spark, "parts_probe", tag="a/b", dt="20240101")
+    assert partitions.has_partition(spark, "parts_probe", dt="20300101", tag="c+d")
+    assert not partitions.has_partition(spark, "parts_probe", dt="20240101")
+    partitions.drop_partition(spark, "parts_probe", tag="o'x", dt="20240101")
+    assert not partitions.has_partition(spark, "parts_probe", tag="o'x", dt="20240101")
+    assert partitions.retire(spark, "parts_probe", F.lit("2024-06-01").cast("date"), 30) == ["20240101"]
+    assert [r.x for r in spark.table("parts_probe").collect()] == [3]
+    spark.sql("DROP TABLE parts_probe")

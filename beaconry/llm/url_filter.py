@@ -81,7 +81,7 @@ def log_ratios(urls: DataFrame) -> DataFrame:
     urls: symbols, n (rows with this URL), good and bad (1 if it trains that model)."""
     grams = triples(urls).groupBy("gram").agg(F.sum(F.col("n") * F.col("good")).alias("good"), F.sum(F.col("n") * F.col("bad")).alias("bad"))
     last = F.expr("substring(gram, 3, 1)")
-    one = _order(grams, F.lit(""), last, None)
+    one = _order(grams, F.expr("substring(gram, 1, 0)"), last, None)
     two = _order(grams, F.expr("substring(gram, 2, 1)"), last, one)
     three = _order(grams, F.expr("substring(gram, 1, 2)"), last, two)
     return three.select(F.concat("context", "symbol").alias("gram"),

@@ -29,7 +29,7 @@ STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_wor
 VECTOR = ("v0", "v1", "v2", "v3", "v4")
 #: Smallest standard deviation a transformed statistic is taken to have.
 FLOORS = (0.3, 0.08, 0.08, 0.08, 0.05)
-LEAST_GROUP, STEPS, WINDOW = 50, 4, 8
+LEAST_GROUP, STEPS, WINDOW, SALTS = 50, 4, 8, 16
 #: Squared distance: the chi-square quantile of 5 degrees at 1e-4, and its median.
 CUT, MEDIAN = 25.745, 4.351
 _SYMBOL = re.compile(r"[#*$%&|<>]")
@@ -128,6 +128,11 @@ def _estimates(sums: DataFrame) -> DataFrame:
     return sums.mapInPandas(work, _MODEL)
 
 
+def _beside(rows: DataFrame, model: DataFrame) -> DataFrame:
+    """Rows (g, s and the vector) next to their group's row; a group with most of the rows is dealt over its salts s."""
+    return rows.join(model.withColumn("s", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)"))), ["g", "s"])
+
+
 def _distance():
     d = [F.col(v) - F.col("center")[i] for i, v in enumerate(VECTOR)]
     total = F.lit(0.0)
@@ -156,8 +161,9 @@ def _half(binned: DataFrame) -> DataFrame:
 def minimum_covariance_determinant(rows: DataFrame) -> DataFrame:
     """Per group g of `rows` (g, v0..v4): size, centre, inverse covariance, and the scale that brings the
     median squared distance to that of a normal vector."""
+    rows = rows.select("g", *VECTOR).withColumn("s", F.monotonically_increasing_id() % SALTS)
     middle = rows.groupBy("g").agg(F.count("*").alias("n"), *(F.percentile_approx(v, 0.5, 2000).alias(f"m{i}") for i, v in enumerate(VECTOR)))
-    spread = rows.join(middle, "g").groupBy("g").agg(F.max("n").alias("n"), *(
+    spread = _beside(rows, middle).groupBy("g").agg(F.max("n").alias("n"), *(
         F.percentile_approx(F.abs(F.col(v) - F.col(f"m{i}")), 0.5, 2000).alias(f"d{i}") for i, v in enumerate(VECTOR)))
     zero = [F.when(F.lit(i == j), 1 / (F.pow(F.col(f"d{i}") * 1.4826, F.lit(2)) + FLOORS[i] ** 2)).otherwise(F.lit(0.0))
             for i in range(5) for j in range(5)]
@@ -165,11 +171,11 @@ def minimum_covariance_determinant(rows: DataFrame) -> DataFrame:
                                                       F.array(*zero).alias("inverse"), F.lit(1.0).alias("scale"))
     for _ in range(STEPS):
         model = stored(model, "estimate")
-        near = rows.join(model, "g").withColumn("b", _bin(_distance()))
-        half = near.join(_half(near), "g").where("b <= h")
+        near = _beside(rows, model).withColumn("b", _bin(_distance())).select("g", "s", *VECTOR, "b")
+        half = _beside(near, _half(near)).where("b <= h")
         model = _estimates(_moments(half.select("g", *VECTOR)))
     model = stored(model, "estimate")
-    near = rows.join(model, "g").select("g", _bin(_distance()).alias("b"))
+    near = _beside(rows, model).select("g", _bin(_distance()).alias("b"))
     scale = _half(near).select("g", F.col("t").alias("n"), (F.exp((F.col("h") + 1) / 800) / MEDIAN).alias("scale"))
     return stored(model.drop("n", "scale").join(scale, "g").select("g", "n", "center", "inverse", "scale"), "estimate")
 
@@ -186,10 +192,11 @@ def judged(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     good = _vectors(counted.where("not base_failed"))
     rows = good.select(F.explode(F.array(*levels)).alias("g"), *VECTOR)
     model = minimum_covariance_determinant(rows).where(F.col("n") >= LEAST_GROUP)
-    sizes = [model.select(F.col("g").alias(f"g{i}"), F.lit(True).alias(f"has{i}")) for i in range(3)]
+    sizes = [model.select(F.col("g").alias(f"g{i}"), F.lit(True).alias(f"has{i}")) for i in range(2)]
     marked = _vectors(counted)
-    for i, level in enumerate(levels):
+    for i, level in enumerate(levels[:2]):
         marked = marked.withColumn(f"g{i}", level).join(sizes[i], f"g{i}", "left")
+    marked = marked.withColumns({"g2": levels[2], "has2": F.lit(not model.where("g = 'c'").isEmpty())})
     marked = marked.withColumn("g", F.when(F.col("has0"), F.col("g0")).when(F.col("has1"), F.col("g1")).when(F.col("has2"), F.col("g2")))
     scored = marked.join(model, "g", "left").withColumn("distance", _distance() / F.greatest(F.col("scale"), F.lit(1.0)))
     return scored.select(

@@ -33,25 +33,37 @@ UNITS = ("%", "$", "€", "£", "°", "mm", "cm", "m", "km", "mg", "g", "kg", "m
          "minute", "hours", "hour", "days", "day", "weeks", "week", "months", "month", "years", "year", "percent", "degrees", "degree")
 
 
+def _pairs(text: Column) -> Column:
+    """Each token beside the one before it: a lambda that named the array would evaluate it for every token."""
+    raw = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(_TOKEN), F.lit(0))
+    return F.arrays_zip(raw.alias("t"), F.concat(F.array(F.lit(None).cast("string")), raw).alias("before"))
+
+
 def template(text: Column) -> Column:
     """array<struct<c, v>>: template word, and the value that a placeholder stands for (null for a plain word)."""
-    raw = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(_TOKEN), F.lit(0))
-    # Each token beside the one before it: a lambda that named the array would evaluate it for every token.
-    pairs = F.arrays_zip(raw.alias("t"), F.concat(F.array(F.lit(None).cast("string")), raw).alias("before"))
-    return F.filter(F.transform(pairs, lambda p: _word(p["t"], p["before"])), lambda w: w["c"].isNotNull())
+    words = F.transform(_pairs(text), lambda p: F.struct(_kind(p["t"], p["before"]).alias("c"), F.lower(p["t"]).alias("low")))
+    words = F.filter(words, lambda w: w["c"].isNotNull())
+    return F.transform(words, lambda w: F.struct(w["c"].alias("c"), F.when(w["c"].isin(NUMBER, NAME, UNIT), w["low"]).alias("v")))
 
 
-def _word(t: Column, before: Column) -> Column:
-    first = F.substring(t, 1, 1)
+def template_words(text: Column) -> Column:
+    """The template words alone."""
+    return F.array_compact(F.transform(_pairs(text), lambda p: _kind(p["t"], p["before"])))
+
+
+def _kind(t: Column, before: Column) -> Column:
+    """Template word of a token; null for a mark, and behind the last token.
+
+    Tokens start with a mark, a digit, a sign or a letter, so their place in byte order tells which:
+    digits lie from "0" to below ":", letters from "A" on, what else is below "A" is a mark or one of two signs."""
     low = F.lower(t)
-    digit = first.between("0", "9")
-    mark = first.isin(".", "!", "?", ":", "\n")
-    after_number = F.coalesce(F.substring(before, 1, 1).between("0", "9"), F.lit(False))
-    inside = F.coalesce(~F.substring(before, 1, 1).isin(".", "!", "?", ":", "\n"), F.lit(False))
-    unit = low.isin(*UNITS[:5]) | (after_number & low.isin(*UNITS))
-    name = inside & (F.lower(first) != first)
-    kind = F.when(t.isNull() | mark, F.lit(None)).when(digit, NUMBER).when(unit, UNIT).when(name, NAME).otherwise(low)
-    return F.struct(kind.cast("string").alias("c"), F.when(digit | unit | name, low).alias("v"))
+    digit = lambda x: (x >= "0") & (x < ":")
+    unit = t.isin(*UNITS[:5]) | (digit(before) & low.isin(*UNITS))
+    inside = (before >= "A") | digit(before) | before.isin("%", "$")
+    first = F.substring(t, 1, 1)
+    name = (low != t) & inside & (F.lower(first) != first)
+    return (F.when(t.isNull(), F.lit(None).cast("string")).when(digit(t), NUMBER).when(unit, UNIT)
+            .when(t < "A", F.lit(None).cast("string")).when(name, NAME).otherwise(low))
 
 
 def _windows(words: Column) -> Column:
@@ -78,8 +90,11 @@ def leaks(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     if questions.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         questions = F.broadcast(questions)
     keyed = documents.select(F.col(id_col).alias("id"), F.xxhash64(id_col).alias("k1"), F.xxhash64(text_col).alias("k2"), F.col(text_col).alias("text"))
-    words = keyed.select("id", "k1", "k2", F.transform(template(F.col("text")), lambda w: w["c"]).alias("c")).where("size(c) > 0")
-    windows = words.select("id", "k1", "k2", F.posexplode(_windows(F.col("c"))).alias("at", "h"))
+    # A filter on the words would be pushed below them and work them out a second time, so the short windows at the end go after the explode.
+    words = keyed.select("id", "k1", "k2", template_words(F.col("text")).alias("c"))
+    beside = F.arrays_zip(*[F.slice("c", i + 1, F.size("c")).alias(f"w{i}") if i else F.col("c").alias("w0") for i in range(WORDS)])
+    windows = words.select("id", "k1", "k2", F.posexplode(beside).alias("at", "w")).where(f"at = 0 or w.w{WORDS - 1} is not null")
+    windows = windows.select("id", "k1", "k2", "at", F.xxhash64(*[F.col(f"w.w{i}") for i in range(WORDS)]).alias("h"))
     hits = windows.join(questions, "h").select("id", "k1", "k2", "item", "at", "place", "slots", "n", (F.col("at") - F.col("place")).alias("shift"))
     hits = hits.dropDuplicates(["k1", "k2", "item", "at", "place"])
     doc = ["k1", "k2", "item"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +28,7 @@ query = registrar(QUERIES, ORACLES)
 SELECT c_custkey, CAST(CASE WHEN c_acctbal < 0 THEN 0 WHEN c_acctbal < 1000 THEN 1 WHEN c_acctbal < 5000 THEN 2 ELSE 3 END AS DOUBLE) AS bucket FROM customer
 """)
 def feature_buckets(t: Tables) -> DataFrame:
-    splitter = Bucketizer(splits=features.padded([0.0, 1000.0, 5000.0]), inputCol="c_acctbal", outputCol="bucket", handleInvalid="keep")
-    return splitter.transform(t.customer.select("c_custkey", "c_acctbal")).select("c_custkey", "bucket")
+    return t.customer.select("c_custkey", features.bucket_of(F.col("c_acctbal"), [0.0, 1000.0, 5000.0]).alias("bucket"))
 
 
 @query("SELECT o_orderkey, round(ln(1 + CASE WHEN o_orderstatus = 'P' THEN 0 ELSE o_totalprice END), 6) AS logged FROM orders")
@@ -84,17 +83,47 @@ def wide_customers(t: Tables) -> DataFrame:
 @query()
 def feature_vectors_fitted(t: Tables) -> DataFrame:
     wide = wide_customers(t)
-    model = features.fit_features(wide, _MAP, "20240131")
-    return features.transform_features(wide, model, _MAP)
+    return features.transform_features(wide, features.fit_features(wide, _MAP, "20240131"))
 
 
-@query()
+_SQL_WIDE = """
+o AS (SELECT o_custkey AS user_id, COUNT(*) AS n_orders, SUM(CAST(o_totalprice AS DECIMAL(18,2)))::DOUBLE AS spent, MAX(o_totalprice) AS biggest,
+  MAX(CAST(o_orderdate AS DATE)) AS last_order, COALESCE(MIN(o_orderpriority), 'NA') AS top_priority FROM orders GROUP BY 1),
+e AS (SELECT user_id, COUNT(*) AS n_events FROM events GROUP BY 1),
+w AS (SELECT c_custkey AS user_id, c_mktsegment, COALESCE(n_orders, 0) AS n_orders, COALESCE(spent, 0) AS spent, COALESCE(biggest, 0) AS biggest, last_order,
+  COALESCE(top_priority, 'NA') AS top_priority, COALESCE(n_events, 0) AS n_events FROM customer LEFT JOIN o ON c_custkey = o.user_id LEFT JOIN e ON c_custkey = e.user_id),
+seg AS (SELECT v, ROW_NUMBER() OVER (ORDER BY n DESC, v) - 1 AS i FROM (SELECT c_mktsegment AS v, COUNT(*) AS n FROM w GROUP BY 1)),
+pri AS (SELECT v, ROW_NUMBER() OVER (ORDER BY n DESC, v) AS i FROM (SELECT top_priority AS v, COUNT(*) AS n FROM w GROUP BY 1))
+"""
+
+
+@query(f"""
+WITH {_SQL_WIDE}
+SELECT user_id, n_orders::DOUBLE AS n_orders, seg.i::DOUBLE AS segment, pri.i AS priority_flag, (SELECT COUNT(*) FROM pri) + 7 AS width,
+  round(spent / (SELECT stddev_samp(spent) FROM w), 6) AS scaled, CAST((n_events >= 1)::INT + (n_events >= 20)::INT + (n_events >= 60)::INT AS DOUBLE) AS bucket,
+  round(ln(1 + greatest(biggest, 0)), 6) AS logged, COALESCE(date_diff('day', DATE '2024-01-31', last_order), 0)::DOUBLE AS days
+FROM w JOIN seg ON seg.v = c_mktsegment JOIN pri ON pri.v = top_priority
+""")
+def feature_vector_slots(t: Tables) -> DataFrame:
+    """Every slot of the fitted vector but the quantile, whose limits are approximate; flags as the place of the one that is set."""
+    vector = F.col(features.FEATURES)
+    back = lambda n: F.element_at(vector, -n)
+    flags = F.slice(vector, F.lit(3), F.size(vector) - 7)
+    return feature_vectors_fitted(t).select(
+        "user_id", F.get(vector, 0).alias("n_orders"), F.get(vector, 1).alias("segment"), F.array_position(flags, 1.0).alias("priority_flag"),
+        F.size(vector).cast("bigint").alias("width"), F.round(back(5), 6).alias("scaled"), back(3).alias("bucket"), F.round(back(2), 6).alias("logged"), back(1).alias("days"))
+
+
+@query("SELECT c_custkey AS user_id, TRUE AS same FROM customer")
 def feature_vectors_reloaded(t: Tables) -> DataFrame:
+    """A saved and reloaded version makes the vectors of the fitted one."""
     wide = wide_customers(t)
     path = scratch_path(t.spark, "features")
-    features.save_features(features.fit_features(wide, _MAP, "20240131"), _MAP, t.spark, path)
-    model, needed = features.load_features(t.spark, path)
-    return features.transform_features(wide, model, needed)
+    fitted = features.fit_features(wide, _MAP, "20240131")
+    features.save_features(fitted, t.spark, path)
+    first = features.transform_features(wide, fitted).withColumnRenamed(features.FEATURES, "first")
+    again = features.transform_features(wide, features.load_features(t.spark, path))
+    return first.join(again, "user_id").select("user_id", (F.col("first") == F.col(features.FEATURES)).alias("same"))
 
 
 @query("""
@@ -223,6 +252,39 @@ def model_saved_inference(t: Tables) -> DataFrame:
     return models.write_inference(rows, models.load_propensity(path), path + "-scores")
 
 
+_SQL_TRUE_SCORES = "SELECT c_custkey AS user_id, TRUE AS whole, TRUE AS largest, TRUE AS same FROM customer"
+
+
+def _score_facts(rows: DataFrame, model, reloaded) -> DataFrame:
+    """Per user: probabilities lie in 0 to 1 and add up to 1 (all zero without features), the class is that of
+    the largest, and the reloaded model gives the same."""
+    values = F.col(models.PROBABILITY)
+    total = F.when(F.col("features").isNull(), 0.0).otherwise(1.0)
+    whole = F.forall(values, lambda p: p.between(0, 1)) & (F.abs(F.aggregate(values, F.lit(0.0), lambda a, p: a + p) - total) < 1e-9)
+    first = models.score(rows.select("user_id", "features"), model)
+    again = models.score(rows.select("user_id", "features"), reloaded).select("user_id", values.alias("again"))
+    return first.join(again, "user_id").select("user_id", whole.alias("whole"), (F.get(values, F.col(models.PREDICTION)) == F.array_max(values)).alias("largest"),
+                                               (values == F.col("again")).alias("same"))
+
+
+@query(_SQL_TRUE_SCORES)
+def model_propensity_facts(t: Tables) -> DataFrame:
+    rows = _vectors(t)
+    path = scratch_path(t.spark, "model")
+    model = models.fit_propensity(rows.where(F.col("features").isNotNull()), maxIter=3, maxDepth=2)
+    models.save_model(model, path, "20240131")
+    return _score_facts(rows, model, models.load_propensity(path, "20240131"))
+
+
+@query(_SQL_TRUE_SCORES)
+def model_product_facts(t: Tables) -> DataFrame:
+    rows = _vectors(t)
+    path = scratch_path(t.spark, "model")
+    model = models.fit_products(rows.where(F.col("features").isNotNull()), 3, max_iter=3)
+    models.save_model(model, path, "20240131")
+    return _score_facts(rows, model, models.load_products(path))
+
+
 # --- metrics -----------------------------------------------------------------------------------
 
 _SQL_SCORED = """

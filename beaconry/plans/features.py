@@ -1,44 +1,44 @@
-"""Feature vectors from wide attribute tables."""
+"""Feature vectors from wide attribute tables.
+
+A column has one treatment. What depends on the row alone (plain numbers, fixed buckets, logarithms,
+days) is an expression; what is learned from all rows (text numbers, spread, quantiles) is fitted with
+stages over many columns at once, so the passes over the data do not grow with the columns.
+"""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+from dataclasses import asdict, dataclass, field
 from typing import Mapping, Sequence
 
-from pyspark.ml import Pipeline, PipelineModel, Transformer
-from pyspark.ml.feature import (
-    Bucketizer,
-    OneHotEncoder,
-    QuantileDiscretizer,
-    SQLTransformer,
-    StandardScaler,
-    StringIndexer,
-    VectorAssembler,
-)
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import OneHotEncoder, QuantileDiscretizer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import UNKNOWN_DATE
+from ..functions.dates import days_since, parse_ymd
+from ..functions.scalars import safe_log1p
 from ..operators.filters import fill_features
 
 FEATURES = "features"
-_VECTOR = "_feature_vector"
 QUANTILES = 10
+#: Distinct texts a column may have: the fitted model, and so the driver, holds each of them.
+MAX_TEXTS = 1_000_000
 
 
 @dataclass(frozen=True)
 class FeatureMap:
     """Which columns get which treatment; the vector follows this order."""
 
-    plain: tuple[str, ...] = ()
-    index: tuple[str, ...] = ()
-    onehot: tuple[str, ...] = ()
-    scale: tuple[str, ...] = ()
-    quantile: tuple[str, ...] = ()
+    plain: Sequence[str] = ()
+    index: Sequence[str] = ()
+    onehot: Sequence[str] = ()
+    scale: Sequence[str] = ()
+    quantile: Sequence[str] = ()
     bucket: Mapping[str, Sequence[float]] = field(default_factory=dict)
-    log: tuple[str, ...] = ()
-    days: tuple[str, ...] = ()
+    log: Sequence[str] = ()
+    days: Sequence[str] = ()
 
     @property
     def numeric(self) -> list[str]:
@@ -48,74 +48,101 @@ class FeatureMap:
     def text(self) -> list[str]:
         return [*self.index, *self.onehot]
 
-    @property
-    def columns(self) -> list[str]:
-        return list(dict.fromkeys([*self.numeric, *self.text, *self.days]))
-
-
-def padded(splits: Sequence[float]) -> list[float]:
-    """Bucket limits open at both ends; the given list stays as it is."""
-    inside = [s for s in splits if abs(s) != float("inf")]
-    return [-float("inf"), *inside, float("inf")]
-
-
-def feature_stages(features: FeatureMap, as_of: str) -> list[Transformer]:
-    """Pipeline stages; `as_of` (yyyyMMdd) is the day date differences refer to, kept in the
-    fitted pipeline."""
-    stages: list = []
-    parts = list(features.plain)
-    for c in features.text:
-        stages.append(StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep"))
-    parts += [f"{c}_idx" for c in features.index]
-    if features.onehot:
-        stages.append(OneHotEncoder(inputCols=[f"{c}_idx" for c in features.onehot], outputCols=[f"{c}_oh" for c in features.onehot]))
-        parts += [f"{c}_oh" for c in features.onehot]
-    if features.scale:
-        stages.append(VectorAssembler(inputCols=list(features.scale), outputCol="_to_scale"))
-        stages.append(StandardScaler(inputCol="_to_scale", outputCol="_scaled", withStd=True, withMean=False))
-        parts.append("_scaled")
-    for c in features.quantile:
-        stages.append(QuantileDiscretizer(numBuckets=QUANTILES, inputCol=c, outputCol=f"{c}_qd", handleInvalid="keep"))
-        parts.append(f"{c}_qd")
-    for c, splits in features.bucket.items():
-        stages.append(Bucketizer(splits=padded(splits), inputCol=c, outputCol=f"{c}_bucket", handleInvalid="keep"))
-        parts.append(f"{c}_bucket")
-    extra = [f"log1p(greatest(coalesce(`{c}`, 0), 0)) AS `{c}_log`" for c in features.log]
-    extra += [
-        f"IF(`{c}` IS NULL OR `{c}` = '{UNKNOWN_DATE}', 0, datediff(try_to_timestamp(`{c}`, 'yyyyMMdd'), "
-        f"to_date('{as_of}', 'yyyyMMdd'))) AS `{c}_days`"
-        for c in features.days
-    ]
-    if extra:
-        stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(extra)} FROM __THIS__"))
-    parts += [f"{c}_log" for c in features.log] + [f"{c}_days" for c in features.days]
-    stages.append(VectorAssembler(inputCols=parts, outputCol=_VECTOR, handleInvalid="keep"))
-    return stages
-
-
-def fit_features(df: DataFrame, features: FeatureMap, as_of: str) -> PipelineModel:
-    return Pipeline(stages=feature_stages(features, as_of)).fit(fill_features(df, features.numeric, features.text))
-
-
-def transform_features(df: DataFrame, model: PipelineModel, features: FeatureMap, key: str = "user_id") -> DataFrame:
+
+@dataclass(frozen=True)
+class FittedFeatures:
+    """A version: the treatments, the day (yyyyMMdd) that date differences refer to, and what was learned."""
+
+    columns: FeatureMap
+    as_of: str
+    learned: PipelineModel
+
+
+def bucket_of(value: Column, limits: Sequence[float]) -> Column:
+    """Number of finite limits at or below the value, as a double; the outer buckets are open."""
+    finite = [F.lit(float(x)) for x in limits if abs(x) != float("inf")]
+    return F.size(F.filter(F.array(*finite), lambda limit: limit <= value)).cast("double") if finite else F.lit(0.0)
+
+
+def _outputs(columns: Sequence[str], made: str) -> dict:
+    return {"inputCols": list(columns), "outputCols": [_made(c, made) for c in columns]}
+
+
+def _made(column: str, made: str) -> str:
+    return f"_{made}:{column}"
+
+
+def _learning(columns: FeatureMap) -> list:
+    """Stages for the treatments that look at all rows; none for those without a column."""
+    wanted = []
+    if columns.text:
+        wanted.append(StringIndexer(**_outputs(dict.fromkeys(columns.text), "number"), handleInvalid="keep"))
+    if columns.onehot:
+        flags = [_made(c, "flags") for c in columns.onehot]
+        wanted.append(OneHotEncoder(inputCols=[_made(c, "number") for c in columns.onehot], outputCols=flags))
+    if columns.scale:
+        wanted.append(VectorAssembler(inputCols=list(columns.scale), outputCol="_unscaled"))
+        wanted.append(StandardScaler(inputCol="_unscaled", outputCol="_scaled"))
+    if columns.quantile:
+        wanted.append(QuantileDiscretizer(**_outputs(columns.quantile, "tenth"), numBuckets=QUANTILES, handleInvalid="keep"))
+    return wanted
+
+
+def _check_texts(rows: DataFrame, names: Sequence[str], limit: int) -> None:
+    if not names:
+        return
+    found = rows.agg(*[F.approx_count_distinct(c).alias(c) for c in dict.fromkeys(names)]).first().asDict()
+    large = [c for c, n in found.items() if n > limit]
+    if large:
+        raise ValueError(f"{', '.join(large)} have more than {limit} texts: too many for a number or flag each")
+
+
+def _filled(df: DataFrame, columns: FeatureMap) -> DataFrame:
+    return fill_features(df, columns.numeric, columns.text)
+
+
+def fit_features(df: DataFrame, columns: FeatureMap, as_of: str, max_texts: int = MAX_TEXTS) -> FittedFeatures:
+    """Learn from all rows of `df`; the filled input is computed once and kept on the executors meanwhile."""
+    needed = dict.fromkeys([*columns.text, *columns.scale, *columns.quantile])
+    rows = _filled(df, columns).select(*needed).persist()
+    try:
+        _check_texts(rows, columns.text, max_texts)
+        return FittedFeatures(columns, as_of, Pipeline(stages=_learning(columns)).fit(rows))
+    finally:
+        rows.unpersist()
+
+
+def _vector(columns: FeatureMap, as_of: str) -> Column:
+    """All treatments next to each other, in the order of `FeatureMap`; a day that is no date is NaN."""
+    day = parse_ymd(F.lit(as_of))
+    made = lambda names, kind: [F.col(f"`{_made(c, kind)}`") for c in names]
+    parts = [F.array(*[F.col(c) for c in columns.plain], *made(columns.index, "number"))]
+    parts += [vector_to_array(flags) for flags in made(columns.onehot, "flags")]
+    parts += [vector_to_array(F.col("_scaled"))] if columns.scale else []
+    parts.append(F.array(
+        *made(columns.quantile, "tenth"),
+        *[bucket_of(F.col(c), limits) for c, limits in columns.bucket.items()],
+        *[safe_log1p(F.col(c)) for c in columns.log],
+        *[F.coalesce(days_since(F.col(c), day).cast("double"), F.lit(float("nan"))) for c in columns.days]))
+    return F.concat(*[part.cast("array<double>") for part in parts])
+
+
+def transform_features(df: DataFrame, fitted: FittedFeatures, key: str = "user_id") -> DataFrame:
     """key and features as an array of doubles."""
-    ready = fill_features(df, features.numeric, features.text)
-    values = F.transform(vector_to_array(_VECTOR), lambda x: F.coalesce(x, F.lit(0.0)))
-    return model.transform(ready).select(key, values.alias(FEATURES))
+    ready = fitted.learned.transform(_filled(df, fitted.columns))
+    return ready.select(key, _vector(fitted.columns, fitted.as_of).alias(FEATURES))
 
 
-def save_features(model: PipelineModel, features: FeatureMap, spark: SparkSession, path: str) -> None:
-    """Pipeline and column roles of a version."""
-    model.write().overwrite().save(f"{path}/pipeline")
-    roles = [(c, "number") for c in features.numeric] + [(c, "text") for c in features.text] + [(c, "day") for c in features.days]
-    spark.createDataFrame(roles, "name string, role string").coalesce(1).write.mode("overwrite").parquet(f"{path}/columns")
+def save_features(fitted: FittedFeatures, spark: SparkSession, path: str) -> None:
+    """What was learned, and the treatments with their day as one line of JSON."""
+    fitted.learned.write().overwrite().save(f"{path}/learned")
+    line = json.dumps({"as_of": fitted.as_of, "columns": asdict(fitted.columns)})
+    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/columns")
 
 
-def load_features(spark: SparkSession, path: str) -> tuple[PipelineModel, FeatureMap]:
-    """Pipeline of a version and the columns it needs by the way they are filled."""
-    roles = spark.read.parquet(f"{path}/columns").collect()
-    by_role = {role: tuple(r["name"] for r in roles if r["role"] == role) for role in ("number", "text", "day")}
-    return PipelineModel.load(f"{path}/pipeline"), FeatureMap(plain=by_role["number"], index=by_role["text"], days=by_role["day"])
+def load_features(spark: SparkSession, path: str) -> FittedFeatures:
+    kept = json.loads(spark.read.text(f"{path}/columns").first()["value"])
+    return FittedFeatures(FeatureMap(**kept["columns"]), kept["as_of"], PipelineModel.load(f"{path}/learned"))
 
 
 def attach_features(users: DataFrame, features: DataFrame, version: str, output: str = "user_features") -> DataFrame:

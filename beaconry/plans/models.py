@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -77,8 +77,12 @@ def save_model(model, path: str, day: str) -> None:
     model.write().overwrite().save(f"{path}/{day}")
 
 
-def load_propensity(path: str) -> GBTClassificationModel:
-    return GBTClassificationModel.load(f"{path}/current")
+def load_propensity(path: str, day: str = "current") -> GBTClassificationModel:
+    return GBTClassificationModel.load(f"{path}/{day}")
+
+
+def load_products(path: str, day: str = "current") -> LogisticRegressionModel:
+    return LogisticRegressionModel.load(f"{path}/{day}")
 
 
 def write_inference(df: DataFrame, model, path: str, features: str = FEATURES, key: str = "user_id") -> DataFrame:

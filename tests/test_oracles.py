@@ -61,5 +61,5 @@ def test_entry(spark):
 
 def test_only_random_and_trained_results_have_no_sql():
     assert set(QUERIES) - set(ORACLES) == {
-        "sample_random_split", "group_random_assignment", "feature_vectors_fitted", "feature_vectors_reloaded",
+        "sample_random_split", "group_random_assignment", "feature_vectors_fitted",
         "model_propensity_scores", "model_product_scores", "model_saved_inference", "metric_model_evaluation"}

@@ -208,10 +208,29 @@ def test_classes_without_samples_are_padded(spark):
     assert [r["prod_id"] for r in kept.collect()] == ["a"]
 
 
-def test_bucket_limits_are_not_changed():
-    given = [0.0, 5.0]
-    assert features.padded(given) == [-float("inf"), 0.0, 5.0, float("inf")] and given == [0.0, 5.0]
-    assert features.padded([-float("inf"), 1.0]) == [-float("inf"), 1.0, float("inf")]
+def test_buckets_are_open_at_both_ends(spark):
+    rows = spark.createDataFrame([(-1.0,), (0.0,), (4.9,), (5.0,), (float("inf"),)], "v double")
+    at = lambda limits: [r[0] for r in rows.select(features.bucket_of(rows.v, limits)).collect()]
+    assert at([0.0, 5.0]) == at([-float("inf"), 0.0, 5.0, float("inf")]) == [0.0, 1.0, 1.0, 2.0, 2.0]
+    assert at([]) == [0.0] * 5
+
+
+def test_passes_do_not_grow_with_the_columns(spark):
+    def jobs(width):
+        names = {kind: [f"{kind}{i}" for i in range(width)] for kind in ("t", "s", "q")}
+        rows = spark.range(40).select("id", *[(F.col("id") % 7).cast("string").alias(c) for c in names["t"]],
+                                      *[F.col("id").cast("double").alias(c) for c in names["s"] + names["q"]])
+        spark.sparkContext.setJobGroup(f"fit{width}", "")
+        features.fit_features(rows, features.FeatureMap(onehot=names["t"], scale=names["s"], quantile=names["q"]), "20240110")
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"fit{width}"))
+
+    assert jobs(1) == jobs(4) > 0
+
+
+def test_too_many_texts_are_refused(spark):
+    rows = spark.range(100).select(F.col("id").cast("string").alias("s"))
+    with pytest.raises(ValueError, match="s have more than 50"):
+        features.fit_features(rows, features.FeatureMap(index=("s",)), "20240110", max_texts=50)
 
 
 def test_feature_vector_order(spark):
@@ -219,7 +238,7 @@ def test_feature_vector_order(spark):
                                  "user_id int, a double, s string, d string, l double")
     which = features.FeatureMap(plain=("a",), index=("s",), bucket={"a": [3.0]}, log=("l",), days=("d",))
     model = features.fit_features(rows, which, "20240110")
-    out = {r["user_id"]: r["features"] for r in features.transform_features(rows, model, which).collect()}
+    out = {r["user_id"]: r["features"] for r in features.transform_features(rows, model).collect()}
     assert out[1] == [4.0, 0.0, 1.0, 0.0, -5.0]
     assert out[2] == pytest.approx([0.0, 1.0, 0.0, 0.6931471805599453, 0.0])
     assert out[3] == [2.0, 0.0, 0.0, 0.0, 0.0]

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map
+from .common import arrow_map, stored
 
 VOCABULARY = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"   # the same vocabulary for a second library, which is faster here
@@ -96,7 +96,8 @@ def length_table(counts: DataFrame, block: int = 1024) -> DataFrame:
     over the blocks' totals (longest length / `block` rows). An empty table has no rows."""
     from pyspark.sql import Window
 
-    histogram = counts.groupBy(F.col("n_tokens").alias("token_limit")).agg(F.count("*").alias("n_docs"))
+    # Written, as it is read twice and each text would be encoded for both.
+    histogram = stored(counts.groupBy(F.col("n_tokens").alias("token_limit")).agg(F.count("*").alias("n_docs")), "lengths")
     histogram = histogram.withColumn("part", F.floor(F.col("token_limit") / block))
     totals = histogram.groupBy("part").agg(F.sum("n_docs").alias("docs"), F.sum(F.col("n_docs") * F.col("token_limit")).alias("tokens"))
     later = Window.orderBy(F.col("part").desc()).rowsBetween(Window.unboundedPreceding, -1)

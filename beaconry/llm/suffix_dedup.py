@@ -12,16 +12,23 @@ place, so only suffixes at anchors (about one per 100 bytes) need sorting, not o
 2. Undecided anchors are split into bands of 16 starts, and undecided bands into single windows;
    both are sorted and compared in the same way. A window is decided by its 400 bytes alone.
 
+The length of a window is a parameter (`Windows`), in bytes or in words; reach and bands follow from
+it. Windows of words are compared as words, whatever white space is between them; op8 has 400 bytes
+alone, the pipeline also looks at 51 words, so that every passage of over 50 words is found.
+
 Names are XXH3 of 128 bits where equality decides, of 64 bits where it only groups. The sort ends
 in the row's own key, so that even one string that half of all rows hold spreads over buckets.
 
-Defined cases: null text is empty; texts under 400 bytes lose nothing; a repeated row is another
+Defined cases: null text is empty; texts under one window lose nothing; a repeated row is another
 document; windows never cross documents; null ids are fine; other columns pass through unread.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
+from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -32,52 +39,85 @@ from pyspark.sql import functions as F
 from .common import arrow_map, partitions_for, row_keys, stored
 
 SPAN = 400
-REACH = 200       # window starts that look for an anchor: it is among the first 200 positions
-BAND = 16
 _PIECE = 1 << 22  # bytes of a text whose anchors are looked up at a time
 _ROWS = 300_000   # suffixes a bucket should hold
 _ROW = "k1 long, k2 long, lead long, inner long, outer_hi long, outer_lo long, lo int, hi int, a int"
 _FIELDS = [f.split()[0] for f in _ROW.split(", ")]
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_WORD = re.compile(r"\S+")
+
+
+class Windows(NamedTuple):
+    """Length of a window, in bytes or in words; 16 at least."""
+
+    span: int = SPAN
+    words: bool = False
+
+    @property
+    def reach(self) -> int:
+        """Window starts that look for an anchor: it is among so many first positions."""
+        return self.span // 2
+
+    @property
+    def band(self) -> int:
+        return max(1, self.reach // 12)
+
+    def units(self, data: bytes):
+        """What positions count: bytes, or words."""
+        return data.decode("utf-8", "replace").split() if self.words else data
 
+    def joined(self, units) -> bytes:
+        return " ".join(units).encode() if self.words else units
 
-def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First and last window start, and position, of every anchor of `text`."""
+
+BYTES, PASSAGES = Windows(), Windows(51, True)
+
+
+def anchors(text, kind: Windows = BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and last window start, and position, of every anchor of `text` (units of `kind`)."""
+    span, reach = kind.span, kind.reach
+    if span < 16:
+        raise ValueError("windows have 16 units at least")
+    if len(text) < span:
+        return (np.zeros(0, np.int64),) * 3
+    codes = np.array([xxhash.xxh3_64_intdigest(w) for w in text], np.uint64) if kind.words else np.frombuffer(text, np.uint8)
     lows, highs, places = [], [], []
-    for begin in range(0, max(0, len(text) - SPAN + 1), _PIECE):
-        part = np.frombuffer(text, np.uint8, min(len(text) - begin, _PIECE + SPAN - 1), begin)
-        starts = len(part) - SPAN + 1
-        grams = np.lib.stride_tricks.sliding_window_view(part, 8)[:starts + REACH - 1]
-        value = np.ascontiguousarray(grams).view("<u8").ravel() * _MIX
+    for begin in range(0, len(text) - span + 1, _PIECE):
+        part = codes[begin:begin + _PIECE + span - 1]
+        starts = len(part) - span + 1
+        if kind.words:
+            value = (((part[:-2] * _MIX ^ part[1:-1]) * _MIX ^ part[2:]) * _MIX)[:starts + reach - 1]
+        else:
+            grams = np.lib.stride_tricks.sliding_window_view(part, 8)[:starts + reach - 1]
+            value = np.ascontiguousarray(grams).view("<u8").ravel() * _MIX
         value = (value ^ (value >> np.uint64(29))) * _MIX
         value = (value & ~np.uint64(0xFFFFFF)) | np.arange(len(value), dtype=np.uint64)
         width = 1
-        while width * 2 <= REACH:
+        while width * 2 <= reach:
             value = np.minimum(value[:-width], value[width:])
             width *= 2
-        rest = REACH - width
+        rest = reach - width
         value = np.minimum(value[:starts], value[rest:rest + starts])
         place = (value & np.uint64(0xFFFFFF)).astype(np.int64)
         first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
         lows.append(first + begin)
         highs.append(np.concatenate((first[1:] - 1, [starts - 1])) + begin)
         places.append(place[first] + begin)
-    if not lows:
-        return (np.zeros(0, np.int64),) * 3
     return np.concatenate(lows), np.concatenate(highs), np.concatenate(places)
 
 
 class _Rows:
     """Columns of suffix rows, filled one by one."""
 
-    def __init__(self):
+    def __init__(self, kind):
+        self.kind = kind
         self.keys, self.names, self.lead = [], bytearray(), bytearray()
         self.inner, self.places = [], []
 
     def add(self, k1, k2, text, lo, hi, a, inner, seed, start):
         self.keys.append((k1, k2))
         self.inner.append(xxhash.xxh3_64_intdigest(inner, seed))
-        self.names += xxhash.xxh3_128_digest(text[start:start + hi - lo + SPAN])
+        self.names += xxhash.xxh3_128_digest(self.kind.joined(text[start:start + hi - lo + self.kind.span]))
         self.places.append((lo, hi, a))
 
     def batch(self, lead: list[bytes]) -> pa.RecordBatch:
@@ -92,35 +132,40 @@ class _Rows:
             places[:, 0].copy(), places[:, 1].copy(), places[:, 2].copy())], names=_FIELDS)
 
 
-def _sampled(batches):
+def _sampled(kind):
     """Level one: the suffix at every anchor."""
-    for batch in batches:
-        rows, lead = _Rows(), []
-        for k1, k2, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            for lo, hi, a in zip(*(x.tolist() for x in anchors(text))):
-                rows.add(k1, k2, text, lo, hi, a, text[a:a + SPAN - REACH], 0, lo)
-                lead.append(text[a:a + 8])
-            if len(lead) > 50_000:
-                yield rows.batch(lead)
-                rows, lead = _Rows(), []
-        yield rows.batch(lead)
-
-
-def _split(width):
+    def work(batches):
+        for batch in batches:
+            rows, lead = _Rows(kind), []
+            for k1, k2, data in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                text = kind.units(data)
+                for lo, hi, a in zip(*(x.tolist() for x in anchors(text, kind))):
+                    inner = kind.joined(text[a:a + kind.span - kind.reach])
+                    rows.add(k1, k2, text, lo, hi, a, inner, 0, lo)
+                    lead.append(inner[:8])
+                if len(lead) > 50_000:
+                    yield rows.batch(lead)
+                    rows, lead = _Rows(kind), []
+            yield rows.batch(lead)
+    return work
+
+
+def _split(kind, width):
     """Level two and three: the starts of an anchor in bands of `width`, from the bytes kept of it."""
     def work(batches):
         for batch in batches:
-            rows, lead = _Rows(), []
-            for k1, k2, base, lo, hi, a, text in zip(*(batch.column(i).to_pylist() for i in range(7))):
+            rows, lead = _Rows(kind), []
+            for k1, k2, base, lo, hi, a, data in zip(*(batch.column(i).to_pylist() for i in range(7))):
+                text = kind.units(data)
                 for band in range((a - hi) // width, (a - lo) // width + 1):
                     near, far = band * width, band * width + width - 1
                     first, last = max(lo, a - far), min(hi, a - near)
-                    inner = text[a - near - base:a + SPAN - far - base]
+                    inner = kind.joined(text[a - near - base:a + kind.span - far - base])
                     rows.add(k1, k2, text, first, last, a, inner, band + 1, first - base)
                     lead.append(inner[:8])
                 if len(lead) > 50_000:
                     yield rows.batch(lead)
-                    rows, lead = _Rows(), []
+                    rows, lead = _Rows(kind), []
             yield rows.batch(lead)
     return work
 
@@ -204,58 +249,79 @@ def sort_and_compare(rows: DataFrame, partitions: int, label: str) -> DataFrame:
     return found.where("side = 0").select(*_FIELDS, "same", "open").union(ends).where("same or open")
 
 
-def _cut(batches):
+def _cut(kind):
     """The bytes that an undecided anchor's windows cover."""
-    for batch in batches:
-        out = []
-        for k1, k2, text, wanted in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            out += [(k1, k2, w["lo"], w["lo"], w["hi"], w["a"], text[w["lo"]:w["hi"] + SPAN]) for w in wanted]
-        columns = list(zip(*out)) or [[]] * 7
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)],
-                                         names=["k1", "k2", "base", "lo", "hi", "a", "bytes"])
+    def work(batches):
+        for batch in batches:
+            out = []
+            for k1, k2, data, wanted in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                text = kind.units(data)
+                out += [(k1, k2, w["lo"], w["lo"], w["hi"], w["a"], kind.joined(text[w["lo"]:w["hi"] + kind.span])) for w in wanted]
+            columns = list(zip(*out)) or [[]] * 7
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)],
+                                             names=["k1", "k2", "base", "lo", "hi", "a", "bytes"])
+    return work
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(k1, k2, lo, hi): window starts lo..hi of the text named by k1, k2 that repeat elsewhere.
+def repeated_spans(docs: DataFrame, kind: Windows = BYTES) -> DataFrame:
+    """(k1, k2, lo, hi): starts lo..hi, in units of `kind`, of windows of the text named by k1, k2 that repeat elsewhere.
 
     docs: k1, k2, bytes."""
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
-    parts = partitions_for(spark, total // (REACH // 2), _ROWS)
-    first = sort_and_compare(arrow_map(docs, _sampled, _ROW), parts, "suffixes")
+    parts = partitions_for(spark, total // (kind.reach // 2 * (6 if kind.words else 1)), _ROWS)
+    first = sort_and_compare(arrow_map(docs, _sampled(kind), _ROW), parts, "suffixes")
     wanted = first.where("open").groupBy("k1", "k2").agg(F.collect_set(F.struct("lo", "hi", "a")).alias("wanted"))
-    cut = stored(arrow_map(docs.join(wanted, ["k1", "k2"]).select("k1", "k2", "bytes", "wanted"), _cut,
+    cut = stored(arrow_map(docs.join(wanted, ["k1", "k2"]).select("k1", "k2", "bytes", "wanted"), _cut(kind),
                            "k1 long, k2 long, base int, lo int, hi int, a int, bytes binary"), "cut")
-    bands = REACH // BAND
+    bands = kind.reach // kind.band
     parts = partitions_for(spark, cut.count() * (bands // 2 + 1), _ROWS)
-    second = sort_and_compare(arrow_map(cut, _split(BAND), _ROW), parts, "bands")
+    second = sort_and_compare(arrow_map(cut, _split(kind, kind.band), _ROW), parts, "bands")
     pieces = second.where("open").select("k1", "k2", "lo", "hi", "a").distinct()
     kept = cut.select("k1", "k2", "base", "a", F.col("hi").alias("end"), "bytes").distinct()
     single = pieces.join(kept, ["k1", "k2", "a"]).where("lo >= base and hi <= end").select("k1", "k2", "base", "lo", "hi", "a", "bytes")
-    third = sort_and_compare(arrow_map(single, _split(1), _ROW),
-                             partitions_for(spark, pieces.count() * BAND, _ROWS), "windows")
+    third = sort_and_compare(arrow_map(single, _split(kind, 1), _ROW),
+                             partitions_for(spark, pieces.count() * kind.band, _ROWS), "windows")
     levels = [x.where("same").select("k1", "k2", "lo", "hi") for x in (first, second, third)]
     return levels[0].union(levels[1]).union(levels[2])
 
 
-def _merged(spans, size):
+def _word_edges(data):
+    """First byte of every word, and the byte behind it."""
+    text = data.decode("utf-8", "replace")
+    edges = np.array([m.span() for m in _WORD.finditer(text)], np.int64).reshape(-1, 2)
+    if len(text) < len(data):
+        code = np.frombuffer(text.encode("utf-32-le"), "<u4")
+        edges = np.concatenate(([0], np.cumsum(1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF))))[edges]
+    return edges
+
+
+def _merged(spans, data):
     """Maximal runs of removed bytes."""
+    ranges, edges = [], None
+    for s in spans or ():
+        lo, hi = s["lo"], s["hi"] + s["span"]
+        if s["words"]:
+            edges = _word_edges(data) if edges is None else edges
+            lo, hi = int(edges[lo, 0]), int(edges[hi - 1, 1])
+        ranges.append((lo, min(hi, len(data))))
     runs = []
-    for lo, hi in sorted((s["lo"], s["hi"] + SPAN) for s in spans or ()):
+    for lo, hi in sorted(ranges):
         if runs and lo <= runs[-1][1]:
             runs[-1][1] = max(runs[-1][1], hi)
         else:
             runs.append([lo, hi])
-    return [(lo, min(hi, size)) for lo, hi in runs]
+    return [tuple(r) for r in runs]
 
 
-def with_spans(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`documents` with `_bytes` (UTF-8 of the text, null as empty) and `_spans` (window starts that repeat)."""
+def with_spans(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", kinds: tuple = (BYTES,)) -> DataFrame:
+    """`documents` with `_bytes` (UTF-8 of the text, null as empty) and `_spans` (starts of windows of any of `kinds` that repeat)."""
     clear = documents.withColumn("_bytes", F.coalesce(F.encode(text_col, "UTF-8"), F.lit(b"")))
     key = row_keys(id_col, "_bytes")
     docs = clear.select(*key, F.col("_bytes").alias("bytes"))
-    spans = repeated_spans(docs).groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi")).alias("_spans"))
+    spans = reduce(DataFrame.union, [repeated_spans(docs, k).select("k1", "k2", "lo", "hi", F.lit(k.span).alias("span"), F.lit(k.words).alias("words")) for k in kinds])
+    spans = spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi", "span", "words")).alias("_spans"))
     return clear.select("*", *key).join(spans.withColumnsRenamed({"k1": "_k1", "k2": "_k2"}),
                                         (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")), "left").drop("k1", "k2", "_k1", "_k2")
 
@@ -266,7 +332,7 @@ def removal_report(documents: DataFrame, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             sizes, gone, runs, digests = [], [], [], []
             for data, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                cut = _merged(spans, len(data))
+                cut = _merged(spans, data)
                 digest, at = hashlib.sha256(), 0
                 for lo, hi in cut:
                     digest.update(data[at:lo])
@@ -285,7 +351,7 @@ def removal_report(documents: DataFrame, id_col: str = "doc_id", text_col: str =
                      f"{id_col} {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def without_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", kinds: tuple = (BYTES,)) -> DataFrame:
     """`documents` whose text has lost every repeated passage; bytes of a character cut apart go too."""
     schema = documents.schema
 
@@ -297,7 +363,7 @@ def without_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str
             for text, runs in zip(texts, spans):
                 if runs:
                     data, at, kept = text.encode(), 0, []
-                    for lo, hi in _merged(runs, len(data)):
+                    for lo, hi in _merged(runs, data):
                         kept.append(data[at:lo])
                         at = hi
                     text = (b"".join(kept) + data[at:]).decode("utf-8", "ignore")
@@ -305,4 +371,4 @@ def without_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str
             columns = [pa.array(out, pa.string()) if name == text_col else batch.column(i) for i, name in enumerate(schema.names)]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return arrow_map(with_spans(documents, id_col, text_col).select(*schema.names, "_spans"), work, schema)
+    return arrow_map(with_spans(documents, id_col, text_col, kinds).select(*schema.names, "_spans"), work, schema)

@@ -25,8 +25,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, its text without the passages that stand elsewhere too."""
-    return suffix_dedup.without_repeats(docs)
+    """Every document, its text without the passages (over 50 words, or 400 bytes) that stand elsewhere too."""
+    return suffix_dedup.without_repeats(docs, kinds=(suffix_dedup.BYTES, suffix_dedup.PASSAGES))
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

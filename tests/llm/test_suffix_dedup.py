@@ -82,3 +82,52 @@ def test_empty_table_and_stage(spark):
     out = {r.doc_id: r for r in sd.without_repeats(df).collect()}
     assert out[1].text == "" and out[2].text is None and out[2].lang == "y" and df.columns == list(out[1].asDict())
     assert out[3].text == "b"
+
+
+def brute_words(texts, span):
+    """Texts without the words that lie in a repeated window of `span` words."""
+    seen = {}
+    for t in texts:
+        w = t.split()
+        for i in range(len(w) - span + 1):
+            seen[tuple(w[i:i + span])] = seen.get(tuple(w[i:i + span]), 0) + 1
+    out = []
+    for t in texts:
+        w, gone = t.split(), set()
+        for i in range(len(w) - span + 1):
+            if seen[tuple(w[i:i + span])] > 1:
+                gone.update(range(i, i + span))
+        out.append([x for i, x in enumerate(w) if i not in gone])
+    return out
+
+
+def test_windows_of_words_and_of_other_lengths(spark):
+    rng = random.Random(8)
+    passage, near = words(rng, 90).split(" "), words(rng, 200).split(" ")
+    texts = [words(rng, 51), "", " ".join(["x"] * 300), "a b"]
+    for k in range(14):
+        part = passage[rng.randint(0, 25):][:rng.randint(45, 65)]
+        edited = [w if rng.random() > 0.01 else "zz" for w in near]
+        texts += [" ".join([words(rng, 9), (" ", "\n", "\u3000")[k % 3].join(part), words(rng, 9)]), " ".join(edited)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.text for r in sd.without_repeats(df, kinds=(sd.PASSAGES,)).collect()}
+    assert [got[i].split() for i in range(len(texts))] == brute_words(texts, 51)
+    old, sd.SPAN = sd.SPAN, 100
+    try:
+        spans = sd.with_spans(df, kinds=(sd.Windows(100),)).select("doc_id", "_bytes", "_spans").collect()
+        want = dict(enumerate(brute([t.encode() for t in texts])))
+    finally:
+        sd.SPAN = old
+    assert all(sum(hi - lo for lo, hi in sd._merged(r._spans, bytes(r._bytes))) == want[r.doc_id][1] for r in spans)
+
+
+def test_stage_takes_short_passages_of_over_50_words(spark):
+    import corpus_pipeline
+    rng = random.Random(9)
+    passage = " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(51))
+    assert len(passage) < sd.SPAN
+    less = passage.rsplit(" ", 1)[0]
+    rows = [(1, f"one two {passage} three"), (2, f"four {passage} five"), (3, f"six {less} seven")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in corpus_pipeline.repeated_passages(spark, df, "").collect()}
+    assert got == {1: "one two  three", 2: "four  five", 3: rows[2][1]}

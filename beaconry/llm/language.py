@@ -192,8 +192,8 @@ def identify(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def understood(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """`documents` without those whose language cannot be told: no letter at all, or no language ahead of the others."""
-    model = train(documents.where(~held_out(id_col)), text_col, lang_col)
+    """`documents` without those that are null or have no letter; ties and texts of unlearned languages stay."""
+    # Other names keep a label that reads `und` apart from UNKNOWN; where nothing was learned any lettered text is of one language.
+    model = {f"={name}": words for name, words in train(documents.where(~held_out(id_col)), text_col, lang_col).items()} or {"=": []}
     found = predict(documents.withColumnsRenamed({c: f"_{c}" for c in ("lang_pred", "score") if c in documents.columns}), model, text_col)
-    kept = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") > 0)).drop("lang_pred", "score")
-    return kept.toDF(*documents.columns)
+    return found.where(F.col("lang_pred") != UNKNOWN).drop("lang_pred", "score").toDF(*documents.columns)

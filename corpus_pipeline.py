@@ -15,7 +15,7 @@ from beaconry.session import read_table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told."""
+    """Documents that have a letter."""
     return language.understood(docs)
 
 

@@ -64,3 +64,13 @@ def test_defined_cases(spark):
     nothing = la.identify(spark.createDataFrame([(1, "text", None)], "doc_id long, text string, lang string")).first()
     assert (nothing.lang_pred, nothing.score) == ("und", 0.0)
     assert la.identify(df.limit(0)).collect() == []
+
+
+def test_ties_and_unlearned_texts_stay(spark):
+    rows = [(SEEN, "same words here", lang) for lang in ("de", "en")] + [(3, "here", None), (4, "12", None), (5, None, "de"), (6, "zz", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r.score for r in la.identify(df).collect()} == {0.0}
+    assert sorted(r.doc_id for r in la.understood(df).collect()) == [3, 6, SEEN, SEEN]
+    for lang in (None, "und"):
+        kept = la.understood(df.selectExpr("doc_id", "text", f"cast({'null' if lang is None else repr(lang)} as string) as lang"))
+        assert sorted(r.doc_id for r in kept.collect()) == [3, 6, SEEN, SEEN]

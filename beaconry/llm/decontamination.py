@@ -4,16 +4,18 @@ Both sides are turned into templates: words without case and punctuation, with n
 (capitalised inside a sentence) and units (after a number) replaced by a placeholder of their kind.
 Windows of five template words are hash-joined. Where a matched window has placeholders, the values are
 checked: at one alignment of document and question, a value of the question must always be replaced by the
-same value of the document, else that alignment does not count. A document holds a question if it has four
-fifths of the question's windows, or `LONG` of them (a passage of a longer question).
+same value of the document, else the windows that hold this value do not count there. A document holds a
+question if it has four fifths of the question's windows, or `LONG` of them (a passage of a longer question).
 
-Windows with fewer than `LITERALS` plain words say nothing and are left out on both sides' behalf (on the
-question's); a question of under five words is one window, which only a document of just these words has.
+Template windows with fewer than `LITERALS` plain words say nothing and are left out on the question's behalf.
+Windows of the words as they stand, without case, are joined too and need neither: a document also holds a question
+if windows of either sort stand at four fifths of all its places, or at `LONG` of them (then `n_windows` and
+`item_windows` count those places). So verbatim copies are found whatever they consist of, and in any case. A question of under five words is one window, which only a document of just these words has.
 The questions' windows are broadcast after they were counted, up to `BROADCAST_ROWS`; beyond that the join is
 an ordinary one. DataFrame functions only.
 
-Defined cases: null and empty text has no windows; questions without a telling window match nothing;
-repeated questions or documents are each reported; a repeated (id, text) document row is reported once.
+Defined cases: null and empty text has no windows; questions without a telling window match verbatim; a null
+item is an item; repeated questions or documents are each reported; a repeated (id, text) document row is reported once.
 """
 
 from __future__ import annotations
@@ -47,8 +49,9 @@ def template(text: Column) -> Column:
 
 
 def template_words(text: Column) -> Column:
-    """The template words alone."""
-    return F.array_compact(F.transform(_pairs(text), lambda p: _kind(p["t"], p["before"])))
+    """array<struct<c, low>>: template word and the word itself in lower case."""
+    words = F.transform(_pairs(text), lambda p: F.struct(_kind(p["t"], p["before"]).alias("c"), F.lower(p["t"]).alias("low")))
+    return F.filter(words, lambda w: w["c"].isNotNull())
 
 
 def _kind(t: Column, before: Column) -> Column:
@@ -66,22 +69,26 @@ def _kind(t: Column, before: Column) -> Column:
             .when(t < "A", F.lit(None).cast("string")).when(name, NAME).otherwise(low))
 
 
-def _windows(words: Column) -> Column:
+def _windows(words: Column, *seed: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - (WORDS - 1), F.lit(1))),
-                       lambda i: F.xxhash64(F.slice(words, i, WORDS)))
+                       lambda i: F.xxhash64(*seed, F.slice(words, i, WORDS)))
 
 
 def question_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """Telling windows of each question: item, place, h, slots (offset, kind, value), n (telling windows of the item)."""
+    """Windows of each question: item, place, raw, h, slots (offset, kind, value; none if raw), n (telling windows of the item), places (all)."""
     rows = benchmark.select(F.col(id_col).alias("item"), template(F.col(text_col)).alias("t")).where("size(t) > 0")
-    rows = rows.select("item", "t", F.transform("t", lambda w: w["c"]).alias("c")).distinct()
-    at = rows.select("item", "t", F.posexplode(_windows(F.col("c"))).alias("place", "h"))
+    rows = rows.select("item", "t", F.transform("t", lambda w: w["c"]).alias("c"), F.transform("t", lambda w: F.coalesce(w["v"], w["c"])).alias("low")).distinct()
+    both = F.arrays_zip(_windows(F.col("c")).alias("h"), _windows(F.col("low"), F.lit(1)).alias("r"))
+    at = rows.select("item", "t", F.posexplode(both).alias("place", "w"))
     part = F.slice("t", F.col("place") + 1, WORDS)
     slots = F.filter(F.transform(part, lambda w, i: F.struct(i.alias("offset"), w["c"].alias("kind"), w["v"].alias("value"))), lambda s: s["value"].isNotNull())
-    at = at.select("item", "place", "h", F.size(part).alias("words"), slots.alias("slots"))
-    telling = at.where(F.col("words") - F.size("slots") >= F.least(F.lit(LITERALS), F.col("words")))
-    counts = telling.groupBy("item").agg(F.count_distinct("place").alias("n"))
-    return telling.join(counts, "item").select("item", "place", "h", "slots", "n")
+    at = at.select("item", "place", "w", F.size(part).alias("words"), slots.alias("slots"))
+    at = at.withColumn("telling", F.col("words") - F.size("slots") >= F.least(F.lit(LITERALS), F.col("words")))
+    counts = at.groupBy(F.col("item").alias("_item")).agg(F.count_distinct(F.when(F.col("telling"), F.col("place"))).alias("n"), F.count_distinct("place").alias("places"))
+    at = at.join(counts, F.col("item").eqNullSafe(F.col("_item")))
+    none = F.filter("slots", lambda s: F.lit(False))
+    template_ = at.where("telling").select("item", "place", F.lit(False).alias("raw"), F.col("w.h").alias("h"), "slots", "n", "places")
+    return template_.union(at.select("item", "place", F.lit(True), "w.r", none, "n", "places"))
 
 
 def leaks(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
@@ -94,11 +101,11 @@ def leaks(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     words = keyed.select("id", "k1", "k2", template_words(F.col("text")).alias("c"))
     beside = F.arrays_zip(*[F.slice("c", i + 1, F.size("c")).alias(f"w{i}") if i else F.col("c").alias("w0") for i in range(WORDS)])
     windows = words.select("id", "k1", "k2", F.posexplode(beside).alias("at", "w")).where(f"at = 0 or w.w{WORDS - 1} is not null")
-    windows = windows.select("id", "k1", "k2", "at", F.xxhash64(*[F.col(f"w.w{i}") for i in range(WORDS)]).alias("h"))
-    hits = windows.join(questions, "h").select("id", "k1", "k2", "item", "at", "place", "slots", "n", (F.col("at") - F.col("place")).alias("shift"))
-    hits = hits.dropDuplicates(["k1", "k2", "item", "at", "place"])
+    hashes = F.array(F.xxhash64(*[F.col(f"w.w{i}.c") for i in range(WORDS)]), F.xxhash64(F.lit(1), *[F.col(f"w.w{i}.low") for i in range(WORDS)]))
+    windows = windows.select("id", "k1", "k2", "at", F.posexplode(hashes).alias("sort", "h")).withColumn("raw", F.col("sort") == 1)
+    hits = windows.join(questions, ["h", "raw"]).select("id", "k1", "k2", "item", "at", "place", "raw", "slots", "n", "places", (F.col("at") - F.col("place")).alias("shift"))
+    hits = hits.dropDuplicates(["k1", "k2", "item", "at", "place", "raw"])
     doc = ["k1", "k2", "item"]
-    changed = None
     if not questions.where(F.size("slots") > 0).isEmpty():
         slotted = hits.where(F.size("slots") > 0).select(*doc, "shift", "at", F.explode("slots").alias("s"))
         values = keyed.select("k1", "k2", F.transform(template(F.col("text")), lambda w: w["v"]).alias("v"))
@@ -106,14 +113,26 @@ def leaks(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
         pairs = values.join(wanted, ["k1", "k2"]).select("k1", "k2", "v", F.explode("w").alias("w")).select(
             "k1", "k2", "w.item", "w.shift", "w.kind", "w.old", F.get("v", F.col("w.at")).alias("new")).distinct()
         per_value = pairs.groupBy(*doc, "shift", "kind", "old").agg(F.count("*").alias("c"), F.max((F.col("old") != F.col("new")).cast("int")).alias("other"))
-        changed = per_value.groupBy(*doc, "shift").agg(F.max("c").alias("c"), F.sum("other").alias("n_changed"))
-        hits = hits.join(changed, [*doc, "shift"], "left").where("coalesce(c, 1) = 1")
+        changed = per_value.groupBy(*doc, "shift").agg(
+            F.sum(F.when(F.col("c") == 1, F.col("other")).otherwise(0)).alias("n_changed"),
+            F.collect_list(F.when(F.col("c") > 1, F.concat("kind", "old"))).alias("torn"))
+        changed = changed.withColumnsRenamed({c: f"_{c}" for c in (*doc, "shift")})
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*doc, "shift")]
+        held = F.transform("slots", lambda s: F.concat(s["kind"], s["value"]))
+        hits = hits.join(changed, same, "left").where(~F.coalesce(F.arrays_overlap(held, "torn"), F.lit(False)))
     else:
         hits = hits.withColumn("n_changed", F.lit(0).cast("long"))
     found = hits.groupBy("k1", "k2", "id", "item").agg(
-        F.count_distinct("place").alias("n_windows"), F.max("n").alias("item_windows"), F.coalesce(F.max("n_changed"), F.lit(0)).cast("long").alias("n_changed"))
-    enough = (F.col("n_windows") >= SHARE * F.col("item_windows")) | (F.col("n_windows") >= LONG)
-    return found.where(enough).select("k1", "k2", F.col("id").alias(id_col), F.col("item").alias(item_col), "n_windows", "item_windows", "n_changed")
+        F.count_distinct(F.when(~F.col("raw"), F.col("place"))).alias("n_windows"), F.max("n").alias("item_windows"), F.count_distinct("place").alias("n_places"),
+        F.max("places").alias("places"), F.coalesce(F.max(F.when(~F.col("raw"), F.col("n_changed"))), F.lit(0)).cast("long").alias("n_changed"))
+
+    def enough(here, all_):
+        return (F.col(here) > 0) & ((F.col(here) >= SHARE * F.col(all_)) | (F.col(here) >= LONG))
+
+    by_template = enough("n_windows", "item_windows")
+    return found.where(by_template | enough("n_places", "places")).select(
+        "k1", "k2", F.col("id").alias(id_col), F.col("item").alias(item_col), F.when(by_template, F.col("n_windows")).otherwise(F.col("n_places")).alias("n_windows"),
+        F.when(by_template, F.col("item_windows")).otherwise(F.col("places")).alias("item_windows"), "n_changed")
 
 
 def without_leaks(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -124,7 +143,9 @@ def without_leaks(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc
 
 
 def leaks_sql() -> str:
-    """The same in DuckDB SQL, with the windows themselves in place of their hashes."""
+    """The template windows of items with an id in DuckDB SQL, with the windows themselves in place of their hashes.
+
+    It knows no windows of words as they stand and drops a whole alignment where one value is replaced by two."""
     units, signs = ", ".join(f"'{u}'" for u in UNITS), ", ".join(f"'{u}'" for u in UNITS[:5])
     ends = "'.', '!', '?', ':', chr(10)"
 

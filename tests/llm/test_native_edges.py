@@ -37,6 +37,18 @@ def test_other_numbers_are_caught_if_they_are_consistent(spark):
     assert dc.leaks(docs.limit(0), bench).collect() == [] and dc.leaks(docs, bench.limit(0)).collect() == []
 
 
+def test_verbatim_copies_whatever_they_consist_of(spark):
+    sums, names = "12 + 7 = 19, 3 x 4 = 12, 8 - 5 = 3", "Ask Anna Berg, Carl Dorn, Eva Frey, Gerd Hahn or Ida Jung about Kurt Lang"
+    plain = " ".join(f"w{chr(97 + i)}x" for i in range(22))
+    torn = f"Put 40 here then {plain} and take 40 away at once"   # one of two equal numbers differs
+    bench = spark.createDataFrame([(1, sums), (2, names), (3, QUESTION), (None, QUESTION), (4, torn)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"See: {sums}."), (2, names.lower()), (3, QUESTION.upper()), (4, torn.replace("40", "41", 1)),
+                                  (5, "12 7 19 and no more"), (6, sums.replace("7", "6").replace("3", "9"))], "doc_id long, text string")
+    got = sorted((r.doc_id, r.item_id or 0) for r in dc.leaks(docs, bench).collect())
+    assert got == [(1, 1), (2, 2), (3, 0), (3, 3), (4, 4)]
+    assert sorted(r.doc_id for r in dc.without_leaks(docs, bench).collect()) == [5, 6]
+
+
 def test_calls(spark):
     calls = spark.createDataFrame([
         (1, "a", None, "add", '{"y": 2, "x": "1", "z": true}'), (1, "b", "a", "add", '{"x": 1}'), (1, "c", "b", "add", "broken"), (1, "d", "c", "none", "{}"),

@@ -5,7 +5,8 @@ length of text, its punctuation and the text inside links are added up over the
 path - length per block, punctuation per block and share outside links - are smoothed over the blocks in
 page order, fused into one value, and a path is content if its value reaches a share of the page's
 typical content path. Paths that a page itself marks as something else (menus, footers, forms and so on)
-take no part; a marked article, if there is one, keeps its short paths (headings, lists).
+take no part; inside a marked article the value counts `BONUS` times, so short
+paths (headings, lists) reach the threshold there; the value decides inside and outside.
 
 Reading is lenient: unclosed and wrongly nested tags are common, so a closing tag closes the nearest
 open tag of its name, and tags that HTML lets stay open are closed by what cannot be inside them.
@@ -31,7 +32,7 @@ RAW = ("script", "style", "textarea", "title", "noscript", "template", "iframe",
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup "
                    "time tt u var wbr".split())
 #: Never part of an article.
-APART = frozenset("nav footer aside form button select option dialog menu head object canvas audio video figcaption fieldset".split())
+APART = frozenset("nav footer aside form button select option dialog menu head object canvas audio video fieldset".split())
 ROOTS = frozenset("article main".split())
 CLOSED_BY = {"p": frozenset("p div article section aside nav footer header ul ol dl table pre blockquote form h1 h2 h3 h4 h5 h6 hr main figure".split()),
              "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr"]),
@@ -46,7 +47,7 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<
                     r"<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 _MARK = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-hidden)\b\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _STOP = re.compile(r"[.,;:!?。，、…¿¡]")
-SMOOTH, SHARE = 0.5, 0.18
+SMOOTH, SHARE, BONUS = 0.5, 0.18, 3.0
 DEEPEST = 100  # tags of a path that tell blocks apart
 
 
@@ -75,6 +76,19 @@ def _marks(attributes: str) -> tuple[str, bool]:
     return names, other
 
 
+def _behind_raw(page: str, at: int, name: str, closed: bool) -> int:
+    """Place behind a raw element whose opening tag ends at `at`; an unclosed one ends before the next tag."""
+    over = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
+    if closed:
+        again = re.compile(rf"<{name}\b", re.I).search(page, at)
+        if name == "svg" or not over or again and again.start() < over.start():
+            return at
+    if over:
+        return over.end()
+    tag = re.compile(r"</?[a-zA-Z]").search(page, at)
+    return tag.start() if tag else len(page)
+
+
 def blocks(page: str) -> list[Block]:
     """Blocks of text of a page, in order."""
     stack: list[tuple[str, str, bool, bool]] = []   # name, path, apart, inside an article
@@ -132,8 +146,7 @@ def blocks(page: str) -> list[Block]:
         name = name.lower()
         attributes = m[3] if m[2] else m[5]
         if name in RAW:
-            over = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
-            at = over.end() if over else end
+            at = _behind_raw(page, at, name, attributes.rstrip().endswith("/"))
             if name not in INLINE:
                 flush()
             continue
@@ -179,27 +192,16 @@ def content_paths(parts: list[Block]) -> set[str]:
     typical = float((fused * weight).sum() / weight.sum())
     best: dict[str, float] = {}
     for b, f in zip(parts, fused):
-        best[b.path] = max(best.get(b.path, 0.0), float(f))
+        best[b.path] = max(best.get(b.path, 0.0), float(f) * (BONUS if b.rooted else 1.0))
     return {p for p, f in best.items() if f >= SHARE * typical and value[p][0] > 0}
 
 
 def main_text(page: str | None) -> str:
     parts = [b for b in blocks(page or "") if not b.apart]
-    if any(b.rooted for b in parts):
-        # Inside a marked article only a path that is nothing but links falls out.
-        parts = [b for b in parts if b.rooted]
-        whole = {}
-        for b in parts:
-            s = whole.setdefault(b.path, [0, 0])
-            s[0] += len(b.text)
-            s[1] += b.linked
-        keep = {p for p, (chars, linked) in whole.items() if linked < 0.8 * chars or p.rpartition("/")[2] in ("h1", "h2", "h3", "p")}
-        keep |= content_paths(parts) if parts else set()
-    else:
-        keep = content_paths(parts) if parts else set()
-        # Headings of content stand among its paths and are short by nature.
-        parents = {p.rpartition("/")[0] for p in keep}
-        keep |= {b.path for b in parts if re.search(r"/h[1-6][^/]*$", b.path) and b.path.rpartition("/")[0] in parents and b.linked < len(b.text)}
+    keep = content_paths(parts) if parts else set()
+    # Headings of content stand among its paths and are short by nature.
+    parents = {p.rpartition("/")[0] for p in keep}
+    keep |= {b.path for b in parts if re.search(r"/h[1-6][^/]*$", b.path) and b.path.rpartition("/")[0] in parents and b.linked < len(b.text)}
     return "\n".join(b.text for b in parts if b.path in keep)
 
 

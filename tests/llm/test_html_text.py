@@ -44,3 +44,19 @@ def test_table_edges(spark):
     df = spark.createDataFrame([(None, None, None, 1), (1, "u", "<p>x.</p>", 2), (1, "u", "<p>x.</p>", 2)], "page_id long, url string, html string, text int")
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in ht.extract(df).collect()) == [(0, "", 0), (1, "x.", 2), (1, "x.", 2)]
     assert ht.extract(df.limit(0)).collect() == []
+
+
+def test_ratios_decide_with_a_marked_article():
+    text = "A first sentence, which is long enough; it says something. And a second one follows it."
+    body = f"<div class=text>{ARTICLE * 6}</div>"
+    assert ht.main_text(f"<body><article><p>Teaser, short.</p></article>{body}</body>").count(text) == 6
+    long = f"<p>{' '.join([text] * 4)}</p>"
+    inside = ht.main_text(f"<article><h1>Head</h1>{long * 6}<div class=u>To it</div><div class=v><a href=1>Buy</a> it</div><div class=w>Now</div></article>")
+    assert "Buy it" not in inside and inside.startswith("Head\n") and inside.count(text) == 24
+
+
+def test_raw_elements_end_where_they_end():
+    for raw in ('<svg viewBox="0 0 1 1"/>', '<script src="x"/>', "<noscript>", "<style>p{}"):
+        assert ht.main_text(f"<body>{raw}{ARTICLE}</body>").startswith("A first"), raw
+    assert ht.main_text('<script src="x"/></script><p>Text.</p><script>no</script>') == "Text."
+    assert "Caption, of it." in ht.main_text(f"<article>{ARTICLE}<figure><figcaption>Caption, of it.</figcaption></figure></article>")

@@ -5,13 +5,13 @@ the longest pieces that occur in that automaton; a character that occurs nowhere
 own. Phrases do not cross white space, so a word is parsed once and its phrase counts are kept in a
 bounded table. The language with the fewest phrases per letter wins.
 
-Training is a bounded sample: of each language the `TRAIN_DOCS` labelled rows with the smallest hash
-of their id and text, and of those the `TRAIN_WORDS` most frequent words; at most `MAX_LANGUAGES`
-languages, the most frequent ones. Prediction reads the whole text and nothing but the text.
+Training is a bounded sample: of each language the `TRAIN_DOCS` distinct labelled texts with the smallest
+hash, and of those the `TRAIN_WORDS` most frequent words. Every label is learned: beyond
+`ALL_WORDS` / `TRAIN_WORDS` languages they share `ALL_WORDS` evenly, with one word each at least. Prediction reads the whole text and nothing but the text.
 
 Defined cases: null, empty or letterless text is `und` with score 0, and so is any text if nothing
-was learned; ties go to the language whose name sorts first and have score 0; repeated rows count as
-often as they occur, in training too.
+was learned; ties go to the language whose name sorts first and have score 0; repeated rows are
+each judged, and count once in training.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import arrow_map
 
 UNKNOWN = "und"
-TRAIN_DOCS, TRAIN_WORDS, MAX_LANGUAGES = 200, 8000, 64
+TRAIN_DOCS, TRAIN_WORDS, ALL_WORDS = 200, 8000, 512_000
 _CACHE_WORDS = 200_000
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -123,16 +123,15 @@ class Parser:
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, list[str]]:
     """Words of each language from rows with text and language; see the bounds above."""
     rows = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    order = F.xxhash64(text_col).alias("h")
-    names = rows.groupBy(lang_col).agg(F.count("*").alias("n")).orderBy(F.desc("n"), lang_col).limit(MAX_LANGUAGES)
-    languages = sorted(r[0] for r in names.collect())
-    keys = rows.select(F.col(lang_col).alias("l"), order).where(F.col("l").isin(languages))
+    keys = rows.select(F.col(lang_col).alias("l"), F.xxhash64(text_col).alias("h")).distinct()
     rank = F.row_number().over(Window.partitionBy("l").orderBy("h"))
     last = keys.withColumn("r", rank).where(F.col("r") <= TRAIN_DOCS).groupBy("l").agg(F.max("h").alias("m")).collect()
     if not last:
         return {}
-    limit = F.create_map(*[x for r in last for x in (F.lit(r["l"]), F.lit(r["m"]))])
-    chosen = rows.where(F.col(lang_col).isin(languages)).where(F.xxhash64(text_col) <= limit[F.col(lang_col)])
+    each = max(1, min(TRAIN_WORDS, ALL_WORDS // len(last)))
+    kind = labelled.schema[lang_col].dataType.simpleString()
+    limit = F.broadcast(labelled.sparkSession.createDataFrame([tuple(r) for r in last], f"_l {kind}, _m long"))
+    chosen = rows.withColumn("_h", F.xxhash64(text_col)).join(limit, F.col(lang_col) == F.col("_l")).where("_h <= _m").dropDuplicates(["_l", "_h"])
 
     def words(batches):
         for batch in batches:
@@ -143,10 +142,10 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64()))],
                                              names=["l", "w", "c"])
 
-    counted = arrow_map(chosen.select(lang_col, text_col), words, "l string, w string, c long").groupBy("l", "w").agg(F.sum("c").alias("c"))
+    counted = arrow_map(chosen.select("_l", text_col), words, "l string, w string, c long").groupBy("l", "w").agg(F.sum("c").alias("c"))
     rank = F.row_number().over(Window.partitionBy("l").orderBy(F.desc("c"), "w"))
     model: dict[str, list[str]] = {}
-    for r in counted.withColumn("r", rank).where(F.col("r") <= TRAIN_WORDS).orderBy("l", "r").collect():
+    for r in counted.withColumn("r", rank).where(F.col("r") <= each).orderBy("l", "r").collect():
         model.setdefault(r["l"], []).append(r["w"])
     return model
 
@@ -157,7 +156,7 @@ _PARSERS: dict = {}
 def predict(documents: DataFrame, model: dict[str, list[str]], text_col: str = "text") -> DataFrame:
     """`documents` with lang_pred and score."""
     schema = documents.schema
-    shared = documents.sparkSession.sparkContext.broadcast(model)  # at most MAX_LANGUAGES * TRAIN_WORDS words
+    shared = documents.sparkSession.sparkContext.broadcast(model)  # at most ALL_WORDS words, or one a language
     name = uuid.uuid4().hex
 
     def work(batches):

@@ -74,3 +74,14 @@ def test_ties_and_unlearned_texts_stay(spark):
     for lang in (None, "und"):
         kept = la.understood(df.selectExpr("doc_id", "text", f"cast({'null' if lang is None else repr(lang)} as string) as lang"))
         assert sorted(r.doc_id for r in kept.collect()) == [3, 6, SEEN, SEEN]
+
+
+def test_every_label_is_learned_from_distinct_texts(spark, monkeypatch):
+    rows = [(f"w{k:03d} q{k:03d}", f"l{k:03d}") for k in range(70)]
+    model = la.train(spark.createDataFrame(rows, "text string, lang string"))
+    assert {k: sorted(v) for k, v in model.items()} == {lang: sorted(text.split()) for text, lang in rows}
+    monkeypatch.setattr(la, "TRAIN_DOCS", 3)
+    copies = [("copied", "x")] * 50 + [("other", "x"), ("third", "x")]
+    assert sorted(la.train(spark.createDataFrame(copies, "text string, lang string"))["x"]) == ["copied", "other", "third"]
+    monkeypatch.setattr(la, "ALL_WORDS", 100)
+    assert {len(v) for v in la.train(spark.createDataFrame(rows, "text string, lang string")).values()} == {1}

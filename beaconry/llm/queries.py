@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from beaconry.session import read_table
 
-from . import decontamination, html_text, language, outliers, packing, simhash_dedup, suffix_dedup, tokens, tool_calls, url_filter
+from . import (byte_bpe, decontamination, fill_in_middle, html_text, language, outliers, packing, prefix_trie, simhash_dedup,
+               suffix_dedup, tokens, tool_calls, url_filter)
 
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,12 +51,27 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outliers.judged(read_table(spark, sf_dir, "documents"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip(read_table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(read_table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_url_filters, op2_token_counts, op3_packing, op4_language_id, op5_simhash_near_dedup, op6_benchmark_decontamination,
-    op7_html_extraction, op8_suffix_array_dedup, op9_chat_formatting, op10_quality_rules)}
+    op7_html_extraction, op8_suffix_array_dedup, op9_chat_formatting, op10_quality_rules,
+    op11_byte_bpe, op12_fill_in_middle, op13_prefix_trie)}
 _URLS = url_filter.judge_sql()
 ORACLES: dict[str, str] = {
     "op1_url_filters": f"SELECT page_id, host, path, rule, verdict FROM ({_URLS})",
     "op6_benchmark_decontamination": decontamination.leaks_sql(),
     "op9_chat_formatting": tool_calls.conversations_sql(),
+    "op12_fill_in_middle": fill_in_middle.digests_sql(),
+    "op13_prefix_trie": prefix_trie.trie_sql(),
 }

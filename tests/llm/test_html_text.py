@@ -60,3 +60,40 @@ def test_raw_elements_end_where_they_end():
         assert ht.main_text(f"<body>{raw}{ARTICLE}</body>").startswith("A first"), raw
     assert ht.main_text('<script src="x"/></script><p>Text.</p><script>no</script>') == "Text."
     assert "Caption, of it." in ht.main_text(f"<article>{ARTICLE}<figure><figcaption>Caption, of it.</figcaption></figure></article>")
+
+
+def test_ratios_decide_without_marks():
+    """What no tag or class names: a short block goes, a list of short entries stays."""
+    body = f"<div class=c>{ARTICLE * 4}</div>"
+    assert ht.main_text(f"<body>{body}<div class=x><span>junk</span></div></body>").count("\n") == 3
+    assert "junk" in ht.main_text(f"<body>{body}<div class=x><span>junk</span></div></body>", ratios=False)
+    listed = f"<body><div class=c>{ARTICLE * 2}<ul><li>point a</li><li>point b</li></ul>{ARTICLE}</div><ul><li><a href=1>Other page</a></li><li><a href=2>More</a></li></ul></body>"
+    assert "point a\npoint b" in ht.main_text(listed) and "Other page" not in ht.main_text(listed)
+    terms = f"<article>{ARTICLE * 3}<dl><dt>Key<dd>Val</dl></article>"
+    assert ht.main_text(terms).endswith("Key\nVal")
+
+
+def test_class_names_count_whole():
+    long = "<p class='legal-history'>" + "The law was passed, and then changed. It held for long; nobody knew why. So it stood.</p>"
+    assert "The law was passed" in ht.main_text(f"<article>{ARTICLE}{long}</article>")
+    for name in ("legal", "cookie-notice", "siteHeader", "comments_section", "ad-slot-3", "x sidebar"):
+        assert ht.names_other(name), name
+    for name in ("legal-history", "adventure", "loading", "article-header", "commentary", "shared-note", "", "13"):
+        assert not ht.names_other(name), name
+
+
+def test_broken_pages_take_time_by_length():
+    import time
+
+    n = 300_000
+    pages = ("<a " * n, "<script>x" * n, "<a '" * n, "<p " * n + ">", "</x" * n, "<!-" * n, "<div>" * (n // 10) + "</x>" * n, "<b>" * n + "<p>x" * n,
+             "<div class='" * n, "<style>" * n + "</style", "&" * n, "<li>" * n, "<svg/>" * n, "</script" * n)
+    for page in pages:
+        began = time.time()
+        ht.main_text(page)
+        assert time.time() - began < 15, page[:20]
+
+
+def test_other_columns_may_have_any_name(spark):
+    df = spark.createDataFrame([(1, "u", "<p>x.</p>", "a", 5)], "page_id long, url string, html string, text string, n_chars int")
+    assert [tuple(r) for r in ht.extract(df).collect()] == [(1, "u", "x.", 2)]

@@ -10,20 +10,31 @@ from pyspark.sql import functions as F
 
 from beaconry.session import pin, scratch_path
 
-#: Rows of one Arrow batch; documents may be long, so a batch holds few of them.
+#: Rows that a function looks at together; documents may be long. Spark bounds the bytes of a batch.
 BATCH_ROWS = 256
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Arrow batches of few rows, so that a batch of long texts fits a Python worker."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, BATCH_ROWS):
+            yield batch.slice(at, BATCH_ROWS)
 
 
 def arrow_map(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-              schema: str) -> DataFrame:
-    small_batches(df.sparkSession)
-    return df.mapInArrow(work, schema)
+              schema) -> DataFrame:
+    """`mapInArrow` that hands `work` few rows at a time."""
+    return df.mapInArrow(lambda batches: work(_sliced(batches)), schema)
+
+
+def nested(df: DataFrame, *columns) -> DataFrame:
+    """`row` (all columns of `df`, whatever their names) and the given columns."""
+    return df.select(F.struct("*").alias("row"), *columns)
+
+
+def unnested(schema, changed: dict | None = None) -> list:
+    """The columns of `schema` out of `row`, some of them `changed`."""
+    changed = changed or {}
+    return [(changed[c] if c in changed else F.col("row").getField(c)).alias(c) for c in schema.names]
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

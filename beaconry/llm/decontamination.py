@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import nested, row_keys, unnested
+
 WORDS, LITERALS, SHARE, LONG = 5, 3, 0.8, 16
 BROADCAST_ROWS = 1_000_000   # of 8 to 40 bytes
 NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
@@ -137,9 +139,8 @@ def leaks(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
 def without_leaks(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`documents` without those that hold a question."""
-    found = leaks(documents, benchmark, id_col, text_col).select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2")).distinct()
-    keys = [F.xxhash64(id_col) == F.col("_k1"), F.xxhash64(text_col) == F.col("_k2")]
-    return documents.join(found, keys, "left_anti").select(*documents.columns)
+    found = leaks(documents, benchmark, id_col, text_col).select("k1", "k2").distinct()
+    return nested(documents, *row_keys(id_col, text_col)).join(found, ["k1", "k2"], "left_anti").select(*unnested(documents.schema))
 
 
 def leaks_sql() -> str:

@@ -11,7 +11,7 @@ hash, and of those the `TRAIN_WORDS` most frequent words. Every label is learned
 
 Defined cases: null, empty or letterless text is `und` with score 0, and so is any text if nothing
 was learned; ties go to the language whose name sorts first and have score 0; repeated rows are
-each judged, and count once in training.
+each judged, and count once in training; columns of any name pass through, null ids are in training.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map
+from .common import arrow_map, nested, unnested
 
 UNKNOWN = "und"
 TRAIN_DOCS, TRAIN_WORDS, ALL_WORDS = 200, 8000, 512_000
@@ -122,16 +122,16 @@ class Parser:
 
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, list[str]]:
     """Words of each language from rows with text and language; see the bounds above."""
-    rows = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    keys = rows.select(F.col(lang_col).alias("l"), F.xxhash64(text_col).alias("h")).distinct()
+    rows = labelled.select(F.col(lang_col).alias("l"), F.col(text_col).alias("t"), F.xxhash64(text_col).alias("h")).where("l is not null and t is not null")
+    keys = rows.select("l", "h").distinct()
     rank = F.row_number().over(Window.partitionBy("l").orderBy("h"))
     last = keys.withColumn("r", rank).where(F.col("r") <= TRAIN_DOCS).groupBy("l").agg(F.max("h").alias("m")).collect()
     if not last:
         return {}
     each = max(1, min(TRAIN_WORDS, ALL_WORDS // len(last)))
     kind = labelled.schema[lang_col].dataType.simpleString()
-    limit = F.broadcast(labelled.sparkSession.createDataFrame([tuple(r) for r in last], f"_l {kind}, _m long"))
-    chosen = rows.withColumn("_h", F.xxhash64(text_col)).join(limit, F.col(lang_col) == F.col("_l")).where("_h <= _m").dropDuplicates(["_l", "_h"])
+    limit = F.broadcast(labelled.sparkSession.createDataFrame([tuple(r) for r in last], f"l {kind}, m long"))
+    chosen = rows.join(limit, "l").where("h <= m").dropDuplicates(["l", "h"])
 
     def words(batches):
         for batch in batches:
@@ -142,7 +142,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64()))],
                                              names=["l", "w", "c"])
 
-    counted = arrow_map(chosen.select("_l", text_col), words, "l string, w string, c long").groupBy("l", "w").agg(F.sum("c").alias("c"))
+    counted = arrow_map(chosen.select("l", "t"), words, "l string, w string, c long").groupBy("l", "w").agg(F.sum("c").alias("c"))
     rank = F.row_number().over(Window.partitionBy("l").orderBy(F.desc("c"), "w"))
     model: dict[str, list[str]] = {}
     for r in counted.withColumn("r", rank).where(F.col("r") <= each).orderBy("l", "r").collect():
@@ -154,8 +154,7 @@ _PARSERS: dict = {}
 
 
 def predict(documents: DataFrame, model: dict[str, list[str]], text_col: str = "text") -> DataFrame:
-    """`documents` with lang_pred and score."""
-    schema = documents.schema
+    """`row` (all columns of `documents`), lang_pred and score."""
     shared = documents.sparkSession.sparkContext.broadcast(model)  # at most ALL_WORDS words, or one a language
     name = uuid.uuid4().hex
 
@@ -165,17 +164,13 @@ def predict(documents: DataFrame, model: dict[str, list[str]], text_col: str = "
             _PARSERS[name] = Parser(shared.value)
         parser = _PARSERS[name]
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("_text")).to_pylist()
-            found = [parser.predict(t) for t in texts]
+            found = [parser.predict(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
-                names=[*schema.names, "lang_pred", "score"])
+                [batch.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
+                names=["row", "lang_pred", "score"])
 
-    rest = [c for c in documents.columns if c not in ("lang_pred", "score")]
-    documents = documents.select(*rest)
-    schema = documents.schema
-    out = type(schema)(list(schema.fields)).add("lang_pred", "string").add("score", "double")
-    return arrow_map(documents.withColumn("_text", F.col(text_col)), work, out)
+    rows = nested(documents, F.col(text_col).alias("text"))
+    return arrow_map(rows, work, rows.select("row").schema.add("lang_pred", "string").add("score", "double"))
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -186,13 +181,12 @@ def held_out(id_col: str = "doc_id") -> Column:
 def identify(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Per document: id, held_out, lang_pred, score."""
     model = train(documents.where(~held_out(id_col)), text_col, lang_col)
-    rows = documents.select(id_col, held_out(id_col).alias("held_out"), F.col(text_col).alias("_t"))
-    return predict(rows, model, "_t").select(id_col, "held_out", "lang_pred", "score")
+    rows = documents.select(F.col(id_col).alias("id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text"))
+    return predict(rows, model).select(F.col("row.id").alias(id_col), "row.held_out", "lang_pred", "score")
 
 
 def understood(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """`documents` without those that are null or have no letter; ties and texts of unlearned languages stay."""
     # Other names keep a label that reads `und` apart from UNKNOWN; where nothing was learned any lettered text is of one language.
     model = {f"={name}": words for name, words in train(documents.where(~held_out(id_col)), text_col, lang_col).items()} or {"=": []}
-    found = predict(documents.withColumnsRenamed({c: f"_{c}" for c in ("lang_pred", "score") if c in documents.columns}), model, text_col)
-    return found.where(F.col("lang_pred") != UNKNOWN).drop("lang_pred", "score").toDF(*documents.columns)
+    return predict(documents, model, text_col).where(F.col("lang_pred") != UNKNOWN).select(*unnested(documents.schema))

@@ -15,7 +15,9 @@ Token ids are not kept: pass one keeps the CRC of every whole piece, and only do
 elsewhere are encoded again.
 
 Defined cases: null text is empty and packs its closing id alone; repeated rows are packed as often
-as they occur; an empty table gives no pieces.
+as they occur, each text encoded once more at most; ties between pieces of one length go by row; very long
+texts give full sequences and one rest; null ids are packed; only id and text are read, so other columns may
+have any name; an empty table gives no pieces.
 """
 
 from __future__ import annotations
@@ -258,24 +260,22 @@ def pack(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", v
                               "skip long, size long, sequence_id long, offset long"), "placed")
     whole = placed.where("size = length").select(id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
     parts = placed.where("size < length")
-    wanted = parts.groupBy("k1", "k2").agg(F.collect_set(F.struct(
-        "row", id_col, (F.col("start") + F.col("skip")).alias("start"), F.col("size").alias("length"), "doc_tokens", "sequence_id", "offset")).alias("w"))
-    texts = documents.select(*row_keys(id_col, text_col), text_col).join(wanted, ["k1", "k2"]).select(text_col, "w")
+    # A stretch of a text is encoded once, whatever number of rows hold that text, and met by the rows' pieces.
+    stretch = [F.col("k1"), F.col("k2"), (F.col("start") + F.col("skip")).alias("start"), F.col("size").alias("length")]
+    wanted = parts.select(*stretch).distinct().groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "length")).alias("w"))
+    texts = documents.select(*row_keys(id_col, text_col), F.col(text_col).alias("text")).join(wanted.select("k1", "k2"), ["k1", "k2"], "left_semi")
+    texts = texts.dropDuplicates(["k1", "k2"]).join(wanted, ["k1", "k2"])
 
     def again(batches):
         ids_of = encoder(vocabulary).ids
         for batch in batches:
             rows = []
-            for text, wanted_parts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for k1, k2, text, stretches in zip(*[batch.column(i).to_pylist() for i in range(4)]):
                 ids = np.append(ids_of(text), np.uint32(CLOSING_ID)).astype("<u4")
-                for w in wanted_parts:
-                    rows.append((w["row"], w[id_col], w["start"], w["length"], zlib.crc32(ids[w["start"]:w["start"] + w["length"]].tobytes()),
-                                 w["doc_tokens"], w["sequence_id"], w["offset"]))
-            columns = list(zip(*rows)) or [[]] * 8
-            kinds = [pa.int64(), batch.column(1).type.value_type.field(id_col).type, *[pa.int64()] * 6]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)],
-                                             names=["row", id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
-
-    # Repeated rows have one key, so each of them brings the parts of all: one of each stays.
-    cut = arrow_map(texts, again, f"row long, {id_col} {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
-    return whole.union(cut.dropDuplicates(["row", "start"]).drop("row"))
+                rows += [(k1, k2, w["start"], w["length"], zlib.crc32(ids[w["start"]:w["start"] + w["length"]].tobytes())) for w in stretches]
+            columns = list(zip(*rows)) or [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["k1", "k2", "start", "length", "ids_crc32"])
+
+    found_again = arrow_map(texts.select("k1", "k2", "text", "w"), again, "k1 long, k2 long, start long, length long, ids_crc32 long")
+    cut = parts.select(id_col, *stretch, "doc_tokens", "sequence_id", "offset").join(found_again, ["k1", "k2", "start", "length"])
+    return whole.union(cut.select(*whole.columns))

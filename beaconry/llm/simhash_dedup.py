@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, connected, partitions_for, row_keys, stored
+from .common import arrow_map, connected, nested, partitions_for, row_keys, stored, unnested
 
 BITS, DISTANCE, SHINGLE, SEED = 64, 4, 4, 42
 BLOCK = 4096
@@ -287,12 +287,12 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
 
 def one_of_each(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`documents` with one row of each component: the smallest id (null last), then the smallest text hash."""
-    marked = documents.select("*", *row_keys(id_col, text_col))
-    prints = stored(fingerprints(marked, text_col, (id_col, "k1", "k2")), "fingerprints")
-    first = F.min(F.struct(F.col(id_col).isNull().alias("no"), F.col(id_col).alias("id"), "k1", "k2")).alias("first")
+    marked = nested(documents, *row_keys(id_col, text_col), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    prints = stored(fingerprints(marked, "text", ("id", "k1", "k2")), "fingerprints")
+    first = F.min(F.struct(F.col("id").isNull().alias("no"), "id", "k1", "k2")).alias("first")
     distinct = stored(prints.groupBy("fp").agg(first), "distinct")
     roots = components(distinct).join(distinct, "fp")
     best = roots.groupBy("root").agg(F.min("first").alias("first")).select("first.k1", "first.k2")
-    kept = marked.join(best, ["k1", "k2"], "left_semi")
+    kept = marked.select("row", "k1", "k2").join(best, ["k1", "k2"], "left_semi")
     # Repeated rows agree in both keys: one of them stays.
-    return kept.dropDuplicates(["k1", "k2"]).select(*documents.columns)
+    return kept.dropDuplicates(["k1", "k2"]).select(*unnested(documents.schema))

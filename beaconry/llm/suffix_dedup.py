@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map, partitions_for, row_keys, stored
+from .common import arrow_map, nested, partitions_for, row_keys, stored, unnested
 
 SPAN = 400
 _PIECE = 1 << 22  # bytes of a text whose anchors are looked up at a time
@@ -316,59 +316,58 @@ def _merged(spans, data):
 
 
 def with_spans(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", kinds: tuple = (BYTES,)) -> DataFrame:
-    """`documents` with `_bytes` (UTF-8 of the text, null as empty) and `_spans` (starts of windows of any of `kinds` that repeat)."""
-    clear = documents.withColumn("_bytes", F.coalesce(F.encode(text_col, "UTF-8"), F.lit(b"")))
-    key = row_keys(id_col, "_bytes")
-    docs = clear.select(*key, F.col("_bytes").alias("bytes"))
+    """Per row of `documents`: `row` (all its columns), `bytes` (UTF-8 of the text, null as empty) and `spans` (starts
+    of windows of any of `kinds` that repeat; equal rows have equal spans)."""
+    clear = nested(documents, F.coalesce(F.encode(F.col(text_col), "UTF-8"), F.lit(b"")).alias("bytes"), F.col(id_col).alias("id"))
+    clear = clear.select("row", "bytes", *row_keys("id", "bytes"))
+    docs = clear.select("k1", "k2", "bytes")
     spans = reduce(DataFrame.union, [repeated_spans(docs, k).select("k1", "k2", "lo", "hi", F.lit(k.span).alias("span"), F.lit(k.words).alias("words")) for k in kinds])
-    spans = spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi", "span", "words")).alias("_spans"))
-    return clear.select("*", *key).join(spans.withColumnsRenamed({"k1": "_k1", "k2": "_k2"}),
-                                        (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")), "left").drop("k1", "k2", "_k1", "_k2")
+    spans = spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("lo", "hi", "span", "words")).alias("spans"))
+    return clear.join(spans, ["k1", "k2"], "left").select("row", "bytes", "spans")
+
+
+def _rest(data: bytes, runs: list[tuple[int, int]]) -> bytes:
+    """`data` without `runs`."""
+    at, kept = 0, []
+    for lo, hi in runs:
+        kept.append(data[at:lo])
+        at = hi
+    return b"".join(kept) + data[at:]
 
 
 def removal_report(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: bytes, removed bytes, removed runs, and SHA-256 of what is left."""
+    """Per document: bytes, removed bytes, removed runs, SHA-256 of what is left, and that as `text` (without
+    the bytes of a character cut apart)."""
     def work(batches):
         for batch in batches:
-            sizes, gone, runs, digests = [], [], [], []
+            sizes, gone, runs, digests, texts = [], [], [], [], []
             for data, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 cut = _merged(spans, data)
-                digest, at = hashlib.sha256(), 0
-                for lo, hi in cut:
-                    digest.update(data[at:lo])
-                    at = hi
-                digest.update(data[at:])
+                rest = _rest(data, cut)
                 sizes.append(len(data))
-                gone.append(sum(hi - lo for lo, hi in cut))
+                gone.append(len(data) - len(rest))
                 runs.append(len(cut))
-                digests.append(digest.hexdigest())
+                digests.append(hashlib.sha256(rest).hexdigest())
+                texts.append(rest.decode("utf-8", "ignore"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, pa.int64()),
-                 pa.array(digests, pa.string())], names=[id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                 pa.array(digests, pa.string()), pa.array(texts, pa.string())],
+                names=[id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"])
 
     kind = documents.schema[id_col].dataType.simpleString()
-    return arrow_map(with_spans(documents, id_col, text_col).select(id_col, "_bytes", "_spans"), work,
-                     f"{id_col} {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    rows = with_spans(documents.select(id_col, text_col), id_col, text_col)
+    return arrow_map(rows.select(F.col("row").getField(id_col).alias(id_col), "bytes", "spans"), work,
+                     f"{id_col} {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string")
 
 
 def without_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", kinds: tuple = (BYTES,)) -> DataFrame:
     """`documents` whose text has lost every repeated passage; bytes of a character cut apart go too."""
-    schema = documents.schema
-
     def work(batches):
         for batch in batches:
-            spans = batch.column(batch.num_columns - 1).to_pylist()
-            texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
-            out = []
-            for text, runs in zip(texts, spans):
-                if runs:
-                    data, at, kept = text.encode(), 0, []
-                    for lo, hi in _merged(runs, data):
-                        kept.append(data[at:lo])
-                        at = hi
-                    text = (b"".join(kept) + data[at:]).decode("utf-8", "ignore")
-                out.append(text)
-            columns = [pa.array(out, pa.string()) if name == text_col else batch.column(i) for i, name in enumerate(schema.names)]
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
-
-    return arrow_map(with_spans(documents, id_col, text_col, kinds).select(*schema.names, "_spans"), work, schema)
+            rests = [_rest(data, _merged(spans, data)).decode("utf-8", "ignore") if spans else None
+                     for data, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rests, pa.string())], names=["row", "rest"])
+
+    rows = with_spans(documents, id_col, text_col, kinds)
+    cut = arrow_map(rows, work, rows.select("row").schema.add("rest", "string"))
+    return cut.select(*unnested(documents.schema, {text_col: F.coalesce("rest", F.col("row").getField(text_col))}))

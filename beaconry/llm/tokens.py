@@ -1,7 +1,15 @@
 """Token ids of whole texts, with a public byte-level vocabulary that is read from its installed place.
 
 A token never spans a single space between two other characters, except as that space in front of
-its word. Words repeat, so a text is cut there and the ids of each word are kept in a bounded table."""
+its word. Words repeat, so a text is cut there and the ids of each word are kept in a bounded table.
+
+Strings of added tokens (`<|endoftext|>`) in a text are those tokens, as the contracted library finds
+them with its defaults; `plain=True` reads them as ordinary text.
+
+Defined cases: null and empty texts have no ids; a repeated row is counted as often as it stands there, and
+documents of equal length share a row of the table; very long texts are encoded whole; only the text column
+is read, so others may have any name; an empty table gives no rows.
+"""
 
 from __future__ import annotations
 
@@ -38,39 +46,43 @@ class _Words(dict):
 class Encoder:
     """Ids of a text as an array of unsigned 32-bit numbers; built once in a Python worker."""
 
-    def __init__(self, vocabulary: str = VOCABULARY):
+    def __init__(self, vocabulary: str = VOCABULARY, plain: bool = False):
         import public_tokenizers as public
-        import tiktoken
-
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(public.path(vocabulary))
+        tokenizer.encode_special_tokens = plain
+        self.encode = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+        added = [] if plain else [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
+        self.by_ranks = self.words = None
         if vocabulary == VOCABULARY:
+            import tiktoken
+
             with open(public.path(RANKS), "rb") as lines:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-            self.encode = tiktoken.Encoding("own", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-            self.words = _Words(self.encode)
-        else:
-            from tokenizers import Tokenizer
-
-            tokenizer = Tokenizer.from_file(public.path(vocabulary))
-            tokenizer.encode_special_tokens = True
-            self.encode = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
-            self.words = None
+            self.by_ranks = tiktoken.Encoding("own", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+            self.words = _Words(self.by_ranks)
 
     def ids(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(0, "<u4")
-        if self.words is None or _SPACE_BESIDE_SPACE.search(text):
+        if self.words is None or self.added and self.added.search(text):
             return np.array(self.encode(text), "<u4")
+        if _SPACE_BESIDE_SPACE.search(text):
+            return np.array(self.by_ranks(text), "<u4")
         first, *rest = text.split(" ")
-        return np.frombuffer(np.array(self.encode(first), "<u4").tobytes() + b"".join(map(self.words.__getitem__, rest)), "<u4")
+        return np.frombuffer(np.array(self.by_ranks(first), "<u4").tobytes() + b"".join(map(self.words.__getitem__, rest)), "<u4")
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(vocabulary: str = VOCABULARY) -> Encoder:
-    if vocabulary not in _ENCODERS:
-        _ENCODERS[vocabulary] = Encoder(vocabulary)
-    return _ENCODERS[vocabulary]
+def encoder(vocabulary: str = VOCABULARY, plain: bool = False) -> Encoder:
+    key = (vocabulary, plain)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(vocabulary, plain)
+    return _ENCODERS[key]
 
 
 def token_counts(documents: DataFrame, text_col: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:

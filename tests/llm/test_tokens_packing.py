@@ -12,7 +12,7 @@ from beaconry.llm import packing, tokens
 def texts():
     rng = random.Random(2)
     out = [None, "", " ", "a", "  two  spaces ", "tab\tand\nline\n\n\nend", "don't we'll  x", " lead", "trail ", "a \n b", "ünï ç½²³ ٣٤",
-           "<|endoftext|> plain", "x" * 70 + " y", "word " * 3000, "a b" * 2500, "nbsp here   there", "　wide", "emoji 😀😀 ok", "1234567 89"]
+           "<|endoftext|> plain", "a <|endoftext|> b", "<|endoftext", "x" * 70 + " y", "word " * 3000, "a b" * 2500, "nbsp here   there", "　wide", "emoji 😀😀 ok", "1234567 89"]
     for _ in range(200):
         out.append(" ".join(rng.choice(["the", "tion,", "Été", "42", "x.\nY", "und"]) for _ in range(rng.randint(1, 900))))
     return out
@@ -21,7 +21,6 @@ def texts():
 @pytest.fixture(scope="module")
 def reference():
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -31,6 +30,15 @@ def test_ids(reference):
         assert ids(text).tolist() == reference(text)
 
 
+def test_added_tokens_are_tokens_or_text():
+    assert tokens.Encoder().ids("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    plain = tokens.Encoder(plain=True).ids
+    for text in texts():
+        assert plain(text).tolist() == t.encode(text or "", add_special_tokens=False).ids
+
+
 def test_length_table(spark, reference):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts())], "doc_id long, text string")
     got = {r.token_limit: r for r in tokens.length_table(tokens.token_counts(df), 64).collect()}
@@ -59,7 +67,7 @@ def check_packing(rows, df_rows, reference):
     by_doc = {}
     for r in rows:
         by_doc.setdefault(r.doc_id, []).append(r)
-    for i, text in df_rows:
+    for i, text in dict.fromkeys(df_rows):
         ids = np.array([*reference(text), 1], "<u4")
         parts = sorted(by_doc[i], key=lambda r: r.start)
         copies = sum(1 for j, t in df_rows if j == i)
@@ -85,6 +93,12 @@ def test_one_length_only(spark, reference):
     check_packing(packing.pack(spark.createDataFrame(rows, "doc_id long, text string")).collect(), rows, reference)
 
 
+def test_many_equal_rows(spark, reference):
+    """Copies of one row share its text: the work grows with the copies, not with their square."""
+    rows = [(7, "word " * 700 + "end")] * 1500
+    check_packing(packing.pack(spark.createDataFrame(rows, "doc_id long, text string")).collect(), rows[:1] * 1500, reference)
+
+
 def test_empty(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 

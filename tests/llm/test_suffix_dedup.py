@@ -114,11 +114,11 @@ def test_windows_of_words_and_of_other_lengths(spark):
     assert [got[i].split() for i in range(len(texts))] == brute_words(texts, 51)
     old, sd.SPAN = sd.SPAN, 100
     try:
-        spans = sd.with_spans(df, kinds=(sd.Windows(100),)).select("doc_id", "_bytes", "_spans").collect()
+        spans = sd.with_spans(df, kinds=(sd.Windows(100),)).select("row.doc_id", "bytes", "spans").collect()
         want = dict(enumerate(brute([t.encode() for t in texts])))
     finally:
         sd.SPAN = old
-    assert all(sum(hi - lo for lo, hi in sd._merged(r._spans, bytes(r._bytes))) == want[r.doc_id][1] for r in spans)
+    assert all(sum(hi - lo for lo, hi in sd._merged(r.spans, bytes(r.bytes))) == want[r.doc_id][1] for r in spans)
 
 
 def test_stage_takes_short_passages_of_over_50_words(spark):

@@ -384,12 +384,13 @@ LEFT JOIN part ON p_retailprice * 10 <= c_acctbal GROUP BY 1
 """)
 def join_theta_levels(t: Tables) -> DataFrame:
     parts = t.part.select((F.col("p_retailprice") * 10).alias("need"), "p_retailprice")
-    needs = L.level_values(parts, "need")
-    numbered = L.with_level(parts, "need", needs, "no")
-    counts = L.count_by_level(numbered, "no", len(needs), "affordable")
-    best = numbered.groupBy("no").agg(F.max("p_retailprice").alias("best_price"))
-    customers = L.with_level(t.customer.select("c_custkey", "c_acctbal"), "c_acctbal", needs, "no")
-    rows = customers.join(small_side(pin(counts.join(best, "no"))), "no", "left")
+    customers = t.customer.select("c_custkey", F.col("c_acctbal").cast("double").alias("need"))
+    counts = L.sum_upto(parts, customers, "need", F.lit(1), "affordable")
+    numbers = L.level_numbers(parts, customers, ["need"])
+    numbered = L.with_numbers(customers.select("need", F.col("need").alias("value")).distinct(), numbers, ["need"])
+    best = L.best_upto(L.with_numbers(parts, numbers, ["need"]), numbered, L.level_bits(numbers, ["need"]), [F.desc("p_retailprice")], 1)
+    reached = counts.join(numbered, "value").join(best.select("need", F.col("p_retailprice").alias("best_price")), "need", "left").drop("need")
+    rows = customers.join(reached, customers["need"] == reached["value"], "left")
     return rows.select("c_custkey", F.coalesce("affordable", F.lit(0)).alias("affordable"), "best_price")
 
 

@@ -1,106 +1,106 @@
 """Best products per customer under "product level <= customer level" rules.
 
-The rules compare few product levels with the customers' own, so the lists are worked out
-once per level and met by an equi join. Customer x product pairs are never built.
+The values of both sides go through one range-partitioned order, in which a running count of levels
+gives every value its number. The best up to a level are merged from few blocks of levels: a product lies
+in one block of each size 1, 2, 4, ..., a prefix of levels falls into at most one block of each
+size, and the k best of a block are all it ever needs. So with L levels a product is copied about log L / 2
+times, a list is merged from at most log L blocks, and neither customer x product pairs nor a grid
+of all level combinations is built: only the combinations that customers have. Level values stay
+in tables; what the driver learns is how many there are.
+
+A null or NaN level or reach fits nothing.
 """
 
 from __future__ import annotations
 
-import math
-from typing import Sequence
+from typing import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import top_k
-
-MAX_LEVELS = 1_000_000
-_DIRECT_LEVELS = 16
-
-
-def all_level_values(products: DataFrame, names: Sequence[str], limit: int = MAX_LEVELS) -> dict[str, list[float]]:
-    """Sorted distinct values of several level columns, read to the driver in one job; their
-    number is checked."""
-    pairs = F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).cast("double").alias("value")) for n in names])
-    values = products.select(F.explode(pairs).alias("p")).select("p.*").where(F.col("value").isNotNull()).distinct()
-    rows = values.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{', '.join(names)} have more than {limit} values")
-    return {n: sorted(r["value"] for r in rows if r["name"] == n) for n in names}
-
-
-def level_values(products: DataFrame, level: str, limit: int = MAX_LEVELS) -> list[float]:
-    return all_level_values(products, [level], limit)[level]
-
-
-def with_level(df: DataFrame, value: str, levels: Sequence[float], output: str) -> DataFrame:
-    """Add the number (from 1) of the largest level not above the value; 0 if there is none,
-    null for a null value. The level is found by binary search."""
-    if not levels:
-        return df.withColumn(output, F.when(F.col(value).isNotNull(), 0))
-    inner = [float(x) for x in levels]
-    # a lowest limit below the first level, and one more limit so that a single level is enough
-    search = Bucketizer(splits=[-math.inf, *inner, math.inf], inputCol="_value", outputCol="_bucket", handleInvalid="keep")
-    found = search.transform(df.withColumn("_value", F.col(value).cast("double")))
-    return found.withColumn(output, F.when(F.col(value).isNotNull(), F.col("_bucket").cast("int"))).drop("_value", "_bucket")
-
-
-def best_by_level(products: DataFrame, level: str, count: int, order: Sequence[Column], k: int,
-                  groups: Sequence[str] = (), rank: str = "rank") -> DataFrame:
-    """For every level number 1..`count` the k best products at or below it; `level` becomes
-    the level reached.
-
-    The k best up to a level are among the k best of each level below, so products are cut
-    to k per level before they are handed upwards.
-    """
-    known = products.where(F.col(level) >= 1)
-    best = top_k(known, [*groups, level], order, k, rank).drop(rank)
-    return _hand_up(best, level, count, order, k, list(groups), rank)
-
-
-def best_by_levels(products: DataFrame, counts: dict[str, int], order: Sequence[Column], k: int,
-                   groups: Sequence[str] = ()) -> DataFrame:
-    """The k best products at or below every combination of several levels, one level after
-    the other. The result has at most k rows per combination."""
-    names = list(counts)
-    best = top_k(products, [*groups, *names], order, k).drop("rank")
-    for name, count in counts.items():
-        others = [*groups, *(n for n in names if n != name)]
-        best = _hand_up(best.where(F.col(name) >= 1), name, count, order, k, others, "rank").drop("rank")
-    return best
-
-
-def _hand_up(best: DataFrame, level: str, count: int, order: Sequence[Column], k: int, groups: list[str],
-             rank: str) -> DataFrame:
-    """The k best at or below every level, from the k best of each.
-
-    With many levels they go up in two steps, inside blocks of levels and from each block to
-    the later ones, so a product is copied about 2 x sqrt(levels) times and not `levels`.
-    """
-    if count <= _DIRECT_LEVELS:
-        handed = best.withColumn(level, F.explode(F.sequence(F.col(level), F.lit(count))))
-        return top_k(handed, [*groups, level], order, k, rank)
-
-    width = math.isqrt(count) + 1
-    blocks = (count - 1) // width + 1
-    block = F.floor((F.col(level) - 1) / width).cast("int")
-    end = F.least((block + 1) * width, F.lit(count))
-    inside = best.withColumn(level, F.explode(F.sequence(F.col(level), end)))
-    per_block = top_k(best.withColumn("_block", block), [*groups, "_block"], order, k, rank).drop(rank)
-    later = per_block.where(F.col("_block") < blocks - 1)
-    later = later.withColumn("_block", F.explode(F.sequence(F.col("_block") + 1, F.lit(blocks - 1))))
-    before = top_k(later, [*groups, "_block"], order, k, rank).drop(rank)
-    first = F.col("_block") * width + 1
-    reached = F.explode(F.sequence(first, F.least(first + (width - 1), F.lit(count))))
-    both = inside.unionByName(before.withColumn(level, reached).drop("_block"))
-    return top_k(both, [*groups, level], order, k, rank)
-
-
-def count_by_level(products: DataFrame, level: str, count: int, output: str = "matches") -> DataFrame:
-    """For every level number 1..`count` the number of products at or below it.
-
-    The running sum goes over one row per level, whose number is bounded."""
-    counts = products.where(F.col(level) >= 1).groupBy(level).agg(F.count("*").alias("_n"))
-    upto = Window.orderBy(level).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return counts.select(level, F.sum("_n").over(upto).alias(output))
+from ..session import pin
+from .ranking import top_k, total_before
+
+_SIZE_BITS = 64  # a block is numbered by its place among those of its size, times this, plus its size
+
+
+def level_value(column: Column) -> Column:
+    """What levels are compared by: a number; NaN counts as null."""
+    value = column.cast("double")
+    return F.when(~F.isnan(value), value)
+
+
+def _values(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Distinct (name, value) of several level columns."""
+    pairs = F.array(*[F.struct(F.lit(n).alias("name"), level_value(F.col(n)).alias("value")) for n in names])
+    return df.select(F.explode(pairs).alias("p")).select("p.*").where("value is not null").distinct()
+
+
+def level_numbers(products: DataFrame, reaches: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(name, value, number) of every value of the columns `names` on either side: how many distinct levels
+    of `products` lie at or below it. One sort serves all columns."""
+    known = _values(products, names).select("name", "value", F.lit(1).alias("_levels"), F.lit(0).alias("_side"))
+    asked = _values(products, names).union(_values(reaches, names)).distinct()
+    both = known.union(asked.select("name", "value", F.lit(0), F.lit(1)))
+    placed = total_before(both, [F.col("value"), F.col("_side")], "_levels", ["name"], "number")
+    return pin(placed.where("_side = 1").select("name", "value", F.col("number").cast("int").alias("number")))
+
+
+def with_numbers(df: DataFrame, numbers: DataFrame, names: Sequence[str]) -> DataFrame:
+    """`df` with its level columns replaced by their numbers (null: no level)."""
+    for name in names:
+        own = numbers.where(F.col("name") == name).select(F.col("value").alias("_value"), F.col("number").alias("_number"))
+        joined = df.withColumn("_value", level_value(F.col(name))).join(own, "_value", "left")
+        df = joined.withColumn(name, F.col("_number")).select(*df.columns)
+    return df
+
+
+def level_bits(numbers: DataFrame, names: Sequence[str]) -> dict[str, int]:
+    """Binary digits of the number of levels of each column."""
+    counts = {r["name"]: r["n"] for r in numbers.groupBy("name").agg(F.max("number").alias("n")).collect()}
+    return {name: int(counts.get(name, 0)).bit_length() for name in names}
+
+
+def blocks_with(number: str, bits: int) -> Column:
+    """Blocks that hold a level and that prefixes may consist of: those at even places of each size."""
+    return _blocks(f"`{number}` - 1", "0", "0", bits)
+
+
+def blocks_upto(number: str, bits: int) -> Column:
+    """Blocks that levels 1..number fall into: one for each binary one of the number."""
+    return _blocks(f"`{number}`", "1", "1", bits)
+
+
+def _blocks(value: str, wanted: str, back: str, bits: int) -> Column:
+    if not bits:
+        return F.array().cast("array<bigint>")
+    place = f"shiftright(cast({value} as bigint), j)"
+    return F.expr(f"transform(filter(sequence(0, {bits - 1}), j -> {place} % 2 = {wanted}), j -> ({place} - {back}) * {_SIZE_BITS} + j)")
+
+
+def best_upto(products: DataFrame, wanted: DataFrame, bits: Mapping[str, int], order: Sequence[Column], k: int,
+              groups: Sequence[str] = (), rank: str = "rank") -> DataFrame:
+    """For every combination of level numbers in `wanted`, the k best products of each group that lie at or below
+    it in all levels.
+
+    Products are cut to k per combination first, then level after level is replaced by the blocks that
+    hold it and cut to k again."""
+    names = list(bits)
+    best = top_k(products.where(" and ".join(f"`{n}` >= 1" for n in names)), [*groups, *names], order, k, rank).drop(rank)
+    for name in names:
+        best = top_k(best.withColumn(name, F.explode(blocks_with(name, bits[name]))), [*groups, *names], order, k, rank).drop(rank)
+    asked = wanted.select(*names).distinct()
+    for name in names:
+        asked = asked.withColumn(f"_{name}", F.explode(blocks_upto(name, bits[name])))
+    met = asked.join(best.withColumnsRenamed({n: f"_{n}" for n in names}), [f"_{n}" for n in names])
+    return top_k(met.drop(*[f"_{n}" for n in names]), [*groups, *names], order, k, rank)
+
+
+def sum_upto(products: DataFrame, reaches: DataFrame, level: str, amount: Column, output: str) -> DataFrame:
+    """(value, output): for every value of `level` in `reaches`, the sum of `amount` over the products at or below it."""
+    known = products.select(level_value(F.col(level)).alias("value"), amount.alias("_amount")).where("value is not null")
+    known = known.groupBy("value").agg(F.sum("_amount").alias("_amount"))
+    asked = _values(reaches, [level]).select("value", F.lit(0).cast(known.schema["_amount"].dataType))
+    both = known.select("value", "_amount", F.lit(0).alias("_side")).union(asked.select("*", F.lit(1)))
+    placed = total_before(both, [F.col("value"), F.col("_side")], "_amount", output=output)
+    return placed.where("_side = 1").select("value", output)

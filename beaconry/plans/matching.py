@@ -1,8 +1,8 @@
 """Products that fit a customer.
 
-Every rule says that some product attribute must not exceed the customer's. The attributes
-have few values, so the best products are worked out once per combination of them and met
-by an equi join; customer x product pairs are never built and nothing is left out.
+Every rule says that some product attribute must not exceed the customer's. The best products are worked out
+once per combination of limits that customers have and met by an equi join; customer x product pairs are
+never built and nothing is left out.
 """
 
 from __future__ import annotations
@@ -12,8 +12,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.dimensions import small_side
-from ..operators.levels import all_level_values, best_by_level, best_by_levels, level_values, with_level
+from ..operators.levels import best_upto, level_bits, level_numbers, level_value, with_numbers
 from ..operators.ranking import first_per_key, top_k
 from ..session import pin
 
@@ -71,6 +70,7 @@ def rule_lists(customers: DataFrame, products: DataFrame, whitelist: DataFrame,
     customers: cust_id and rule attributes. products: on sale. whitelist: cust_id, prod_id.
     """
     with_term = "avg_term" in customers.columns
+    names = _LEVELS if with_term else _LEVELS[:-1]   # a limit that is the same for all is no key to join by
     ruled = product_rule(products)
     # without a risk a product fits only customers whose risk is open, without a term nobody
     ruled = ruled.withColumns({
@@ -79,22 +79,20 @@ def rule_lists(customers: DataFrame, products: DataFrame, whitelist: DataFrame,
     }).where(F.col("term").isNotNull())
     order = [F.desc("benchmark"), F.col("prod_id")]
 
-    profiles, grid, counts = customer_profile(customers), ruled.where(F.col("rule") != "whitelist"), {}
-    numbered = []
-    for name, values in all_level_values(grid, _LEVELS).items():
-        counts[name] = len(values)
-        grid = with_level(grid, name, values, f"{name}_no")
-        profiles = with_level(profiles, name, values, f"{name}_no")
-        numbered.append(f"{name}_no")
-    grid = grid.select("rule", "prod_id", "benchmark", *numbered)
-    best = best_by_levels(grid, {f"{n}_no": c for n, c in counts.items()}, order, k, ["rule"])
+    profiles = pin(customer_profile(customers))   # narrow; read for its limits, its own lists and the result
+    limits = profiles.select(*names).distinct()
+    grid = ruled.where(F.col("rule") != "whitelist").select("rule", "prod_id", "benchmark", *names)
+    numbers = level_numbers(grid, limits, names)
+    numbered = with_numbers(limits.select(*names, *[F.col(n).alias(f"own_{n}") for n in names]), numbers, names)
+    best = best_upto(with_numbers(grid, numbers, names), numbered, level_bits(numbers, names), order, k, ["rule"])
 
     last = F.lit(float("inf"))  # products without benchmark come last, as they do in `order`
     entry = F.struct(F.coalesce(-F.col("benchmark"), last).alias("down"), F.col("prod_id"))
-    lists = best.groupBy(*numbered).agg(*[
+    lists = best.groupBy(*names).agg(*[
         F.collect_list(F.when(F.col("rule") == rule, entry)).alias(f"_{rule}") for rule in ("level", *_FLAGS)
     ])
-    shared = small_side(pin(lists))  # one row per combination of levels, k products per rule
+    shared = numbered.join(lists, names).drop(*names)   # one row per combination of limits, k products per rule
+    shared = shared.withColumnsRenamed({f"own_{n}": n for n in names})
 
     special = ruled.where(F.col("rule") == "whitelist").select(
         "prod_id", "benchmark", *[F.col(n).alias(f"_{n}") for n in ("private", "risk", "term")])
@@ -107,10 +105,10 @@ def rule_lists(customers: DataFrame, products: DataFrame, whitelist: DataFrame,
     open_lists = [F.coalesce("_level", nothing)]
     open_lists += [F.when(F.col(f"is_{rule}"), F.coalesce(f"_{rule}", nothing)).otherwise(nothing) for rule in _FLAGS]
     merged = F.slice(F.array_sort(F.concat(*open_lists, F.coalesce("_own", nothing))), 1, k)
-    names = F.transform(merged, lambda p: p["prod_id"])
+    ids = F.transform(merged, lambda p: p["prod_id"])
     return (
-        profiles.join(shared, numbered, "left").join(own, "cust_id", "left")
-        .select("cust_id", F.when(F.size(names) > 0, names).alias("prod_list"))
+        profiles.join(shared, names, "left").join(own, "cust_id", "left")
+        .select("cust_id", F.when(F.size(ids) > 0, ids).alias("prod_list"))
     )
 
 
@@ -122,11 +120,15 @@ def average_terms(subscriptions: DataFrame, products: DataFrame) -> DataFrame:
 
 def level_lists(customers: DataFrame, reach: str, products: DataFrame, level: str, order: Sequence[Column], k: int) -> DataFrame:
     """The k best products with `level` at or below the customer's `reach`; null list if none."""
-    levels = level_values(products, level)
-    best = best_by_level(with_level(products, level, levels, "_no"), "_no", len(levels), order, k, rank="_rank")
+    known = products.withColumn("_level", F.col(level))
+    limits = customers.select(level_value(F.col(reach)).alias("_level")).where("_level is not null").distinct()
+    numbers = level_numbers(known, limits, ["_level"])
+    numbered = with_numbers(limits.withColumn("_reach", F.col("_level")), numbers, ["_level"])
+    best = best_upto(with_numbers(known, numbers, ["_level"]), numbered, level_bits(numbers, ["_level"]), order, k, rank="_rank")
     pairs = F.sort_array(F.collect_list(F.struct("_rank", "prod_id")))
-    lists = best.groupBy("_no").agg(F.transform(pairs, lambda p: p["prod_id"]).alias("prod_list"))
-    return with_level(customers, reach, levels, "_no").join(small_side(pin(lists)), "_no", "left").select("cust_id", "prod_list")
+    lists = best.groupBy("_level").agg(F.transform(pairs, lambda p: p["prod_id"]).alias("prod_list"))
+    shared = numbered.join(lists, "_level").select("_reach", "prod_list")
+    return customers.withColumn("_reach", level_value(F.col(reach))).join(shared, "_reach", "left").select("cust_id", "prod_list")
 
 
 def fund_risk(age: Column, risk: Column) -> Column:

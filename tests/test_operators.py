@@ -83,26 +83,59 @@ def test_weighted_split(spark):
     assert sampling.random_split(users, [("a", 1.0), ("b", 1.0)], 1).count() == 10000
 
 
-@pytest.mark.parametrize("count", [1, 7, 16, 17, 90])
-def test_best_by_level_against_brute_force(spark, count):
+NAN = float("nan")
+
+
+@pytest.mark.parametrize("count", [0, 1, 7, 16, 17, 90])
+def test_best_upto_against_brute_force(spark, count):
     rnd = random.Random(count)
-    rows = [(f"p{i}", rnd.randint(0, count), rnd.choice("xy"), rnd.randint(0, 30)) for i in range(400)]
-    products = spark.createDataFrame(rows, "id string, lvl int, g string, v int")
-    got = levels.best_by_level(products, "lvl", count, [F.desc("v"), F.col("id")], 3, ["g"])
+    pick = lambda: rnd.choice([None, NAN, *[x / 2 for x in range(-1, count)]])
+    rows = [(f"p{i}", pick(), rnd.choice([None, NAN, 0.0, 1.0, 2.5]), rnd.choice("xy"), rnd.randint(0, 30)) for i in range(300)]
+    products = spark.createDataFrame(rows, "id string, a double, b double, g string, v int")
+    asked = [(rnd.choice([pick(), -9.0, 99.0, 0.3]), rnd.choice([None, NAN, -1.0, 0.0, 1.5, 3.0])) for _ in range(60)]
+    reaches = spark.createDataFrame(asked, "a double, b double")
+    numbers = levels.level_numbers(products, reaches, ["a", "b"])
+    wanted = levels.with_numbers(reaches.selectExpr("a", "b", "a as own_a", "b as own_b"), numbers, ["a", "b"]).distinct()
+    best = levels.best_upto(levels.with_numbers(products, numbers, ["a", "b"]), wanted, levels.level_bits(numbers, ["a", "b"]),
+                            [F.desc("v"), F.col("id")], 3, ["g"])
     found = {}
-    for r in got.collect():
-        found.setdefault((r["g"], r["lvl"]), []).append((r["rank"], r["id"]))
-    for g in "xy":
-        for level in range(1, count + 1):
-            fitting = sorted((-v, i) for i, own, kind, v in rows if kind == g and 1 <= own <= level)[:3]
-            assert [i for _, i in sorted(found.get((g, level), []))] == [i for _, i in fitting]
-
-
-def test_with_level(spark):
-    rows = spark.createDataFrame([(0.5,), (1.0,), (2.9,), (99.0,), (None,)], "v double")
-    got = [r["no"] for r in levels.with_level(rows, "v", [1.0, 2.0, 3.0], "no").collect()]
-    assert got == [0, 1, 2, 3, None]
-    assert [r["no"] for r in levels.with_level(rows, "v", [], "no").collect()] == [0, 0, 0, 0, None]
+    for r in wanted.join(best, ["a", "b"]).collect():
+        found.setdefault((repr(r.own_a), repr(r.own_b), r.g), []).append((r["rank"], r["id"]))
+    below = lambda x, y: x is not None and y is not None and x <= y  # noqa: E731  false for NaN too
+    expected = {}
+    for a, b in asked:
+        for g in "xy":
+            fitting = sorted((-v, i) for i, own_a, own_b, kind, v in rows if kind == g and below(own_a, a) and below(own_b, b))[:3]
+            if fitting:
+                expected[repr(a), repr(b), g] = [i for _, i in fitting]
+    assert {key: [i for _, i in sorted(set(rows))] for key, rows in found.items()} == expected
+
+
+def test_blocks_of_levels(spark):
+    """Every prefix falls into blocks that hold each of its levels once and no other."""
+    rows = spark.range(1, 71).select(F.col("id").alias("n"), levels.blocks_with("id", 7).alias("held"), levels.blocks_upto("id", 7).alias("upto")).collect()
+    for r in rows:
+        assert len(r.upto) <= 7
+        for other in rows:
+            assert len(set(r.upto) & set(other.held)) == (other.n <= r.n)
+
+
+def test_sum_upto(spark):
+    products = spark.createDataFrame([(1.0, 5), (2.0, 7), (2.0, 1), (NAN, 9), (None, 9)], "level double, n int")
+    reaches = spark.createDataFrame([(0.5,), (1.0,), (2.9,), (NAN,), (None,)], "level double")
+    got = levels.sum_upto(products, reaches, "level", F.col("n"), "total").collect()
+    assert sorted(map(tuple, got)) == [(0.5, 0), (1.0, 5), (2.9, 13)]
+
+
+def test_level_values_stay_in_tables(spark):
+    """More levels than would be reasonable on the driver; the plan has no literal list of them."""
+    products = spark.range(200_000).selectExpr("cast(id as double) as level", "id as prod_id", "id % 977 as v")
+    reaches = spark.createDataFrame([(100.5,), (199_999.0,)], "level double")
+    numbers = levels.level_numbers(products, reaches, ["level"])
+    assert levels.level_bits(numbers, ["level"]) == {"level": 18}
+    wanted = levels.with_numbers(reaches, numbers, ["level"])
+    best = levels.best_upto(levels.with_numbers(products, numbers, ["level"]), wanted, {"level": 18}, [F.desc("v"), F.col("prod_id")], 2)
+    assert sorted((r.level, r.prod_id) for r in best.collect()) == [(101, 99), (101, 100), (200_000, 976), (200_000, 1953)]
 
 
 def test_semi_and_anti_keep_left_rows_once(spark):

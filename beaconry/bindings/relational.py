@@ -688,7 +688,7 @@ SELECT c_custkey, c_mktsegment, rank FROM r JOIN k ON c_mktsegment = seg WHERE r
 def window_top_k_by_limit(t: Tables) -> DataFrame:
     limits = S.lookup(F.col("c_mktsegment"), {"BUILDING": 50, "MACHINERY": 20, "FURNITURE": 100000})
     rows = t.customer.select("c_custkey", "c_mktsegment", "c_acctbal", limits.alias("k"))
-    best = R.top_k_by_limit(rows, ["c_mktsegment"], [F.desc("c_acctbal"), F.col("c_custkey")], "k")
+    best = R.top_k_by_limit(rows, ["c_mktsegment"], ["-c_acctbal", "c_custkey"], "k")
     return best.select("c_custkey", "c_mktsegment", "rank")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import pin
+from .cutoff import order_column, within_limit
 
 _POSITION_BITS = 33  # monotonically_increasing_id: task number above, row number below
 _IN_TASK_LIMIT = 1_000
@@ -112,10 +113,14 @@ def first_per_key(df: DataFrame, keys: Sequence[str] | str, order: Sequence[Colu
     return top_k(df, keys, order, 1, rank="_rank").drop("_rank")
 
 
-def top_k_by_limit(df: DataFrame, groups: Sequence[str], order: Sequence[Column], limit: str,
+def top_k_by_limit(df: DataFrame, groups: Sequence[str], by: Sequence[str], limit: str,
                    rank: str = "rank") -> DataFrame:
-    """First rows per group where the number comes from a column; a null limit keeps none."""
-    return ranked(df.where(F.col(limit).isNotNull()), order, groups, rank).where(F.col(rank) <= F.col(limit))
+    """First rows per group where the number comes from a column; a null limit keeps none.
+
+    `by`: names, `-` for falling; together unique. A cut-off from histograms goes before the
+    sort, so that only about as many rows are sorted as are kept."""
+    near = within_limit(df, groups, by, limit)
+    return ranked(near, [order_column(n) for n in by], groups, rank).where(F.col(rank) <= F.col(limit))
 
 
 def first_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:

@@ -33,7 +33,7 @@ def message_feedback(package: DataFrame, deliveries: DataFrame, receipts: DataFr
 def unpushed_groups(pool: DataFrame, limits: Mapping[str, int], item_id: str, channel_id: str, banner_id: str) -> DataFrame:
     """The users the groups without push would have had: best by score up to the limit."""
     limited = pool.withColumn("_limit", lookup(F.col("user_type"), limits)).where(F.col("_limit").isNotNull())
-    best = top_k_by_limit(limited, ["user_type"], [F.desc("score"), F.col("user_id")], "_limit")
+    best = top_k_by_limit(limited, ["user_type"], ["-score", "user_id"], "_limit")
     return best.select(
         "user_id", "user_type", F.lit(item_id).alias("item_id"), F.lit(channel_id).alias("channel_id"),
         F.lit(banner_id).alias("banner_id"), F.lit(0).alias("send"), F.lit(None).cast("int").alias("click"),

@@ -14,7 +14,7 @@ from ..functions.scalars import case_of
 from ..operators.aggregates import days_with_any
 from ..operators.dimensions import rows_to_frame, with_each
 from ..operators.filters import blank_keys
-from ..operators.ranking import ranked
+from ..operators.ranking import ranked, top_k_by_limit
 from ..session import pin
 from .calendar import DAILY_PUSHES, blocked_from, push_plan
 
@@ -65,13 +65,11 @@ def candidate_state(pool: DataFrame, channels: Sequence[ChannelState], pushes: D
     """The best users of every group and slot up to its limit, with pushes tried and arrived.
 
     pool: user_id, user_type, score. pushes: user, slot, rank, dt. sends: user, slot, send, dt.
-    Users are ranked and cut to the limit before the history is joined.
+    Users are cut by score before they are ranked, and to the limit before the history is joined.
     """
     wide = with_each(pool.select("user_id", "user_type", "score").distinct(), [c.row() for c in channels])
     wide = wide.withColumn("max_user", F.try_element_at("_limits", F.col("user_type"))).drop("_limits")
-    limited = wide.where(F.col("max_user").isNotNull())
-    best = ranked(limited, [F.desc("score"), F.col("user_id")], GROUP_SLOT)
-    best = best.where(F.col("rank") <= F.col("max_user"))
+    best = top_k_by_limit(wide, GROUP_SLOT, ["-score", "user_id"], "max_user")
 
     in_period = F.col("dt").between(start, end)
     tried = blank_keys(pushes.where(in_period & (F.col("rank") == delivered_rank)), "banner_id")

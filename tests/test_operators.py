@@ -4,11 +4,14 @@ import pytest
 from pyspark.sql import Row, Window
 from pyspark.sql import functions as F
 
-from beaconry.operators import aggregates, filters, levels, ranking, sampling
+from beaconry.operators import aggregates, cutoff, filters, levels, ranking, sampling
 from beaconry.operators.dimensions import small_rows, with_each
 from beaconry.operators.rerank import ChannelItems, Item, rerank
 
 
+NAN = float("nan")
+
+
 @pytest.fixture(scope="module")
 def skewed(spark):
     """30,000 rows; one group has two thirds of them and a third of those share a score."""
@@ -62,6 +65,42 @@ def test_first_n_both_ways(skewed, monkeypatch):
     assert {r["id"] for r in ranking.first_n(skewed, order, 500).collect()} == small
 
 
+SHAPES = {
+    "even": lambda r: r.random(), "one score": lambda r: 0.5, "few scores": lambda r: r.choice([0.0, -0.0, 0.25, 0.5, None, NAN]),
+    "wide": lambda r: r.choice([-1, 1]) * 10.0 ** r.randint(-300, 300), "tiny steps": lambda r: 1.0 + r.randint(0, 9000) * 2.0 ** -50,
+    "ends": lambda r: r.choice([float("inf"), float("-inf"), NAN, None, 1e308, -1e308, 5e-324, r.random()])}
+
+
+@pytest.mark.parametrize("shape", sorted(SHAPES))
+def test_cut_off_before_the_sort(spark, shape):
+    """All rows within the limit, and at most as many more."""
+    rnd = random.Random(shape)
+    limits = {"a": 40, "b": 300, "none": None, "zero": 0, "more": 10_000, None: 25}
+    groups = ["a"] * 6 + list(limits)
+    rows = [(i * 2**33 - 2**40, g, SHAPES[shape](rnd), limits[g]) for i in range(6000) for g in [rnd.choice(groups)]]
+    df = spark.createDataFrame(rows, "id bigint, g string, score double, k int")
+    for by in (["-score", "id"], ["score", "-id"]):
+        order = [cutoff.order_column(n) for n in by]
+        expected = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy(*order))).where("r <= k")
+        got = ranking.top_k_by_limit(df, ["g"], by, "k", "r")
+        assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+        near = {r["g"]: r["count"] for r in cutoff.within_limit(df, ["g"], by, "k").groupBy("g").count().collect()}
+        assert set(near) <= {"a", "b", "more", None} and all(n <= 2 * limits[g] for g, n in near.items())
+
+
+def test_cut_off_by_other_types(spark):
+    rnd = random.Random(8)
+    rows = [(rnd.choice([None, True, False]), rnd.choice([None, "", "a", "ab", "é", "same long text, that goes on", "same long text, that goes off"]), i) for i in range(900)]
+    df = spark.createDataFrame(rows, "flag boolean, name string, id int").withColumns({
+        "day": F.expr("date_add(date'2024-01-01', cast(id % 40 - 20 as int))"), "at": F.expr("timestamp_seconds(id % 77 * 1000000 - 9000000)"),
+        "price": F.expr("cast(id % 91 as decimal(20,4)) / 7"), "g": F.lit("x"), "k": F.lit(60)})
+    for by in (["flag", "-name", "id"], ["-name", "-flag", "id"], ["-day", "at", "id"], ["at", "-id"], ["-price", "id"], ["-id"]):
+        order = [cutoff.order_column(n) for n in by]
+        expected = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy(*order))).where("r <= k")
+        got = ranking.top_k_by_limit(df, ["g"], by, "k", "r")
+        assert sorted(r.id for r in got.collect()) == sorted(r.id for r in expected.collect()), by
+
+
 def test_top_k_is_cut_before_the_shuffle(skewed):
     plan = ranking.top_k(skewed, "g", [F.col("id")], 3)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
@@ -83,9 +122,6 @@ def test_weighted_split(spark):
     assert sampling.random_split(users, [("a", 1.0), ("b", 1.0)], 1).count() == 10000
 
 
-NAN = float("nan")
-
-
 @pytest.mark.parametrize("count", [0, 1, 7, 16, 17, 90])
 def test_best_upto_against_brute_force(spark, count):
     rnd = random.Random(count)

@@ -26,9 +26,9 @@ from ..operators import levels as L
 from ..operators import ranking as R
 from ..operators import sampling
 from ..operators.dimensions import small_rows, small_side, with_each
-from ..session import pin
-from ..sources.partitions import scan_range, snapshot
-from ..sources.tables import load_features
+from ..session import scratch_path
+from ..sources.partitions import scan_range, snapshot, snapshot_of_path, write_by_value, write_partition
+from ..sources.tables import load_feature_snapshots, load_features
 from .registry import Tables, decimals_as_doubles, registrar
 
 QUERIES: dict = {}
@@ -53,8 +53,10 @@ WITH p AS (SELECT *, strftime(o_orderdate, '%Y%m') AS dt FROM orders),
 SELECT o_orderkey, o_custkey, o_totalprice, p.dt FROM p JOIN used ON p.dt = used.dt
 """)
 def scan_snapshot_fallback(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark, "monthly")
     dated = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", month_of("o_orderdate").alias("dt"))
-    return snapshot(dated, "dt", "203001")[0]
+    write_by_value(dated.repartition("dt"), path, ["dt"])
+    return snapshot_of_path(t.spark, path, "dt", "203001")[0]
 
 
 @query("""
@@ -105,6 +107,23 @@ def scan_wide_features(t: Tables) -> DataFrame:
                          ["c_acctbal", "n_orders", "c_mktsegment", "last_order", "spent", "n_events", "unknown"])
 
 
+@query(f"""
+WITH e AS (SELECT user_id, COUNT(*) AS n_events FROM events GROUP BY 1)
+SELECT c_custkey AS user_id, c_acctbal * 2 AS balance, c_mktsegment AS segment, n_events FROM customer LEFT JOIN e ON c_custkey = user_id
+""")
+def scan_wide_snapshots(t: Tables) -> DataFrame:
+    """Two stored feature tables that fall back to different days: one has the day asked for, the other only earlier ones."""
+    profiles, activity = scratch_path(t.spark, "profiles"), scratch_path(t.spark, "activity")
+    for day, factor in (("20240101", 1), ("20240103", 2)):
+        rows = t.customer.select(F.col("c_custkey").alias("cust_id"), (F.col("c_acctbal") * factor).alias("balance"), F.col("c_mktsegment").alias("segment"))
+        write_partition(rows, profiles, ["cust_id", "balance", "segment"], dt=day)
+    for day, last in (("20240101", 0), ("20240102", 1)):
+        rows = t.events.groupBy(F.col("user_id").alias("cust_id")).agg((F.count("*") * last).alias("n_events"), F.lit("x").alias("segment"))
+        write_partition(rows, activity, ["cust_id", "n_events", "segment"], dt=day)
+    users = t.customer.select(F.col("c_custkey").alias("user_id"))
+    return load_feature_snapshots(users, [profiles, activity], ["balance", "segment", "n_events"], "20240103")[0]
+
+
 # --- projections, filters, predicates -----------------------------------------------------
 
 
@@ -926,6 +945,22 @@ def fn_sql_registered(t: Tables) -> DataFrame:
     return t.documents.selectExpr("doc_id", "CAST(length(clean_ad(text)) AS BIGINT) AS kept")
 
 
+@query("""
+WITH p AS (SELECT p_partkey, CASE WHEN p_size % 4 > 0 THEN p_brand END AS brand, p_size, CASE WHEN p_size % 3 = 0 THEN NULL ELSE 'say "' || p_type || '"' END AS kind FROM part)
+SELECT p_partkey, '{"brand":' || COALESCE('"' || brand || '"', 'null') || ',"kind":' || COALESCE('"say \\"' || substr(kind, 6, length(kind) - 6) || '\\""', 'null') || ',"size":' || p_size || '}' AS body,
+  round(CASE WHEN p_size % 5 = 0 THEN 0.0 ELSE (p_size * 1.0 + 2.0) / (sqrt(p_size * p_size + 4.0) * sqrt(2.0)) END, 9) AS sim FROM p
+""")
+def fn_sql_json_and_similarity(t: Tables) -> DataFrame:
+    """Both functions called by name from SQL text."""
+    S.register_sql_functions(t.spark)
+    t.part.selectExpr("p_partkey", "p_size", "CASE WHEN p_size % 4 > 0 THEN p_brand END AS brand",
+                      """CASE WHEN p_size % 3 = 0 THEN NULL ELSE concat('say "', p_type, '"') END AS kind""").createOrReplaceTempView("beaconry_parts")
+    return t.spark.sql("""
+        SELECT p_partkey, build_json(array('brand', 'kind', 'size'), array(to_json_text(brand), to_json_text(kind), CAST(p_size AS STRING))) AS body,
+               round(vector_sim(CASE WHEN p_size % 5 = 0 THEN array(0D, 0D) ELSE array(CAST(p_size AS DOUBLE), 2D) END, array(1D, 1D)), 9) AS sim
+        FROM beaconry_parts""")
+
+
 @query("""
 WITH c AS (SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN '第一银行' || c_name WHEN c_mktsegment = 'MACHINERY' THEN c_name || '(分行级)' ELSE c_name END AS b FROM customer)
 SELECT c_custkey, CASE WHEN starts_with(b, '第一银行') THEN substr(b, 5) WHEN contains(b, '(分行级)') THEN split_part(b, '(分行级)', 1) ELSE b END AS branch FROM c

@@ -44,11 +44,11 @@ UNION ALL SELECT o_orderkey, o_custkey, '20240102', 'credit' FROM orders WHERE o
 """)
 def static_partition_write(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "static")
-    fields = ["o_orderkey", "o_custkey"]
+    spec = tables.TableSpec.parse("packages", "o_orderkey bigint, o_custkey bigint", "dt", "dag_id")
 
     def put(priority: str, dt: str, overwrite: bool = True) -> None:
-        rows = t.orders.where(F.col("o_orderpriority") == priority)
-        partitions.write_partition(rows, path, fields, overwrite, dt=dt, dag_id="credit")
+        rows = t.orders.where(F.col("o_orderpriority") == priority).withColumn("o_custkey", F.col("o_custkey").cast("string"))
+        partitions.write_declared(rows, path, spec, overwrite, dt=dt, dag_id="credit")
 
     put("5-LOW", "20240101")
     put("2-HIGH", "20240102")

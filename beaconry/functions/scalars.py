@@ -120,3 +120,12 @@ def register_sql_functions(spark: SparkSession) -> None:
         "coalesce(try_divide(aggregate(zip_with(a, b, (x, y) -> x * y), 0D, (s, x) -> s + x), "
         "sqrt(aggregate(a, 0D, (s, x) -> s + x * x)) * sqrt(aggregate(b, 0D, (s, x) -> s + x * x))), 0D)"
     )
+    # A value as JSON text, null as null; and an object from names and such values, in their order.
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION to_json_text(t STRING) RETURNS STRING RETURN "
+        "coalesce(regexp_extract(to_json(array(t)), '(?s)^.(.*).$', 1), 'null')"
+    )
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION build_json(names ARRAY<STRING>, texts ARRAY<STRING>) RETURNS STRING RETURN "
+        "concat('{', array_join(zip_with(names, texts, (n, t) -> concat(coalesce(regexp_extract(to_json(array(n)), '(?s)^.(.*).$', 1), 'null'), ':', coalesce(t, 'null'))), ','), '}')"
+    )

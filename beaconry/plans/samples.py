@@ -26,16 +26,15 @@ def monthly_samples(base: DataFrame, target: DataFrame, mobile: DataFrame, month
 
     base, target: user_id, prod_id, apply_dt, hold ('1' or '0').
     """
-    rows = [{"month": m, "_first": f"{m}01"} for m in months]
-    held = with_each(base, rows).where(F.col("apply_dt") < F.col("_first"))
-    held = held.groupBy("user_id", "month").agg(F.min("apply_dt").alias("_since"), F.max("hold").alias("_hold"))
-    held = semi(held.where(F.col("_hold") == "1"), mobile, "user_id")
+    # What a month asks of a user are days that only get passed: one row per user, then the months.
+    first_held = F.min(F.when(F.col("hold") == "1", F.col("apply_dt")))
+    held = semi(base.groupBy("user_id").agg(F.min("apply_dt").alias("_since"), first_held.alias("_held")).where("_held is not null"), mobile, "user_id")
+    held = held.join(target.groupBy("user_id").agg(first_held.alias("_had")), "user_id", "left")
+    every = with_each(held, [{"month": m, "_first": f"{m}01"} for m in months])
+    fresh = every.where((F.col("_held") < F.col("_first")) & (F.col("_had").isNull() | (F.col("_had") >= F.col("_first"))))
 
     wanted = target.withColumn("month", F.substring("apply_dt", 1, 6)).where(F.col("month").isin(list(months)))
-    had = with_each(target.where(F.col("hold") == "1"), rows).where(F.col("apply_dt") < F.col("_first"))
     keys = ["user_id", "month"]
-    fresh = held.join(had.select(*keys).distinct(), keys, "left_anti")
-
     joined = fresh.join(wanted.select(*keys, "apply_dt").distinct(), keys, "left")
     positive = joined.where(F.col("apply_dt").isNotNull())
     negative = joined.where(

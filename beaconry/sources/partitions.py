@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from typing import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .tables import SchemaDrift, TableSpec
 
 
 def resolve_partition(partitions: DataFrame, column: str, wanted: str, not_after: bool = False) -> str | None:
@@ -28,6 +32,51 @@ def snapshot(df: DataFrame, column: str, wanted: str | None, not_after: bool = F
     return df.where(F.col(column) == used), used
 
 
+def newest(values: Sequence[str], wanted: str, not_after: bool = False) -> str:
+    """The partition to read for `wanted` among `values`; `wanted` itself if there are none."""
+    known = [v for v in values if not not_after or v <= wanted]
+    return wanted if wanted in known or not known else max(known)
+
+
+def partition_folders(spark: SparkSession, path: str, column: str) -> dict[str, list[str]]:
+    """Folders by value of a partition column, from the listing of folder names alone: no file is
+    opened. Columns above it are walked through."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    level = [jvm.org.apache.hadoop.fs.Path(path)]
+    system = level[0].getFileSystem(conf)
+    found: dict[str, list[str]] = {}
+    while level and not found:
+        folders = [status.getPath() for place in level if system.exists(place) for status in system.listStatus(place) if status.isDirectory()]
+        level = [folder for folder in folders if "=" in folder.getName()]
+        for folder in level:
+            name, _, value = folder.getName().partition("=")
+            if unquote(name) == column and value != "__HIVE_DEFAULT_PARTITION__":
+                found.setdefault(unquote(value), []).append(folder.toString())
+    return found
+
+
+def snapshot_of_path(spark: SparkSession, path: str, column: str, wanted: str | None, not_after: bool = False) -> tuple[DataFrame, str | None]:
+    """Rows of one partition of a stored table, found by its folder, and the partition used.
+
+    Without a date, or where the table has no such partitions, the whole table; the date is kept."""
+    folders = partition_folders(spark, path, column) if wanted else {}
+    if not wanted or not folders:
+        return spark.read.parquet(path), wanted or None
+    used = newest(list(folders), wanted, not_after)
+    if used not in folders:   # only later ones, and those are not wanted
+        return spark.read.parquet(path).limit(0).withColumn(column, F.lit(used)), used
+    return spark.read.option("basePath", path).parquet(*folders[used]).withColumn(column, F.lit(used)), used
+
+
+def snapshot_of_table(spark: SparkSession, table: str, column: str, wanted: str | None, not_after: bool = False) -> tuple[DataFrame, str | None]:
+    """The same for a catalog table, from the catalog's list of partitions."""
+    if not wanted or column not in [c.name for c in spark.catalog.listColumns(table) if c.isPartition]:
+        return spark.table(table), wanted or None
+    keys = list_partitions(spark, table).select(F.explode(partition_keys(F.col("partition"))).alias("key")).where(F.col("key.name") == column)
+    used = newest([r["value"] for r in keys.select("key.value").distinct().collect()], wanted, not_after)
+    return spark.table(table).where(F.col(column) == used), used
+
+
 def scan_range(df: DataFrame, column: str, start: str | None = None, end: str | None = None,
                values: Sequence[str] | None = None, prefix: str | None = None) -> DataFrame:
     """Partitions between two bounds (both inclusive), in a list, or with a prefix."""
@@ -58,6 +107,33 @@ def write_partition(df: DataFrame, path: str, fields: Sequence[str], overwrite:
     return counted
 
 
+class PartitionMismatch(ValueError):
+    """A write that does not name the partition keys as they are declared."""
+
+
+def write_declared(df: DataFrame, path: str, spec: TableSpec, overwrite: bool = True, **partition: str) -> Observation:
+    """Write one partition of a declared table. Keys, columns and types are checked before any file is touched.
+
+    All partition keys must be named, no other, with text values; every declared column must be there and,
+    where its type differs, be one that an ordinary cast turns into the declared one."""
+    if list(partition) != list(spec.partitions):
+        raise PartitionMismatch(f"{spec.name} has the keys ({', '.join(spec.partitions)}), not ({', '.join(partition)})")
+    odd = [k for k, v in partition.items() if not isinstance(v, str) or not v]
+    if odd:
+        raise PartitionMismatch(f"{spec.name}: {', '.join(odd)} must be text")
+    have = {f.name: f.dataType for f in df.schema}
+    missing = [f.name for f in spec.columns if f.name not in have]
+    if missing:
+        raise SchemaDrift(f"{spec.name}: missing {', '.join(missing)}")
+    nested = (T.ArrayType, T.MapType, T.StructType)
+    wrong = [f"{f.name} is {have[f.name].simpleString()}, not {f.dataType.simpleString()}" for f in spec.columns
+             if have[f.name] != f.dataType and (isinstance(f.dataType, nested) or isinstance(have[f.name], nested))]
+    if wrong:
+        raise SchemaDrift(f"{spec.name}: {'; '.join(wrong)}")
+    rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.columns])
+    return write_partition(rows, path, [f.name for f in spec.columns], overwrite, **partition)
+
+
 def write_by_value(df: DataFrame, path: str, keys: Sequence[str], overwrite: bool = True) -> None:
     """Write with the partition taken from the data; only partitions met are replaced."""
     _write(df, path, keys, overwrite)

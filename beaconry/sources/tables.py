@@ -89,12 +89,27 @@ def load_features(users: DataFrame, tables: Sequence[DataFrame], wanted: Sequenc
     return users
 
 
+def load_feature_snapshots(users: DataFrame, paths: Sequence[str], wanted: Sequence[str], day: str, column: str = "dt",
+                           not_after: bool = False, user_key: str = "user_id", table_key: str = "cust_id") -> tuple[DataFrame, dict[str, str]]:
+    """`load_features` from stored tables, each read at `day` or, where it has no such partition, at the newest it has.
+
+    Also returns the partition used of each path. Folders are listed; of the files only the chosen are opened."""
+    from .partitions import snapshot_of_path
+
+    found = {path: snapshot_of_path(users.sparkSession, path, column, day, not_after) for path in paths}
+    tables = [df.drop(column) for df, _ in found.values()]
+    return load_features(users, tables, wanted, user_key, table_key), {path: used for path, (_, used) in found.items()}
+
+
 def append_version(df: DataFrame, path: str, version: str) -> None:
     """Add rows to a log under a version; nothing is overwritten."""
     df.withColumn("version", F.lit(version)).write.mode("append").parquet(path)
 
 
 def latest_versions(log: DataFrame, keys: Sequence[str] | str, version: Sequence[str] | str) -> DataFrame:
-    """Newest row per key of an append-only log."""
+    """Newest row per key of an append-only log; of rows equal in key and version the one that comes first by
+    its other columns, so a retry finds the same."""
     names = [version] if isinstance(version, str) else list(version)
-    return first_per_key(log, keys, [F.desc(v) for v in names])
+    known = {*names, *([keys] if isinstance(keys, str) else keys)}
+    rest = [F.to_json(F.struct(F.col(f.name))) if isinstance(f.dataType, T.MapType) else F.col(f.name) for f in log.schema if f.name not in known]
+    return first_per_key(log, keys, [*[F.desc(v) for v in names], *rest])

@@ -121,3 +121,68 @@ def test_partition_names_in_any_order_and_with_any_value(spark):
     assert partitions.retire(spark, "parts_probe", F.lit("2024-06-01").cast("date"), 30) == ["20240101"]
     assert [r.x for r in spark.table("parts_probe").collect()] == [3]
     spark.sql("DROP TABLE parts_probe")
+
+
+def test_partitions_from_the_listing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(["20240101", "20240105", "20240105", "a/b c"])], "id int, dt string")
+    partitions.write_by_value(df, path, ["dt"])
+    assert sorted(partitions.partition_folders(spark, path, "dt")) == ["20240101", "20240105", "a/b c"]
+    rows, used = partitions.snapshot_of_path(spark, path, "dt", "20240103", not_after=True)
+    assert used == "20240101" and [tuple(r) for r in rows.collect()] == [(0, "20240101")]
+    rows, used = partitions.snapshot_of_path(spark, path, "dt", "20240105")
+    assert used == "20240105" and sorted(r.id for r in rows.collect()) == [1, 2]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and all("dt=20240105" in f for f in rows.inputFiles())
+    assert partitions.snapshot_of_path(spark, path, "dt", "a/b c")[0].collect()[0].id == 3
+    assert partitions.snapshot_of_path(spark, path, "dt", None)[0].count() == 4
+    rows, used = partitions.snapshot_of_path(spark, path, "dt", "20230101", not_after=True)
+    assert used == "20230101" and rows.count() == 0
+    flat = str(tmp_path / "flat")
+    df.write.parquet(flat)
+    rows, used = partitions.snapshot_of_path(spark, flat, "day", "20240101")
+    assert used == "20240101" and rows.count() == 4
+
+
+def test_partitions_below_other_keys(spark, tmp_path):
+    path = str(tmp_path / "n")
+    partitions.write_by_value(spark.createDataFrame([(1, "x", "1"), (2, "y", "1"), (3, "x", "2")], "id int, tag string, dt string"), path, ["tag", "dt"])
+    rows, used = partitions.snapshot_of_path(spark, path, "dt", "1")
+    assert used == "1" and sorted((r.id, r.tag) for r in rows.collect()) == [(1, "x"), (2, "y")]
+
+
+def test_snapshot_of_a_catalog_table(spark, tmp_path):
+    spec = tables.TableSpec.parse("beaconry_snapshots", "id int", "dt")
+    tables.create_table(spark, spec, str(tmp_path / "c"))
+    try:
+        for day in ("20240101", "20240104"):
+            tables.insert_rows(spark, spec, [(int(day[-1]),)], dt=day)
+        assert partitions.snapshot_of_table(spark, spec.name, "dt", "20240102")[1] == "20240104"
+        rows, used = partitions.snapshot_of_table(spark, spec.name, "dt", "20240102", not_after=True)
+        assert used == "20240101" and [r.id for r in rows.collect()] == [1]
+        assert partitions.snapshot_of_table(spark, spec.name, "day", "20240102")[0].count() == 2
+    finally:
+        spark.sql(f"DROP TABLE {spec.name}")
+
+
+def test_declared_write_checks_before_it_writes(spark, tmp_path):
+    path = str(tmp_path / "d")
+    spec = tables.TableSpec.parse("t", "id bigint, tags array<string>", "dt", "tag")
+    df = spark.createDataFrame([(1, ["a"], "x")], "id int, tags array<string>, more string")
+    for wrong in ({"dt": "1"}, {"tag": "1", "dt": "1"}, {"dt": "1", "tag": "2", "more": "3"}, {}, {"dt": "1", "tag": ""}, {"dt": 1, "tag": "2"}):
+        with pytest.raises(partitions.PartitionMismatch):
+            partitions.write_declared(df, path, spec, **wrong)
+    for rows in (df.drop("tags"), df.withColumn("tags", F.lit("a"))):
+        with pytest.raises(tables.SchemaDrift):
+            partitions.write_declared(rows, path, spec, dt="1", tag="2")
+    assert not (tmp_path / "d").exists()
+    assert partitions.write_declared(df, path, spec, dt="1", tag="2").get["rows"] == 1
+    back = spark.read.schema(spec.schema).parquet(path)
+    assert back.dtypes[0] == ("id", "bigint") and [tuple(r) for r in back.collect()] == [(1, ["a"], "1", "2")]
+
+
+def test_equal_versions_have_a_stable_survivor(spark):
+    rows = [(1, "v", "b"), (1, "v", "a"), (2, "v", None), (2, "v", "z")]
+    for order in (rows, rows[::-1]):
+        log = spark.createDataFrame(order, "k int, version string, x string").repartition(3)
+        assert sorted((r.k, r.x) for r in tables.latest_versions(log, "k", "version").collect()) == [(1, "a"), (2, None)]

@@ -327,13 +327,17 @@ def slot_users(t: Tables) -> DataFrame:
     return users.withColumn("_slot", F.explode(slots)).select("user_id", "user_type", "probability", "_slot.*")
 
 
-SQL_SCORES = f"""
-{SQL_STANDINS},
+SQL_PROBABILITIES = f"""
 brand AS (SELECT 'Brand#' || i AS item, i - 1 AS label, i <> 3 AS enabled FROM (SELECT unnest(range(1, 26)) AS i)),
 line AS (SELECT o_custkey AS user_id, p_brand AS item, {CENTS.format('l_extendedprice')} AS amount FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
 tot AS (SELECT user_id, CAST(SUM(amount) AS DOUBLE) AS total FROM line GROUP BY 1),
 amt AS (SELECT user_id, item, CAST(SUM(amount) AS DOUBLE) AS amount FROM line GROUP BY 1, 2),
-prob AS (SELECT tot.user_id, brand.item, label, COALESCE(amount, 0.0) / total AS p FROM tot CROSS JOIN brand LEFT JOIN amt ON amt.user_id = tot.user_id AND amt.item = brand.item),
+prob AS (SELECT tot.user_id, brand.item, label, COALESCE(amount, 0.0) / total AS p FROM tot CROSS JOIN brand LEFT JOIN amt ON amt.user_id = tot.user_id AND amt.item = brand.item)
+"""
+
+SQL_SCORES = f"""
+{SQL_STANDINS},
+{SQL_PROBABILITIES},
 slot AS (SELECT * FROM (VALUES ('APP', 'popup'), ('APP', 'feed'), ('SMS', '')) AS v(channel_id, banner_id)),
 usr AS (SELECT pool.user_id, user_type, channel_id, banner_id FROM pool JOIN tot ON pool.user_id = tot.user_id CROSS JOIN slot),
 cand AS (SELECT usr.*, item, p, label FROM usr JOIN prob ON usr.user_id = prob.user_id
@@ -372,10 +376,34 @@ LEFT JOIN old ON b.user_id = old.user_id AND b.item = old.item AND b.channel_id
 WHERE pos < CASE b.banner_id WHEN 'popup' THEN 2 WHEN 'feed' THEN 3 ELSE 1 END AND (b.banner_id = 'feed' OR old.item IS NULL)
 """)
 def crowd_package(t: Tables) -> DataFrame:
-    items = rerank(slot_users(t), brand_items(), SLOT_ITEMS)
+    items = rerank(slot_users(t), brand_items(), SLOT_ITEMS, most={(s.channel_id, s.banner_id): s.num_items for s in _SLOTS})
     return package.crowd_package(items, pushes(t), _SLOTS, START, LAST, {"scene_id": "scene1", "batch_id": BATCH})
 
 
+@query(f"""
+WITH {SQL_PUSH}, {SQL_PROBABILITIES},
+rdy AS (SELECT CAST(user_id AS VARCHAR) AS user_id, user_type, channel_id, banner_id FROM sel WHERE tag = 'ready'
+   UNION ALL SELECT u, 'exp', c, b FROM (VALUES ('T1'), ('7')) AS x(u), (VALUES ('APP', 'popup'), ('APP', 'feed'), ('SMS', '')) AS y(c, b)),
+usr AS (SELECT user_id, channel_id, banner_id, CASE WHEN bool_or(user_type = 'exp') THEN 'exp' ELSE MIN(user_type) END AS user_type FROM rdy GROUP BY 1, 2, 3),
+pr AS (SELECT CAST(user_id AS VARCHAR) AS user_id, item, p, label FROM prob),
+allowed AS (SELECT 'Brand#' || i AS item, i - 1 AS label FROM (VALUES (2), (3), (5), (7), (11)) AS v(i)),
+cand AS (SELECT usr.*, item, p, label FROM usr JOIN pr ON usr.user_id = pr.user_id WHERE (banner_id = 'popup' AND item IN (SELECT item FROM allowed)) OR banner_id = 'feed'
+   UNION ALL SELECT usr.*, item, 0.0, label FROM usr, allowed WHERE banner_id = 'popup' AND user_id NOT IN (SELECT user_id FROM pr)
+   UNION ALL SELECT usr.*, x.item, 0.0, x.label FROM usr, (VALUES ('X1', 1), ('X2', 2)) AS x(item, label) WHERE channel_id = 'SMS'),
+base AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, channel_id, banner_id ORDER BY CASE WHEN user_type = 'exp' THEN -p ELSE {sql_hash('rerank', 'user_id', 'channel_id', 'banner_id', 'item')} END, label) - 1 AS pos FROM cand),
+old AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS user_id, item_id, channel_id, COALESCE(banner_id, '') AS banner_id FROM push WHERE dt BETWEEN '{START}' AND '{LAST}')
+SELECT b.user_id, b.user_type, b.channel_id, b.banner_id, b.item AS item_id, p AS score, pos::INTEGER AS rank, '{BATCH}' AS batch_id FROM base b
+LEFT JOIN old ON b.user_id = old.user_id AND b.item = old.item_id AND b.channel_id = old.channel_id AND b.banner_id = old.banner_id
+WHERE pos < CASE b.banner_id WHEN 'popup' THEN 2 WHEN 'feed' THEN 3 ELSE 1 END AND (b.banner_id = 'feed' OR old.item_id IS NULL)
+""")
+def crowd_package_of_ready_users(t: Tables) -> DataFrame:
+    """The day's ready users, a test user nobody knows and one that is a customer too."""
+    state, channels = candidates(t)
+    selection = push.daily_selection(state, channels, pushes(t), LAST, fail_rate=0.1)
+    forced = package.forced_users(t.spark, ["T1", "7"], _SLOTS)
+    return package.ready_package(selection, forced, brand_scores(t), brand_items(), SLOT_ITEMS, pushes(t), _SLOTS, START, LAST, {"batch_id": BATCH})
+
+
 # --- feedback ---------------------------------------------------------------------------------
 
 
@@ -502,22 +530,25 @@ def delivery_app_slots(t: Tables) -> DataFrame:
 # --- reports ----------------------------------------------------------------------------------
 
 
-@query(f"""
-WITH acc AS (SELECT o_custkey AS user_id, 'hx' AS user_type, MIN(strftime(o_orderdate, '%Y%m%d')) AS joined FROM orders WHERE o_orderstatus = 'O' GROUP BY 1
+_SQL_RETENTION = f"""
+acc AS (SELECT o_custkey AS user_id, 'hx' AS user_type, MIN(strftime(o_orderdate, '%Y%m%d')) AS joined FROM orders WHERE o_orderstatus = 'O' GROUP BY 1
    UNION ALL SELECT o_custkey, 'mt', MIN(strftime(o_orderdate, '%Y%m%d')) FROM orders WHERE o_orderstatus = 'P' GROUP BY 1),
 tx AS (SELECT o_custkey AS user_id, strftime(l_shipdate, '%Y%m%d') AS day, {CENTS.format('l_extendedprice')} AS amount, l_returnflag AS cur, l_linestatus AS code
    FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 sp AS (SELECT user_id, SUM(CASE WHEN cur = 'N' THEN amount ELSE amount * 6.7 END) AS year_amount, MAX(day) AS last_day FROM tx
    WHERE day BETWEEN '20001104' AND '20011104' AND code = 'F' GROUP BY 1),
 fl AS (SELECT c_custkey AS user_id, CASE WHEN c_acctbal > 5000 THEN 1 ELSE 0 END AS value_flag, CASE WHEN c_nationkey < 10 THEN 1 ELSE 0 END AS other_flag FROM customer),
-ins AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase' AND value > 150)
-SELECT acc.user_id, user_type, joined, value_flag, other_flag, CAST(COALESCE(year_amount, 0) AS DOUBLE) AS year_amount, last_day,
+ins AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase' AND value > 150),
+lst AS (SELECT acc.user_id, user_type, joined, value_flag, other_flag, CAST(COALESCE(year_amount, 0) AS DOUBLE) AS year_amount, last_day,
   CASE WHEN last_day >= '20010505' THEN 1 ELSE 0 END AS half_year_active, CASE WHEN last_day IS NULL THEN 0 ELSE 1 END AS year_active,
   CASE WHEN ins.user_id IS NULL THEN 0 ELSE 1 END AS instalment,
   CASE WHEN last_day >= '20010505' THEN 1 ELSE 0 END + CASE WHEN ins.user_id IS NULL THEN 0 ELSE 1 END + CASE WHEN substr(joined, 1, 4) = '2001' THEN 1 ELSE 0 END
   + CASE WHEN COALESCE(year_amount, 0) > 10000 THEN 1 ELSE 0 END AS value_score
-FROM acc JOIN fl ON acc.user_id = fl.user_id LEFT JOIN sp ON acc.user_id = sp.user_id LEFT JOIN ins ON acc.user_id = ins.user_id WHERE value_flag = 1 OR other_flag = 1
-""")
+FROM acc JOIN fl ON acc.user_id = fl.user_id LEFT JOIN sp ON acc.user_id = sp.user_id LEFT JOIN ins ON acc.user_id = ins.user_id WHERE value_flag = 1 OR other_flag = 1)
+"""
+
+
+@query(f"WITH {_SQL_RETENTION} SELECT * FROM lst")
 def report_retention_list(t: Tables) -> DataFrame:
     def accounts(status: str, kind: str) -> DataFrame:
         return t.orders.where(F.col("o_orderstatus") == status).select(
@@ -536,6 +567,25 @@ def report_retention_list(t: Tables) -> DataFrame:
     return rows.withColumn("year_amount", F.col("year_amount").cast("double"))
 
 
+@query(f"""
+WITH {SQL_STANDINS}, {_SQL_RETENTION},
+tops AS (SELECT user_id, MAX(value) AS top FROM events WHERE event_type = 'click' GROUP BY 1)
+SELECT lst.*, pool.score, CASE WHEN c_nationkey <> 3 THEN c_nationkey * 3 + 20 END AS age, CASE WHEN c_nationkey <> 3 THEN CASE WHEN c_acctbal > 0 THEN 'Y' ELSE 'N' END END AS activate_card_flag,
+  CASE WHEN c_nationkey <> 3 THEN (c_nationkey % 2)::INTEGER END AS first_bin_wx, CASE WHEN c_nationkey <> 3 THEN CASE WHEN c_nationkey % 5 = 0 THEN 1 END END AS first_bin_zfb,
+  CASE WHEN top > 100 THEN '1' WHEN top IS NOT NULL THEN '0' END AS auto_repay_cust_ind, CASE WHEN c_nationkey < 12 THEN substr(c_name, 10) END AS mobile, '20011104' AS batch_id
+FROM lst JOIN customer ON lst.user_id = c_custkey LEFT JOIN pool ON lst.user_id = pool.user_id LEFT JOIN tops ON lst.user_id = tops.user_id
+""")
+def report_retention_attributes(t: Tables) -> DataFrame:
+    nation, wallets = F.col("c_nationkey"), ["first_bin_wx", "first_bin_zfb"]
+    known = t.customer.where(nation != 3).select(
+        F.col("c_custkey").alias("cust_id"), (nation * 3 + 20).alias("age"), F.when(F.col("c_acctbal") > 0, "Y").otherwise("N").alias("activate_card_flag"),
+        (nation % 2).cast("int").alias("first_bin_wx"), F.when(nation % 5 == 0, 1).alias("first_bin_zfb"))
+    older = known.select("cust_id", (F.col("age") - 1).alias("age"), F.lit("N").alias("activate_card_flag"), F.lit(0).alias("first_bin_wx"), F.lit(None).cast("int").alias("first_bin_zfb"))
+    clicks = t.events.where(F.col("event_type") == "click").select(F.col("user_id").alias("cust_id"), F.when(F.col("value") > 100, "1").otherwise("0").alias("auto_repay_cust_ind"))
+    contacts = t.customer.where(nation < 12).select(F.col("c_custkey").alias("cust_id"), F.substring("c_name", 10, 20).alias("mobile"))
+    return reports.retention_report(report_retention_list(t), pool(t), known.unionByName(older), clicks, contacts, "20011104", wallets)
+
+
 _SQL_PERCENTILE = """
 pct AS (SELECT user_id, user_type, score, ROW_NUMBER() OVER (ORDER BY score, user_id) AS rank, COUNT(*) OVER () AS user_num FROM pool)
 """

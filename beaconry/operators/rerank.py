@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from itertools import accumulate
-from typing import Sequence
+from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -60,28 +60,48 @@ def _by_slot(channels: Sequence[ChannelItems], value, default: Column) -> Column
     return case_of(tests, default) if tests else default
 
 
+SLOT_KEYS = ["user_id", "channel_id", "banner_id"]
+
+
+def one_per_slot(df: DataFrame) -> DataFrame:
+    """One row per user and slot (null banner as empty); of a slot listed twice the model's user stays."""
+    first = Window.partitionBy(*SLOT_KEYS).orderBy((F.col("user_type") == MODEL_GROUP).desc_nulls_last(), "user_type")
+    slots = df.withColumn("banner_id", F.coalesce("banner_id", F.lit("")))
+    return slots.withColumn("_row", F.row_number().over(first)).where(F.col("_row") == 1).drop("_row")
+
+
+def rerank_users(slots: DataFrame, probabilities: DataFrame, items: Sequence[Item], channels: Sequence[ChannelItems],
+                 most: Mapping[tuple[str, str], int] | None = None, scores: str = "probability", salt: str = "rerank") -> DataFrame:
+    """`rerank` of narrow slot rows: they are de-duplicated before they meet the users' probabilities
+    (user_id and an array), so no array is sorted or shuffled once per slot. Users without have no scores."""
+    known = probabilities.select("user_id", scores)
+    return _in_order(one_per_slot(slots).join(known, "user_id", "left"), items, channels, scores, salt, most)
+
+
 def rerank(df: DataFrame, items: Sequence[Item], channels: Sequence[ChannelItems], scores: str = "probability",
-           salt: str = "rerank") -> DataFrame:
+           salt: str = "rerank", most: Mapping[tuple[str, str], int] | None = None) -> DataFrame:
     """One row per user, channel slot and item with score and rank from 0.
 
     Scored items come in order of probability, restricted to those the slot allows; if none
     is left, the allowed list itself. Groups not chosen by the model get a shuffled list.
     With the configured share an item is put first, and only then disabled items go.
+    `most` names how many items of a slot are wanted; the others never become rows.
 
     Works row by row on arrays as short as the item list; nothing is shuffled but the
     de-duplication of the slots.
     """
-    keys = ["user_id", "channel_id", "banner_id"]
+    return _in_order(one_per_slot(df), items, channels, scores, salt, most)
+
+
+def _in_order(slots: DataFrame, items: Sequence[Item], channels: Sequence[ChannelItems], scores: str, salt: str,
+              most: Mapping[tuple[str, str], int] | None) -> DataFrame:
+    keys = SLOT_KEYS
     by_label = {item.label: item for item in items if item.label >= 0}
     known = {item_id: item.label for item in by_label.values() for item_id in item.item_ids}
     labels = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
     enabled = _texts([item.main_id for item in items if item.enable])
     probability = F.col(scores)
 
-    # Of a slot listed twice the model's user stays.
-    first = Window.partitionBy(*keys).orderBy((F.col("user_type") == MODEL_GROUP).desc_nulls_last(), "user_type")
-    slots = df.withColumn("banner_id", F.coalesce("banner_id", F.lit("")))
-    slots = slots.withColumn("_row", F.row_number().over(first)).where(F.col("_row") == 1).drop("_row")
     kept = [c for c in slots.columns if c != scores]
     slots = slots.withColumn("_allowed", _by_slot(channels, lambda c: _texts(c.items), _texts([])))
 
@@ -109,6 +129,10 @@ def rerank(df: DataFrame, items: Sequence[Item], channels: Sequence[ChannelItems
         moved = F.filter(front, lambda i: F.array_contains(enabled, i))
         slots = slots.withColumn("_order", F.when(F.col("_first").isNull(), F.col("_order")).otherwise(moved))
 
+    if most is not None:
+        wanted = case_of([((F.col("channel_id") == c) & (F.col("banner_id") == b), F.lit(n)) for (c, b), n in most.items()], F.size("_order")) if most else F.size("_order")
+        slots = slots.withColumn("_order", F.slice("_order", 1, wanted))
+
     def scored(item_id: Column, position: Column) -> Column:
         score = F.coalesce(F.get(probability, F.try_element_at(labels, item_id)), F.lit(0.0))
         return F.struct(item_id.alias("item_id"), score.cast("double").alias("score"), position.alias("rank"))

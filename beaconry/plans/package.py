@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import lookup
 from ..operators.dimensions import rows_to_frame
 from ..operators.filters import anti, blank_keys
+from ..operators.rerank import ChannelItems, Item, rerank_users
 from .push import USER_SLOT
 
 _KEY_MARK = "\x01"
@@ -59,3 +60,17 @@ def crowd_package(ranked_items: DataFrame, delivered: DataFrame, slots: Sequence
     wanted = lookup(_slot_key(), {s.key: s.num_items for s in slots})
     kept = fresh.where(F.col("rank") < wanted)
     return kept.withColumns({k: F.lit(v) for k, v in (constants or {}).items()})
+
+
+def ready_package(selection: DataFrame, forced: DataFrame, probabilities: DataFrame, items: Sequence[Item], channels: Sequence[ChannelItems],
+                  delivered: DataFrame, slots: Sequence[Slot], start: str, end: str, constants: Mapping[str, str] | None = None) -> DataFrame:
+    """The package of the users that the day's selection tags ready, and of the forced ones.
+
+    User ids are texts here, as test users have no number. Only the first items of a slot are made rows."""
+    def as_text(df: DataFrame) -> DataFrame:
+        return df.withColumn("user_id", F.col("user_id").cast("string"))
+
+    columns = ["user_id", "user_type", "channel_id", "banner_id"]
+    users = as_text(selection.where(F.col("tag") == "ready").select(*columns)).unionByName(forced.select(*columns))
+    ordered = rerank_users(users, as_text(probabilities), items, channels, {(s.channel_id, s.banner_id): s.num_items for s in slots})
+    return crowd_package(ordered, as_text(delivered), slots, start, end, constants)

@@ -48,6 +48,26 @@ def retention_list(accounts: DataFrame, spent: DataFrame, retainable: DataFrame,
     )
 
 
+def one_row(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """One row per key with the largest value of each column: attribute tables list a customer more than once."""
+    return df.groupBy(F.col(key).alias("user_id")).agg(*[F.max(c).alias(c) for c in columns])
+
+
+def retention_report(listed: DataFrame, scores: DataFrame, attributes: DataFrame, repayments: DataFrame, contacts: DataFrame, batch: str,
+                     wallets: Sequence[str], key: str = "cust_id") -> DataFrame:
+    """The retention list with the churn score, age, active card, first wallets, automatic repayment and phone.
+
+    listed: see `retention_list`. scores: user_id, score (one per user). The other tables are reduced to a row per
+    customer before they are joined, so the list keeps its rows; customers they do not know have nulls there."""
+    sides = [
+        scores.select("user_id", "score"), one_row(attributes, key, ["age", "activate_card_flag", *wallets]),
+        one_row(repayments, key, ["auto_repay_cust_ind"]), one_row(contacts, key, ["mobile"]),
+    ]
+    for side in sides:
+        listed = listed.join(side, "user_id", "left")
+    return listed.withColumn("batch_id", F.lit(batch))
+
+
 def pool_percentiles(pool: DataFrame) -> DataFrame:
     """Rank and percentile of every pool score, ties by user."""
     return with_percentile(pool, [F.col("score"), F.col("user_id")])

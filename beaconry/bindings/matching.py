@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.product_text import benchmark_number
+from ..functions.product_text import YIELD_COLUMNS, benchmark_number
 from ..functions.scalars import case_of
-from ..plans import cohort, matching
+from ..plans import cards, cohort, matching
 from .registry import Tables, registrar
 
 QUERIES: dict = {}
@@ -192,3 +192,81 @@ def product_info_with_default(t: Tables) -> DataFrame:
     bench = F.when(F.col("p_size") < 25, F.concat(F.lit("0.5%~"), F.col("p_size").cast("string"), F.lit("%"))).otherwise(F.lit("open"))
     info = t.part.select(F.col("p_partkey").cast("string").alias("prod_id"), "p_name", shown.alias("tb_reco_1"), benchmark_number(bench).alias("benchmark_f"))
     return matching.product_info(wanted, "DEFAULT1", info)
+
+
+_RATES = list(YIELD_COLUMNS.values())
+
+
+def _catalogue(t: Tables) -> DataFrame:
+    """Parts as a product catalogue: every field has good, odd and missing values; every product is listed twice."""
+    size, key = F.col("p_size"), F.col("p_partkey")
+    choose = lambda n, *values: F.element_at(F.array(*[F.lit(v).cast("string") for v in values]), (n % len(values) + 1).cast("int"))
+    rows = t.part.select(
+        key.cast("string").alias("prod_id"), F.col("p_name").alias("prd_name"), F.col("p_brand").alias("ta_code"), choose(size, "1301", "x", None).alias("reserve1"),
+        choose(size, "1.50", "0.98764", None, "abc", " 12 ").alias("nav"), choose(size, "20240105", "2024", None).alias("nav_date"),
+        choose(key, "20240229", "20230229").alias("end_date"), choose(size, "1", " 2 ", "9", None).alias("risk_level"), choose(size, "1.0%~2.5%", "", None, "0.03").alias("benchmark"),
+        choose(key, "0.0123", "0", None).alias("nav_ratio"), choose(size, *"0123456789ab", "C", "c", None).alias("guest_type"), choose(key, "3.5%", None).alias("benchmark_show"),
+        choose(size, "0", "3", "99", "x").alias("prd_invest_type"), choose(key, "0", "90", None).alias("lock_days"), choose(size, "2", "9").alias("term_enjoy_type"),
+        F.col("p_retailprice").alias("pfirst_amt"), size.alias("prd_time_limit"),
+        *[choose(size + i, "0.0", "0.0325", None, "1e-25", "123456789012345678901234").alias(name) for i, name in enumerate(_RATES)])
+    return rows.unionByName(rows)
+
+
+def _sql_choose(number: str, *values: str | None) -> str:
+    listed = ", ".join("NULL" if v is None else "'" + v + "'" for v in values)
+    return f"([{listed}])[{number} % {len(values)} + 1]"
+
+
+_RATE_TEXTS = ("", "3.25%", "", "", "1.235E+25%")
+_SQL_CARD = {
+    "kehuhao": "NULL", "kehuxingming": "NULL", "phoneNumber": "NULL", "scene_id": "'S1106'", "msgmodel_id": "CASE WHEN s % 3 = 0 THEN 'chrem_1301' ELSE '' END",
+    "prd_code": "pr.id", "ta_code": "brand", "prd_name": "name", "prd_nametwo": "''", "nav": _sql_choose("s", "产品净值1.5", "产品净值0.9876", "", "", "产品净值12"),
+    "nav_date": _sql_choose("s", "截至2024/01/05", "", ""), "ipo_start_date": "''", "ipo_end_date": "''", "estab_date": "''", "income_date": "''",
+    "end_date": _sql_choose("k", "2024/02/29", ""), "risk_level": _sql_choose("s", "风险等级极低风险", "风险等级低风险", "", ""), "reserveone": _sql_choose("s", "1301", "x", ""),
+    "ta_name": "''", "ta_shortname": "''", "benchmark": _sql_choose("s", "业绩比较基准：1.0%-2.5%", "", "", "业绩比较基准：0.03"), "modelcomment_desc": "''",
+    "nav_ratio": _sql_choose("k", "上一投资周期年化收益率1.23%、", "", ""), "cycle_days": "''", "min_hold_days": "''", "term_enjoy_type": _sql_choose("s", "每月", ""),
+    "guest_type": "CASE WHEN s % 15 IN (12, 13) THEN " + _sql_choose("k", "3.5%", "") + " ELSE " + _sql_choose("s", *[
+        "成立以来年化收益率", "上日年化收益率", "近七日年化收益率", "近14日年化收益率", "近一月年化收益率", "近两月年化收益率", "近三月年化收益率", "近半年年化收益率",
+        "上一年年化收益率", "上期年化收益率", "二年化收益率", "三年化收益率", "", "", ""]) + " END",
+    **{{"rate1": "rateone"}.get(name, name): _sql_choose(f"(s + {i})", *_RATE_TEXTS) for i, name in enumerate(_RATES)},
+    "benchmark_show": _sql_choose("k", "3.5%", ""),
+    "tb_reco_one": "CASE WHEN s % 15 < 12 THEN " + _sql_choose("(s + s % 15)", *_RATE_TEXTS) + " ELSE '' END",
+    "tb_reco_two": _sql_choose("s", "精选固收", "精选混合", "精选其他", ""), "tb_reco_three": _sql_choose("k", "", "90", ""),
+    **{f"tb_reco_{n}": "NULL" for n in ("four", "five", "six", "seven", "eight", "nine", "ten")},
+}
+_SQL_PRODUCTS = """
+w AS (SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS id FROM lineitem WHERE l_quantity > 45 UNION SELECT 'DEFAULT1'),
+pr AS (SELECT CAST(p_partkey AS VARCHAR) AS id, p_partkey AS k, p_size AS s, p_name AS name, p_brand AS brand, p_retailprice AS price FROM part)
+"""
+
+
+def _wanted_info(t: Tables) -> DataFrame:
+    wanted = t.lineitem.where(F.col("l_quantity") > 45).select(F.col("l_partkey").alias("prod_id"))
+    return matching.product_info(wanted, "DEFAULT1", _catalogue(t))
+
+
+@query(f"""
+WITH {_SQL_PRODUCTS}
+SELECT w.id AS prod_id, {", ".join(f"CASE WHEN pr.id IS NULL THEN {text} ELSE {value} END AS {name}" for name, value in _SQL_CARD.items()
+        for text in ["'DEFAULT1'" if name == "prd_code" else "'S1106'" if name == "scene_id" else "NULL" if value == "NULL" else "''"])},
+  price AS pfirst_amt, s::DOUBLE AS prd_time_limit, TRY_CAST({_sql_choose("s", "1", "2", "9", None)} AS INTEGER) AS risk_number, {_sql_choose("s", "0", "3", "99", "x")} AS invest,
+  CAST(COALESCE({_sql_choose("s", "2.5", "0", "0", "3")}, '0') AS FLOAT) AS benchmark_f
+FROM w LEFT JOIN pr ON w.id = pr.id
+""")
+def product_card(t: Tables) -> DataFrame:
+    info = _wanted_info(t)
+    rows = cards.product_cards(info, "s1106").join(info.select("prod_id", "benchmark_f"), "prod_id")
+    shown = [F.col(f"output_info.{name}").alias(name) for name in cards.CARD_FIELDS]
+    return rows.select("prod_id", *shown, "filter_info.pfirst_amt", "filter_info.prd_time_limit", F.col("filter_info.risk_level").alias("risk_number"),
+                       F.col("filter_info.prd_invest_type").alias("invest"), "benchmark_f")
+
+
+@query(f"""
+WITH {_SQL_PRODUCTS}
+SELECT 'tr|s1106|prod_info|' || pr.id AS key, 3600 AS ttl,
+  json_object({", ".join(f"'{name}', {value}" for name, value in _SQL_CARD.items())})::VARCHAR AS card
+FROM w JOIN pr ON w.id = pr.id
+""")
+def keyvalue_products(t: Tables) -> DataFrame:
+    rows = cards.product_entries(_wanted_info(t), "S1106", 3600).where(~F.endswith("key", F.lit("DEFAULT1")))
+    return rows.select("key", "ttl", F.regexp_extract("value", r'^\{"output_info":(\{.*\}),"filter_info":\{.*\}\}$', 1).alias("card"))

@@ -56,9 +56,9 @@ BENCHMARK_PREFIX = "业绩比较基准："
 RATIO_PREFIX = "上一投资周期年化收益率"
 RATIO_SUFFIX = "、"
 
-_DECIMAL = "decimal(38,18)"
 _DIGITS = 4
-_MAX_PLACES = 18  # all that the decimal type holds
+_SMALLEST_PLAIN = -6   # zeros behind the point from which a number is written with an exponent
+_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,9})?$"
 
 
 def _text(value) -> Column:
@@ -70,50 +70,54 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def _places(number: Column) -> Column:
-    """Digits behind the point that leave four significant ones."""
-    zeros = F.regexp_extract(F.format_string("%.18f", F.abs(number).cast("double")), r"^0\.(0*)", 1)
-    whole = F.length(F.floor(F.abs(number)).cast("string"))
-    return F.greatest(F.lit(_DIGITS) - F.when(F.abs(number) >= 1, whole).otherwise(-F.length(zeros)), F.lit(0))
-
-
-def _rounded(number: Column, places: Column) -> Column:
-    return case_of([(F.least(places, F.lit(_MAX_PLACES)) == n, F.bround(number, n).cast("string")) for n in range(_MAX_PLACES + 1)])
-
-
-def _significant(number, source) -> Column:
-    """Decimal with four significant digits, half to even, trailing zeros dropped; one digit
-    stays behind the point when the source had one."""
-
-    def shown(v):
-        bare = F.regexp_replace(F.regexp_replace(v["text"], r"(\.\d*?)0+$", "$1"), r"\.$", "")
-        lost_point = ~F.contains(bare, F.lit(".")) & F.contains(v["source"], F.lit(".")) & (v["places"] > 0)
-        return F.when(lost_point, F.concat(bare, F.lit(".0"))).otherwise(bare)
-
-    def rounded(v):
-        text = _rounded(v["number"], v["places"])
-        return _let(F.struct(text.alias("text"), v["source"].alias("source"), v["places"].alias("places")), shown)
-
-    def placed(v):
-        places = _places(v["number"])
-        return _let(F.struct(v["number"].alias("number"), v["source"].alias("source"), places.alias("places")), rounded)
-
-    return _let(F.struct(number.alias("number"), source.alias("source")), placed)
+def _significant(source: Column, times: str = "") -> Column:
+    """Four significant digits, half to even, of a number given as text, however long it is; null for no number.
+
+    Digits are moved as text and the exponent as a number, so neither size nor places are limited. `times` are
+    zeros appended to the digits ("00": per cent). Trailing zeros behind the point go, but one digit
+    stays there; numbers of more than four digits before it, or of six zeros behind it, have an exponent."""
+    whole, fraction = F.regexp_extract(source, r"^[+-]?(\d*)", 1), F.regexp_extract(source, r"\.(\d*)", 1)
+    power = F.coalesce(F.regexp_extract(source, r"[eE]([+-]?\d+)$", 1).try_cast("int"), F.lit(0))
+    parts = F.struct(
+        F.when(F.startswith(source, F.lit("-")), "-").otherwise("").alias("sign"),
+        F.regexp_replace(F.concat(whole, fraction, F.lit(times)), r"^0+(?=\d)", "").alias("digits"), (power - F.length(fraction)).alias("power"))
+
+    def cut(v):
+        digits, rest = v["digits"], F.substring(v["digits"], _DIGITS + 1, 1_000_000_000)
+        head = F.substring(digits, 1, _DIGITS)
+        odd = F.substring(head, -1, 1).isin("1", "3", "5", "7", "9")
+        above = F.rlike(rest, F.lit(r"^([6-9]|5\d*[1-9])"))
+        up = F.when(above | (F.startswith(rest, F.lit("5")) & odd), 1).otherwise(0)   # where it starts with 5 and is not above, zeros follow
+        grown = (head.cast("int") + up).cast("string")
+        more = v["power"] + F.length(digits) - _DIGITS
+        long = F.length(digits) > _DIGITS
+        over = F.length(grown) > _DIGITS
+        return F.struct(v["sign"].alias("sign"), F.when(~long, digits).otherwise(F.substring(grown, 1, _DIGITS)).alias("digits"),
+                        F.when(~long, v["power"]).otherwise(more + over.cast("int")).alias("power"))
+
+    def written(v):
+        digits, before = v["digits"], v["power"] + F.length(v["digits"])
+        small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -before), digits)
+        split = F.concat(F.substr(digits, F.lit(1), before), F.lit("."), F.substr(digits, before + 1))
+        plain = F.when(v["power"] == 0, digits).when(before <= 0, small).otherwise(split)
+        short = F.when(F.contains(plain, F.lit(".")), F.regexp_replace(F.regexp_replace(plain, "0+$", ""), r"\.$", ".0")).otherwise(plain)
+        tail = F.when(F.length(digits) > 1, F.concat(F.lit("."), F.substring(digits, 2, _DIGITS))).otherwise("")
+        wide = F.concat(F.substring(digits, 1, 1), tail, F.when(before > 0, "E+").otherwise("E-"), F.abs(before - 1).cast("string"))
+        return F.concat(v["sign"], F.when((v["power"] <= 0) & (before > _SMALLEST_PLAIN), short).otherwise(wide))
+
+    return F.when(F.rlike(source, F.lit(_NUMBER)), _let(parts, lambda v: _let(cut(v), written)))
 
 
 def fixed_text(value, prefix: str = "") -> Column:
     """Number with four significant digits behind a prefix; blank when it is no number."""
-    source = _text(value)
-    shown = _significant(source.try_cast(_DECIMAL), source)
-    return F.coalesce(F.concat(F.lit(prefix), shown), F.lit(""))
+    return F.coalesce(F.concat(F.lit(prefix), _significant(_text(value))), F.lit(""))
 
 
 def percent_text(value, prefix: str = "", suffix: str = "") -> Column:
     """Ratio as percent with four significant digits; blank for zero and for no number."""
     source = _text(value)
-    number = (source.try_cast(_DECIMAL) * F.lit(100)).cast(_DECIMAL)
-    shown = F.concat(F.lit(prefix), _significant(number, source), F.lit("%"), F.lit(suffix))
-    return F.coalesce(F.when(F.abs(number) >= F.lit(0.000001), shown), F.lit(""))
+    shown = F.concat(F.lit(prefix), _significant(source, "00"), F.lit("%"), F.lit(suffix))
+    return F.coalesce(F.when(F.abs(source.try_cast("double")) * 100 >= F.lit(0.000001), shown), F.lit(""))
 
 
 def date_text(value, prefix: str = "") -> Column:
@@ -163,6 +167,30 @@ def template_id(product, series) -> Column:
     )
 
 
+#: Column of the yield that a product advertises, by its kind.
+YIELD_COLUMNS = {
+    "0": "estab_ratio",
+    "1": "day_yearrate",
+    "2": "week_yearrate",
+    "3": "two_week_yearrate",
+    "4": "month_yearrate",
+    "5": "two_month_yearrate",
+    "6": "three_month_yearrate",
+    "7": "half_year_yearrate",
+    "8": "year_yearrate",
+    "9": "rate1",
+    "a": "twoyear_yearrate",
+    "b": "threeyear_yearrate",
+}
+
+
+def advertised_yield(kind, columns) -> Column:
+    """The yield that `kind` names, as text; blank for any other kind. Of `columns` those that are not there are blank."""
+    present = set(columns)
+    tests = [(kind == code, F.col(name).cast("string")) for code, name in YIELD_COLUMNS.items() if name in present]
+    return case_of(tests, F.lit("")) if tests else F.lit("")
+
+
 def benchmark_number(value) -> Column:
     """Upper bound of '1.0%~2.0%'; a bare number counts as a ratio; anything else is 0."""
     upper = F.substring_index(value, "~", -1)

@@ -12,6 +12,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.product_text import advertised_yield, benchmark_number
 from ..operators.levels import best_upto, level_bits, level_numbers, level_value, with_numbers
 from ..operators.ranking import first_per_key, top_k
 from ..session import pin
@@ -153,8 +154,17 @@ def third_party_lists(results: DataFrame, kinds: Sequence[str]) -> DataFrame:
 
 
 def product_info(wanted: DataFrame, default_product: str, info: DataFrame) -> DataFrame:
-    """Attributes of the wanted products and of the default product, one row each."""
+    """Attributes of the wanted products and of the default product, one row each.
+
+    Where `info` has the kind of yield (guest_type), tb_reco_1 is the yield of that kind; where it has a
+    benchmark, benchmark_f is its upper bound as a number."""
     spark = wanted.sparkSession
     default = spark.createDataFrame([(default_product,)], "prod_id string")
     ids = wanted.select(F.col("prod_id").cast("string")).unionByName(default).distinct()
-    return ids.join(info, "prod_id", "left")
+    found = ids.join(first_per_key(info, "prod_id", [F.col(c) for c in info.columns if c != "prod_id"]), "prod_id", "left")
+    extra = {}
+    if "guest_type" in info.columns:
+        extra["tb_reco_1"] = advertised_yield(F.col("guest_type"), info.columns)
+    if "benchmark" in info.columns:
+        extra["benchmark_f"] = benchmark_number(F.col("benchmark"))
+    return found.withColumns(extra) if extra else found

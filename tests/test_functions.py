@@ -120,3 +120,32 @@ def test_unit_hash_is_even(spark):
     assert 0 <= min(draws) and max(draws) < 1
     for bound in (0.1, 0.5, 0.9):
         assert abs(sum(d < bound for d in draws) / len(draws) - bound) < 0.02
+
+
+def test_significant_digits_of_any_size(spark):
+    """As the decimal library writes four digits, but round numbers and exponents keep their zeros."""
+    import decimal
+    import random
+
+    from beaconry.functions.product_text import fixed_text, percent_text
+
+    rnd = random.Random(6)
+    texts = ["1e-25", "123456789012345678901234", "0.00000123456", "0.0000012345", "1e2", "99995", "99985", "9999.5", "0.5", "-12345.6", "100", "1000", "10000",
+             "1.2345", "1.2355", "1.23450000001", "0", "0.000", "00012.50", ".5", "5.", "+7.10", "12345678901234567890.5", "1" + "0" * 40, "0." + "0" * 30 + "98765"]
+    texts += [f"{rnd.choice(['', '-'])}{rnd.randint(0, 10 ** rnd.randint(0, 12))}.{rnd.randint(0, 10 ** rnd.randint(0, 12))}" for _ in range(300)]
+
+    def shown(text, times=1):
+        number = decimal.Decimal(text) * times
+        out = f"{number:.4}"
+        if "." in out and "E" not in out:
+            out = out.rstrip("0")
+            out += "0" if out.endswith(".") else ""
+        return out
+
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r.t: (r.a, r.b) for r in df.select("t", fixed_text(F.col("t")).alias("a"), percent_text(F.col("t")).alias("b")).collect()}
+    for text in texts:
+        assert got[text][0] == shown(text), text
+        assert got[text][1] == ("" if abs(decimal.Decimal(text)) * 100 < decimal.Decimal("1e-6") else shown(text, 100) + "%"), text
+    odd = spark.createDataFrame([("",), (None,), ("abc",), ("1.2.3",), ("--1",), ("1e",)], "t string")
+    assert {r.a for r in odd.select(fixed_text(F.col("t"), "x").alias("a")).collect()} == {""}

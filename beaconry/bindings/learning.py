@@ -11,7 +11,7 @@ from ..functions import scalars as S
 from ..functions.dates import days_since, ymd
 from ..operators.filters import fill_features, union_all
 from ..operators.sampling import sample_rows
-from ..plans import features, metrics, models, samples
+from ..plans import features, metrics, models, samples, scoring
 from ..session import scratch_path
 from .campaign import CREDIT, DEBIT, SQL_STANDINS, app_users
 from .registry import Tables, registrar
@@ -285,6 +285,52 @@ def model_product_facts(t: Tables) -> DataFrame:
     return _score_facts(rows, model, models.load_products(path))
 
 
+# A declared model of three trees and one of three classes: their texts are run by both engines.
+_TREES = scoring.TreeScore((
+    (1.0, scoring.Split(0, 3.5, scoring.Split(1, 0.0, -0.4, 0.1), scoring.Split(2, 12.0, 0.35, 0.8))),
+    (0.1, scoring.Split(2, 0.0, scoring.Split(0, 0.0, -1.0, 0.25, values=(0.0, 1.0, 4.0)), 0.5)),
+    (0.1, scoring.Split(1, 7.25, -0.125, 1e-05))))
+_CLASSES = scoring.LinearScore(((0.2, -0.01, 0.0), (-0.3, 0.0, 0.02), (0.0, 0.05, -0.04)), (0.1, 1.0, -0.5))
+_SQL_POOL = """
+f AS (SELECT c_custkey AS user_id, n::DOUBLE AS f0, c_acctbal / 1000 AS f1, c_nationkey::DOUBLE AS f2
+      FROM customer LEFT JOIN (SELECT o_custkey, COUNT(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) ON c_custkey = o_custkey)
+"""
+_ZEROED = [f"coalesce({c}, CAST(0 AS DOUBLE))" for c in ("f0", "f1", "f2")]
+
+
+def _plain_features(t: Tables) -> DataFrame:
+    orders = t.orders.where(F.col("o_orderstatus") == "F").groupBy(F.col("o_custkey").alias("user_id")).agg(F.count("*").cast("double").alias("f0"))
+    people = t.customer.select(F.col("c_custkey").alias("user_id"), (F.col("c_acctbal") / 1000).alias("f1"), F.col("c_nationkey").cast("double").alias("f2"))
+    return people.join(orders, "user_id", "left")
+
+
+@query(f"WITH {_SQL_POOL} SELECT user_id, round({_TREES.probabilities(_ZEROED)[1]}, 9) AS score FROM f")
+def model_pool_by_rules(t: Tables) -> DataFrame:
+    scored = scoring.score_pool_by_rules(_plain_features(t), _TREES, ["f0", "f1", "f2"])
+    return scored.select("user_id", F.round("score", 9).alias("score"))
+
+
+@query(f"WITH {_SQL_POOL} SELECT user_id, " + ", ".join(f"CASE WHEN f0 IS NULL THEN 0.0 ELSE round({p}, 9) END AS p{i}" for i, p in enumerate(_CLASSES.probabilities(["f0", "f1", "f2"]))) + " FROM f")
+def model_classes_by_rules(t: Tables) -> DataFrame:
+    rows = _plain_features(t).select("user_id", F.when(F.col("f0").isNotNull(), F.array("f0", "f1", "f2")).alias("features"))
+    return rows.select("user_id", *[F.round(p, 9).alias(f"p{i}") for i, p in enumerate(scoring.score_columns(_CLASSES, "features", 3))])
+
+
+@query("SELECT c_custkey AS user_id, TRUE AS trees, TRUE AS classes FROM customer")
+def model_saved_rules(t: Tables) -> DataFrame:
+    """Saved models written out as SQL score every user as the models themselves do."""
+    rows = _vectors(t)
+    path, known = scratch_path(t.spark, "rules"), rows.where(F.col("features").isNotNull())
+    models.save_model(models.fit_propensity(known, maxIter=4, maxDepth=3), f"{path}/trees", "20240131")
+    models.save_model(models.fit_products(known, 3, max_iter=4), f"{path}/classes", "20240131")
+    for name, model in (("trees", models.load_propensity(f"{path}/trees")), ("classes", models.load_products(f"{path}/classes"))):
+        own = models.score(rows, model)
+        ruled = F.array(*scoring.score_columns(scoring.from_model(model), "features", model.numFeatures))
+        gaps = F.zip_with(models.PROBABILITY, ruled, lambda a, b: F.abs(a - b))
+        rows = own.withColumn(name, F.array_max(gaps) < 1e-9).drop(models.PROBABILITY, models.PREDICTION)
+    return rows.select("user_id", "trees", "classes")
+
+
 # --- metrics -----------------------------------------------------------------------------------
 
 _SQL_SCORED = """

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from ..functions.dates import shift_ymd
 from ..functions.scalars import in_home_currency, lookup
 from ..operators.aggregates import ratio
-from ..operators.dimensions import small_rows, small_side
-from ..operators.filters import fill_token, with_reserves
+from ..operators.dimensions import small_side
+from ..operators.filters import fill_token, semi, with_reserves
 from ..operators.ranking import first_per_key, with_percentile
 
 
@@ -169,11 +169,11 @@ def message_report(feedback: DataFrame, push_days: DataFrame, applications: Data
     push_days: dt, do_push. `bounded=False` also takes push days after the period.
     """
     real = push_days.where((F.col("do_push") == 1) & (F.col("dt") >= start) & (F.col("dt") <= end if bounded else F.lit(True)))
-    days = [row["dt"] for row in small_rows(real.select("dt").distinct())]
-    per_user = feedback.where(F.col("dt").isin(days)).where(~F.col("user_type").isin(list(skipped))).groupBy("user_id", "user_type").agg(
+    first_day = real.agg(F.min("dt")).first()[0] or end
+    per_user = semi(feedback, real, "dt").where(~F.col("user_type").isin(list(skipped))).groupBy("user_id", "user_type").agg(
         F.max("send").alias("send"), F.max("click").alias("click")
     )
-    applied = applications.where(F.col("apply_dt") >= min(days, default=end)).select("user_id").distinct().withColumn("_applied", F.lit(1))
+    applied = applications.where(F.col("apply_dt") >= first_day).select("user_id").distinct().withColumn("_applied", F.lit(1))
     return per_user.join(applied, "user_id", "left").select(
         "user_id", "user_type", F.coalesce("send", F.lit(0)).alias("send"), F.coalesce("click", F.lit(0)).alias("click"),
         F.coalesce("_applied", F.lit(0)).alias("convert"), lookup(F.col("user_type"), group_sizes, 0).alias("operate"),

@@ -242,3 +242,41 @@ def test_feature_vector_order(spark):
     assert out[1] == [4.0, 0.0, 1.0, 0.0, -5.0]
     assert out[2] == pytest.approx([0.0, 1.0, 0.0, 0.6931471805599453, 0.0])
     assert out[3] == [2.0, 0.0, 0.0, 0.0, 0.0]
+
+
+def test_rules_of_fitted_models(spark):
+    """SQL text against the model, with categories, NaN and far out values."""
+    import random
+
+    from pyspark.ml.classification import GBTClassifier, LogisticRegression
+    from pyspark.ml.feature import VectorAssembler, VectorIndexer
+    from pyspark.ml.functions import vector_to_array
+
+    from beaconry.plans import scoring
+
+    rnd = random.Random(2)
+    rows = [(float(rnd.randint(0, 4)), rnd.uniform(-5, 5), rnd.choice([0.0, 1e9, -3.25])) for _ in range(400)]
+    rows = [(*r, int(r[0] in (1.0, 3.0) or r[1] > 2)) for r in rows]
+    df = spark.createDataFrame(rows, "a double, b double, c double, label int")
+    vectors = VectorAssembler(inputCols=["a", "b", "c"], outputCol="raw").transform(df)
+    vectors = VectorIndexer(inputCol="raw", outputCol="v", maxCategories=5).fit(vectors).transform(vectors).withColumn("features", vector_to_array("v"))
+    trees = GBTClassifier(featuresCol="v", maxIter=5, maxDepth=3, seed=1).fit(vectors)
+    binary = LogisticRegression(featuresCol="v", maxIter=5).fit(vectors)
+    many = LogisticRegression(featuresCol="v", family="multinomial", maxIter=5).fit(vectors.withColumn("label", (F.col("a") % 3).cast("int")))
+    assert any(node.values for _, root in scoring.from_model(trees).trees for node in _splits(root))
+    for model in (trees, binary, many):
+        scored = model.transform(vectors.drop("probability", "prediction", "rawPrediction"))
+        texts = scoring.score_columns(scoring.from_model(model), "features", 3)
+        for r in scored.select(vector_to_array("probability").alias("p"), F.array(*texts).alias("q")).collect():
+            assert max(abs(x - y) for x, y in zip(r.p, r.q)) < 1e-9 and len(r.p) == len(r.q)
+    missing = spark.createDataFrame([(None,)], "features array<double>")
+    assert [missing.select(c.alias("x")).first().x for c in scoring.score_columns(scoring.from_model(binary), "features", 3)] == [0.0, 0.0]
+    assert scoring.LinearScore(((1000.0,), (-1000.0,)), (0.0, 0.0)).probabilities(["1"])[0].startswith("(1 / (1 + ")
+    with pytest.raises(ValueError):
+        scoring.from_model(object())
+
+
+def _splits(node):
+    from beaconry.plans.scoring import Split
+
+    return [node, *_splits(node.left), *_splits(node.right)] if isinstance(node, Split) else []

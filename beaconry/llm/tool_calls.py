@@ -2,14 +2,17 @@
 
 Calls and results are hash-joined by conversation and identifier. A call may name the call it needs (`after`);
 its step is the length of that chain, found by pointer doubling, so a conversation of any length takes a
-logarithmic number of rounds and no task holds a whole conversation. Arguments (a JSON object) are checked
-against the tool's parameters. A line of canonical JSON has its keys sorted, no white space, and typed values.
-DataFrame functions only.
-
-Defined cases: repeated calls or results count once, in whichever rows they stand; of several results of one
-call the smallest text is kept and their number reported; calls without result stay, results without call are
-no row; an `after` that names no call starts a chain; calls on a cycle have step null and the problem `cycle`;
-null or broken arguments are the problem `arguments`; a tool without schema is `unknown tool`.
+logarithmic number of rounds and no task holds a whole conversation. Arguments (a JSON object) are parsed to typed
+values and checked against the tool's parameters by their JSON types. A line of canonical JSON has its keys
+sorted at every depth, no white space, and numbers in one form. DataFrame functions only.
+
+Defined cases: repeated calls or results count once, in whichever rows they stand; different calls with one
+identifier in a conversation all stay, with the problem `clash`, and have the step of the smallest; of several
+results of one call the smallest text is kept and their number reported; calls without result stay, results without
+call are no row; an `after` that names no call starts a chain; calls on a cycle have step null and the problem
+`cycle`; null or broken arguments, other JSON than an object, and a key given twice are the problem `arguments`; a
+tool without schema is `unknown tool`; a JSON null counts as not given; a null conversation is one of its own, a call
+with a null identifier stays and has no result. Columns are taken by name, others may have any.
 """
 
 from __future__ import annotations
@@ -19,8 +22,9 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-#: Text that a value of each kind must match; the empty kind is any text.
-KINDS = {"integer": "^-?(0|[1-9][0-9]*)$", "number": "^-?(0|[1-9][0-9]*)([.][0-9]+)?$", "boolean": "^(true|false)$", "string": ""}
+#: JSON types, as Spark names them, that a value of each kind may have.
+KINDS = {"integer": r"^(BIGINT|DECIMAL\(\d+,0\))$", "number": r"^(BIGINT|DECIMAL\(\d+,\d+\)|DOUBLE)$", "boolean": "^BOOLEAN$", "string": "^STRING$",
+         "object": "^OBJECT<", "array": "^ARRAY<"}
 
 
 def json_text(value: Column) -> Column:
@@ -46,34 +50,45 @@ def steps(calls: DataFrame) -> DataFrame:
     return nodes.select("conv", "call", F.when(F.col("up").isNull(), F.col("step")).alias("step"))
 
 
+def _named(column: str) -> Column:
+    """A text that stands for an identifier, null included."""
+    return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit("-"))
+
+
 def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
-    """One row per call: conv, call, step, name, n_results, problem (null if it is sound), line.
+    """One row per different call: conv, call, step, name, n_results, problem (null if it is sound), line.
 
     calls: conv, call, after, name, arguments; results: conv, call, content;
     schemas: name, param, kind, required."""
-    calls = calls.groupBy("conv", "call").agg(F.min(F.struct("name", "arguments", "after")).alias("c")).select("conv", "call", "c.name", "c.arguments", "c.after")
-    answers = results.where("call is not null").groupBy("conv", "call").agg(F.count_distinct("content").alias("n_results"), F.min("content").alias("content"))
-    given = calls.select("conv", "call", "name", F.from_json("arguments", "map<string,string>").alias("a"))
-    values = given.select("conv", "call", "name", F.explode("a").alias("param", "value"))
+    calls = calls.select("conv", "call", "after", "name", "arguments").distinct()
+    calls = calls.select("*", F.md5(F.to_json(F.struct("*")).cast("binary")).alias("row"), _named("conv").alias("in_conv"), _named("call").alias("ident"),
+                         F.when(F.col("after").isNotNull(), _named("after")).alias("needs"))
+    calls = stored(calls, "calls")   # read by every check below
+    own = calls.groupBy("in_conv", "ident").agg(F.count("*").alias("alike"), F.min(F.struct("name", "arguments", "needs")).alias("c"))
+    own = own.select("in_conv", "ident", "alike", F.col("c.needs").alias("needs"))
+    order = steps(own.select(F.col("in_conv").alias("conv"), F.col("ident").alias("call"), F.col("needs").alias("after")))
+    order = order.select(F.col("conv").alias("in_conv"), F.col("call").alias("ident"), "step")
+    answers = results.where("call is not null").groupBy(_named("conv").alias("in_conv"), _named("call").alias("ident")).agg(
+        F.count_distinct("content").alias("n_results"), F.min("content").alias("content"))
+    given = calls.select("row", F.expr("try_cast(try_parse_json(arguments) as map<string,variant>)").alias("a"), F.try_parse_json("arguments").alias("v"))
+    values = given.select("row", F.explode("a").alias("param", "value")).select("row", "param", F.schema_of_variant("value").alias("type"))
     # Every parameter of the tool beside what was given: missing, surplus and ill-typed ones show up as rows.
-    expected = calls.select("conv", "call", "name").join(schemas, "name")
-    beside = expected.join(values, ["conv", "call", "name", "param"], "full")
+    beside = calls.select("row", "name").join(schemas, "name").drop("name").join(values.where("type <> 'VOID'"), ["row", "param"], "full")
     fits = F.lit(False)
     for kind, pattern in KINDS.items():
-        fits = F.when(F.col("kind") == kind, F.col("value").rlike(pattern) if pattern else F.lit(True)).otherwise(fits)
+        fits = F.when(F.col("kind") == kind, F.col("type").rlike(pattern)).otherwise(fits)
     fault = (F.when(F.col("kind").isNull(), F.concat(F.lit("surplus "), "param"))
-             .when(F.col("value").isNull() & F.col("required"), F.concat(F.lit("missing "), "param"))
-             .when(F.col("value").isNotNull() & ~fits, F.concat(F.lit("not "), "kind", F.lit(" "), "param")))
-    written = F.when(F.col("kind").isin("integer", "number", "boolean") & fits, F.col("value")).otherwise(json_text(F.col("value")))
-    pair = F.when(F.col("value").isNotNull(), F.struct(F.col("param").alias("k"), F.concat(json_text(F.col("param")), F.lit(":"), written).alias("t")))
-    checked = beside.groupBy("conv", "call").agg(F.min(fault).alias("fault"), F.array_join(F.transform(F.array_sort(F.collect_list(pair)), lambda p: p["t"]), ",").alias("body"))
+             .when(F.col("type").isNull() & F.col("required"), F.concat(F.lit("missing "), "param"))
+             .when(F.col("type").isNotNull() & ~fits, F.concat(F.lit("not "), "kind", F.lit(" "), "param")))
+    faults = beside.groupBy("row").agg(F.min(fault).alias("fault"))
     tools = schemas.select("name").distinct().withColumn("is_tool", F.lit(True))
-    rows = (calls.join(given.select("conv", "call", F.col("a").isNotNull().alias("read")), ["conv", "call"])
-            .join(tools, "name", "left").join(checked, ["conv", "call"], "left").join(answers, ["conv", "call"], "left").join(steps(calls), ["conv", "call"]))
-    problem = (F.when(F.col("is_tool").isNull(), F.lit("unknown tool")).when(~F.col("read"), F.lit("arguments"))
+    read = given.select("row", F.when(F.col("a").isNotNull(), F.to_json("v")).alias("body"))
+    rows = (calls.join(own.select("in_conv", "ident", "alike"), ["in_conv", "ident"]).join(order, ["in_conv", "ident"]).join(answers, ["in_conv", "ident"], "left")
+            .join(read, "row").join(faults, "row", "left").join(tools, "name", "left"))
+    problem = (F.when(F.col("alike") > 1, F.lit("clash")).when(F.col("is_tool").isNull(), F.lit("unknown tool")).when(F.col("body").isNull(), F.lit("arguments"))
                .when(F.col("fault").isNotNull(), F.col("fault")).when(F.col("step").isNull(), F.lit("cycle")).when(F.col("n_results").isNull(), F.lit("no result")))
     null = F.lit("null")
-    line = F.concat(F.lit('{"arguments":{'), F.coalesce("body", F.lit("")), F.lit('},"id":'), F.coalesce(json_text(F.col("call")), null),
+    line = F.concat(F.lit('{"arguments":'), F.coalesce("body", F.lit("{}")), F.lit(',"id":'), F.coalesce(json_text(F.col("call")), null),
                     F.lit(',"name":'), F.coalesce(json_text(F.col("name")), null), F.lit(',"result":'), F.coalesce(json_text(F.col("content")), null), F.lit("}"))
     return rows.select("conv", "call", "step", "name", F.coalesce("n_results", F.lit(0)).cast("long").alias("n_results"), problem.alias("problem"), line.alias("line"))
 
@@ -102,12 +117,13 @@ def conversations_sql() -> str:
     """The rows of `link(*turns_as_calls(conversations))`, columns conv_id, call_id and so on, in DuckDB SQL."""
     return """WITH RECURSIVE c0 AS (SELECT conv_id AS conv, 'call_' || turn AS call, 'call_' || (turn - 2) AS after, coalesce(text, '') AS query, length(text) AS n,
  CASE WHEN instr(text, chr(10)) > 0 THEN 'search' ELSE 'lookup' END AS name FROM conversations WHERE role = 'user'),
-calls AS (SELECT DISTINCT ON (conv, call) * FROM c0 ORDER BY conv, call, name, query),
+calls AS (SELECT *, count(*) OVER (PARTITION BY conv, call) AS alike FROM (SELECT DISTINCT * FROM c0)),
+idents AS (SELECT DISTINCT conv, call, after FROM calls),
 answers AS (SELECT conv_id AS conv, 'call_' || (turn - 1) AS call, count(DISTINCT text) AS n_results, min(text) AS content FROM conversations WHERE role = 'assistant' GROUP BY 1, 2),
-steps AS (SELECT conv, call, 0 AS step FROM calls a WHERE NOT EXISTS (SELECT 1 FROM calls b WHERE b.conv = a.conv AND b.call = a.after)
- UNION ALL SELECT c.conv, c.call, s.step + 1 FROM calls c JOIN steps s ON s.conv = c.conv AND s.call = c.after)
+steps AS (SELECT conv, call, 0 AS step FROM idents a WHERE NOT EXISTS (SELECT 1 FROM idents b WHERE b.conv IS NOT DISTINCT FROM a.conv AND b.call = a.after)
+ UNION ALL SELECT c.conv, c.call, s.step + 1 FROM idents c JOIN steps s ON s.conv IS NOT DISTINCT FROM c.conv AND s.call = c.after)
 SELECT c.conv AS conv_id, c.call AS call_id, s.step::bigint AS step, c.name AS name, coalesce(n_results, 0)::bigint AS n_results,
- CASE WHEN c.name = 'lookup' AND NOT coalesce(n % 5 > 0, false) THEN 'missing exact' WHEN n_results IS NULL THEN 'no result' END AS problem,
+ CASE WHEN alike > 1 THEN 'clash' WHEN c.name = 'lookup' AND NOT coalesce(n % 5 > 0, false) THEN 'missing exact' WHEN n_results IS NULL THEN 'no result' END AS problem,
  '{"arguments":{' || CASE WHEN c.name = 'search' THEN '"limit":' || n || ',' WHEN n % 5 > 0 THEN '"exact":true,' ELSE '' END || '"query":' || to_json(query)::varchar
  || '},"id":' || to_json(c.call)::varchar || ',"name":' || to_json(c.name)::varchar || ',"result":' || coalesce(to_json(content)::varchar, 'null') || '}' AS line
-FROM calls c JOIN steps s ON s.conv = c.conv AND s.call = c.call LEFT JOIN answers a ON a.conv = c.conv AND a.call = c.call"""
+FROM calls c JOIN steps s ON s.conv IS NOT DISTINCT FROM c.conv AND s.call IS NOT DISTINCT FROM c.call LEFT JOIN answers a ON a.conv IS NOT DISTINCT FROM c.conv AND a.call = c.call"""

@@ -61,12 +61,33 @@ def test_calls(spark):
     assert len(got) == 9
     assert [got[1, c].step for c in "abcd"] == [0, 1, 2, 3] and got[2, "p"].step is None and got[3, "k"].step == 0
     assert {k: r.problem for k, r in got.items()} == {
-        (1, "a"): "surplus z", (1, "b"): "missing y", (1, "c"): "arguments", (1, "d"): "unknown tool", (2, "p"): "cycle", (2, "q"): "cycle",
+        (1, "a"): "not integer x", (1, "b"): "missing y", (1, "c"): "arguments", (1, "d"): "unknown tool", (2, "p"): "cycle", (2, "q"): "cycle",
         (3, "k"): "not integer y", (3, "m"): None, (4, "n"): "arguments"}
     assert got[3, "m"].line == '{"arguments":{"x":3,"y":4},"id":"m","name":"add","result":"6"}' and got[3, "m"].n_results == 2
     assert got[1, "a"].line.endswith('"result":"é\\n\\"3\\""}')
 
 
+def test_calls_have_types_and_clashes_are_told(spark):
+    schemas = spark.createDataFrame([("f", "q", "string", True), ("f", "n", "integer", False), ("f", "x", "number", False), ("f", "b", "boolean", False),
+                                     ("f", "o", "object", False), ("f", "l", "array", False)], "name string, param string, kind string, required boolean")
+    given = {
+        '{"q":"a","n":7,"x":1.50,"b":true}': (None, '{"b":true,"n":7,"q":"a","x":1.5}'), '{"query":5,"q":"a"}': ("surplus query", '{"q":"a","query":5}'),
+        '{"q":5}': ("not string q", '{"q":5}'), '{"q":"a","n":"7"}': ("not integer n", '{"n":"7","q":"a"}'), '{"q":"a","b":"true"}': ("not boolean b", '{"b":"true","q":"a"}'),
+        '{"q":{"b":1,"a":2}}': ("not string q", '{"q":{"a":2,"b":1}}'), '{"q":"a","q":"b"}': ("arguments", "{}"), "[1]": ("arguments", "{}"), None: ("arguments", "{}"),
+        '{"q":"a","o":{"z":{"y":1,"x":[{"d":1,"c":2}]}},"l":[]}': (None, '{"l":[],"o":{"z":{"x":[{"c":2,"d":1}],"y":1}},"q":"a"}'),
+        '{"q":null}': ("missing q", '{"q":null}'), ' { "q" : "é\\n" } ': (None, '{"q":"é\\n"}'), '{"q":"a","n":1.5}': ("not integer n", '{"n":1.5,"q":"a"}')}
+    calls = spark.createDataFrame([(1, f"c{i:02}", None, "f", a, "x") for i, a in enumerate(given)], "conv long, call string, after string, name string, arguments string, row string")
+    results = spark.createDataFrame([(1, f"c{i:02}", "r") for i in range(len(given))], "conv long, call string, content string")
+    got = [(r.problem, r.line) for r in tc.link(calls, results, schemas).orderBy("call").collect()]
+    assert got == [(p, f'{{"arguments":{body},"id":"c{i:02}","name":"f","result":"r"}}') for i, (p, body) in enumerate(given.values())]
+    odd = spark.createDataFrame([(None, "a", None, "f", '{"q":"1"}'), (None, "b", "a", "f", '{"q":"1"}'), (1, None, None, "f", '{"q":"1"}'), (1, None, None, "f", '{"q":"1"}'),
+                                 (2, "a", None, "f", '{"q":"1"}'), (2, "a", None, "f", '{"q":"2"}'), (2, "b", "a", None, '{"q":"1"}')], "conv long, call string, after string, name string, arguments string")
+    answers = spark.createDataFrame([(None, "a", "r"), (None, "b", "r"), (1, None, "?"), (2, "a", "r")], "conv long, call string, content string")
+    rows = sorted((r.conv or 0, r.call or "", r.step, r.problem or "", r.n_results) for r in tc.link(odd, answers, schemas).collect())
+    assert rows == [(0, "a", 0, "", 1), (0, "b", 1, "", 1), (1, "", 0, "no result", 0), (2, "a", 0, "clash", 1), (2, "a", 0, "clash", 1), (2, "b", 1, "unknown tool", 0)]
+    assert tc.link(odd.limit(0), answers, schemas).collect() == []
+
+
 def test_pipeline(spark):
     """Stages on a small table: what goes, what stays, and that the pieces cover what stayed."""
     data = "/root/testdata/sf0.001"

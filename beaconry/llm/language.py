@@ -24,7 +24,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map, nested, unnested
+from beaconry.operators.cutoff import within_limit
+
+from .common import arrow_map, nested, stored, unnested
 
 UNKNOWN = "und"
 TRAIN_DOCS, TRAIN_WORDS, ALL_WORDS = 200, 8000, 512_000
@@ -123,9 +125,11 @@ class Parser:
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, list[str]]:
     """Words of each language from rows with text and language; see the bounds above."""
     rows = labelled.select(F.col(lang_col).alias("l"), F.col(text_col).alias("t"), F.xxhash64(text_col).alias("h")).where("l is not null and t is not null")
-    keys = rows.select("l", "h").distinct()
+    keys = stored(rows.select("l", "h").distinct().withColumn("most", F.lit(TRAIN_DOCS)), "labelled")
     rank = F.row_number().over(Window.partitionBy("l").orderBy("h"))
-    last = keys.withColumn("r", rank).where(F.col("r") <= TRAIN_DOCS).groupBy("l").agg(F.max("h").alias("m")).collect()
+    # Hashes are counted in bands first, so that the window sees two samples of a language at most, however many rows it has.
+    near = within_limit(keys, ["l"], ["h"], "most")
+    last = near.withColumn("r", rank).where(F.col("r") <= TRAIN_DOCS).groupBy("l").agg(F.max("h").alias("m")).collect()
     if not last:
         return {}
     each = max(1, min(TRAIN_WORDS, ALL_WORDS // len(last)))

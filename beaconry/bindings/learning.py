@@ -90,28 +90,31 @@ _SQL_WIDE = """
 o AS (SELECT o_custkey AS user_id, COUNT(*) AS n_orders, SUM(CAST(o_totalprice AS DECIMAL(18,2)))::DOUBLE AS spent, MAX(o_totalprice) AS biggest,
   MAX(CAST(o_orderdate AS DATE)) AS last_order, COALESCE(MIN(o_orderpriority), 'NA') AS top_priority FROM orders GROUP BY 1),
 e AS (SELECT user_id, COUNT(*) AS n_events FROM events GROUP BY 1),
-w AS (SELECT c_custkey AS user_id, c_mktsegment, COALESCE(n_orders, 0) AS n_orders, COALESCE(spent, 0) AS spent, COALESCE(biggest, 0) AS biggest, last_order,
+w AS (SELECT c_custkey AS user_id, c_mktsegment, c_acctbal, COALESCE(n_orders, 0) AS n_orders, COALESCE(spent, 0) AS spent, COALESCE(biggest, 0) AS biggest, last_order,
   COALESCE(top_priority, 'NA') AS top_priority, COALESCE(n_events, 0) AS n_events FROM customer LEFT JOIN o ON c_custkey = o.user_id LEFT JOIN e ON c_custkey = e.user_id),
 seg AS (SELECT v, ROW_NUMBER() OVER (ORDER BY n DESC, v) - 1 AS i FROM (SELECT c_mktsegment AS v, COUNT(*) AS n FROM w GROUP BY 1)),
-pri AS (SELECT v, ROW_NUMBER() OVER (ORDER BY n DESC, v) AS i FROM (SELECT top_priority AS v, COUNT(*) AS n FROM w GROUP BY 1))
+pri AS (SELECT v, ROW_NUMBER() OVER (ORDER BY n DESC, v) AS i FROM (SELECT top_priority AS v, COUNT(*) AS n FROM w GROUP BY 1)),
+rk AS (SELECT c_acctbal AS v, ROW_NUMBER() OVER (ORDER BY c_acctbal) AS r, COUNT(*) OVER () AS n FROM w),
+lim AS (SELECT DISTINCT v FROM rk, (SELECT unnest(range(1, 10)) AS i) WHERE r = ceil(n * i / 10))
 """
 
 
 @query(f"""
 WITH {_SQL_WIDE}
 SELECT user_id, n_orders::DOUBLE AS n_orders, seg.i::DOUBLE AS segment, pri.i AS priority_flag, (SELECT COUNT(*) FROM pri) + 7 AS width,
-  round(spent / (SELECT stddev_samp(spent) FROM w), 6) AS scaled, CAST((n_events >= 1)::INT + (n_events >= 20)::INT + (n_events >= 60)::INT AS DOUBLE) AS bucket,
+  round(spent / (SELECT stddev_samp(spent) FROM w), 6) AS scaled,
+  (SELECT COUNT(*) FROM lim WHERE lim.v <= w.c_acctbal)::DOUBLE AS tenth, CAST((n_events >= 1)::INT + (n_events >= 20)::INT + (n_events >= 60)::INT AS DOUBLE) AS bucket,
   round(ln(1 + greatest(biggest, 0)), 6) AS logged, COALESCE(date_diff('day', DATE '2024-01-31', last_order), 0)::DOUBLE AS days
 FROM w JOIN seg ON seg.v = c_mktsegment JOIN pri ON pri.v = top_priority
 """)
 def feature_vector_slots(t: Tables) -> DataFrame:
-    """Every slot of the fitted vector but the quantile, whose limits are approximate; flags as the place of the one that is set."""
+    """Every slot of the fitted vector; flags as the place of the one that is set."""
     vector = F.col(features.FEATURES)
     back = lambda n: F.element_at(vector, -n)
     flags = F.slice(vector, F.lit(3), F.size(vector) - 7)
     return feature_vectors_fitted(t).select(
         "user_id", F.get(vector, 0).alias("n_orders"), F.get(vector, 1).alias("segment"), F.array_position(flags, 1.0).alias("priority_flag"),
-        F.size(vector).cast("bigint").alias("width"), F.round(back(5), 6).alias("scaled"), back(3).alias("bucket"), F.round(back(2), 6).alias("logged"), back(1).alias("days"))
+        F.size(vector).cast("bigint").alias("width"), F.round(back(5), 6).alias("scaled"), back(4).alias("tenth"), back(3).alias("bucket"), F.round(back(2), 6).alias("logged"), back(1).alias("days"))
 
 
 @query("SELECT c_custkey AS user_id, TRUE AS same FROM customer")

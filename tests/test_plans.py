@@ -230,7 +230,27 @@ def test_passes_do_not_grow_with_the_columns(spark):
 def test_too_many_texts_are_refused(spark):
     rows = spark.range(100).select(F.col("id").cast("string").alias("s"))
     with pytest.raises(ValueError, match="s have more than 50"):
-        features.fit_features(rows, features.FeatureMap(index=("s",)), "20240110", max_texts=50)
+        features.fit_features(rows, features.FeatureMap(onehot=("s",)), "20240110", max_flags=50)
+    numbers = features.fit_features(rows, features.FeatureMap(index=("s",)), "20240110", max_flags=50)
+    assert numbers.sizes == {"s": 100} and numbers.numbers.where("text = '7'").first().number == 67   # equal counts go by text
+
+
+def test_tenths_are_exact_and_new_texts_known(spark, tmp_path):
+    import random
+
+    rnd = random.Random(1)
+    values = [rnd.choice([None, float("nan"), 0.0, 1.5, rnd.gauss(0, 5)]) for _ in range(997)]
+    rows = spark.createDataFrame([(i, v, rnd.choice("aab"), 3.0) for i, v in enumerate(values)], "user_id int, q double, t string, s double")
+    which = features.FeatureMap(index=("t",), onehot=("t",), scale=("s",), quantile=("q",))
+    fitted = features.fit_features(rows, which, "20240110")
+    order = sorted(0.0 if v is None or v != v else v for v in values)
+    assert list(fitted.tenths["q"]) == sorted({order[-(-len(order) * i // 10) - 1] for i in range(1, 10)})
+    features.save_features(fitted, spark, str(tmp_path / "f"))
+    again = features.load_features(spark, str(tmp_path / "f"))
+    new = spark.createDataFrame([(1, -1e9, "b", 6.0), (2, 1e9, "zz", 0.0), (3, None, "a", 3.0)], "user_id int, q double, t string, s double")
+    for model in (fitted, again):
+        out = {r["user_id"]: r["features"] for r in features.transform_features(new, model).collect()}
+        assert out[1] == [1.0, 0.0, 1.0, 0.0, 0.0] and out[2] == [2.0, 0.0, 0.0, 0.0, float(len(fitted.tenths["q"]))] and out[3][:3] == [0.0, 1.0, 0.0]
 
 
 def test_feature_vector_order(spark):

@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 from beaconry.session import pin, scratch_path
 
-#: Rows that a function looks at together; documents may be long. Spark bounds the bytes of a batch.
+#: Rows that a function looks at together; documents may be long.
 BATCH_ROWS = 256
+#: Bytes of an Arrow batch where the session does not say otherwise: it stands in the memory of the JVM and of the Python worker.
+BATCH_BYTES = "8m"
+_BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -22,7 +25,11 @@ def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def arrow_map(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema) -> DataFrame:
-    """`mapInArrow` that hands `work` few rows at a time."""
+    """`mapInArrow` that hands `work` few rows at a time.
+
+    Plans read the byte limit when they run, so it is set for the session, but only if nobody has set it; row limits stay."""
+    if df.sparkSession.conf.get(_BATCH_LIMIT, None) is None:
+        df.sparkSession.conf.set(_BATCH_LIMIT, BATCH_BYTES)
     return df.mapInArrow(lambda batches: work(_sliced(batches)), schema)
 
 

@@ -64,6 +64,41 @@ def test_estimate_resists_a_third_of_outliers(spark):
         spark.createDataFrame(rows, "g string, v0 double, v1 double, v2 double, v3 double, v4 double")).collect()}
     assert np.abs(np.array(model["x"].center)).max() < 0.25 and model["x"].n == 2900
     assert model["y"].center == [1.0] * 5 and model["y"].n == 70
+    # Brute force: another step with sorted distances does not lower the determinant, nor do steps from the medians alone end lower.
+    data, floor = np.vstack([clean, bad]), np.diag(np.square(ol.FLOORS))
+
+    def step(center, cov):
+        d = np.einsum("ij,jk,ik->i", data - center, np.linalg.inv(cov), data - center)
+        half = data[np.argsort(d)[:len(data) // 2]]
+        return half.mean(0), np.cov(half.T, bias=True) + floor
+
+    r = model["x"]
+    found = np.reshape(r.cov, (5, 5))
+    assert abs(np.linalg.slogdet(found)[1] - r.logdet) < 1e-6
+    assert np.linalg.slogdet(step(np.array(r.center), found)[1])[1] > r.logdet - 0.03   # a bin of equal distances is taken whole
+    center, cov = np.median(data, 0), np.diag(np.square(1.4826 * np.median(np.abs(data - np.median(data, 0)), 0))) + floor
+    for _ in range(30):
+        center, cov = step(center, cov)
+    assert r.logdet < np.linalg.slogdet(cov)[1] + 0.05
+    d = np.einsum("ij,jk,ik->i", data - r.center, np.linalg.inv(found), data - r.center)
+    assert abs(np.median(d) / ol.MEDIAN - r.scale) < 0.01 * r.scale
+
+
+def test_small_groups_borrow_from_the_one_above(spark):
+    eye, cells = np.eye(5).ravel().tolist(), "g string, n long, center array<double>, cov array<double>, scale double"
+    model = spark.createDataFrame([("c", 5000, [0.0] * 5, eye, 1.0), ("b=en", 450, [1.0] * 5, eye, 2.0), ("a=en/=x", 50, [3.0] * 5, eye, 0.5)], cells)
+    parents = spark.createDataFrame([("c", "c", 0), ("b=en", "c", 1), ("a=en/=x", "b=en", 2)], "g string, parent string, level int")
+    (got,) = ol.pooled(model, parents).collect()
+
+    def mixed(n, center, cov, above):
+        a = n / (n + ol.POOL)
+        gap = np.array(center) - above[0]
+        return a * np.array(center) + (1 - a) * above[0], a * cov + (1 - a) * above[1] + a * (1 - a) * np.outer(gap, gap)
+
+    top = mixed(5000, [0.0] * 5, np.eye(5), (np.zeros(5), ol.PRIOR * np.eye(5)))
+    low = mixed(50, [3.0] * 5, np.eye(5), mixed(450, [1.0] * 5, 2 * np.eye(5), top))
+    assert got.g == "a=en/=x" and np.allclose(got.center, low[0]) and np.allclose(np.reshape(got.cov, (5, 5)), low[1])
+    assert np.allclose(np.reshape(got.inverse, (5, 5)) @ low[1], np.eye(5), atol=1e-6)
 
 
 def test_empty(spark):

@@ -144,9 +144,7 @@ def without_leaks(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc
 
 
 def leaks_sql() -> str:
-    """The template windows of items with an id in DuckDB SQL, with the windows themselves in place of their hashes.
-
-    It knows no windows of words as they stand and drops a whole alignment where one value is replaced by two."""
+    """The rule of `leaks` in DuckDB SQL, with the windows themselves in place of their hashes."""
     units, signs = ", ".join(f"'{u}'" for u in UNITS), ", ".join(f"'{u}'" for u in UNITS[:5])
     ends = "'.', '!', '?', ':', chr(10)"
 
@@ -156,22 +154,27 @@ def leaks_sql() -> str:
         unit = f"(lower(z[1]) IN ({signs}) OR (z[2] IS NOT NULL AND {before} BETWEEN '0' AND '9' AND lower(z[1]) IN ({units})))"
         name = f"(z[2] IS NOT NULL AND {before} NOT IN ({ends}) AND lower(substring(z[1], 1, 1)) <> substring(z[1], 1, 1))"
         return f"""SELECT key, list_filter(list_transform(list_zip(raw, list_concat([NULL], raw[:-2])), lambda z: {{'c': CASE WHEN {mark} THEN NULL WHEN {digit} THEN '{NUMBER}' WHEN {unit} THEN '{UNIT}'
- WHEN {name} THEN '{NAME}' ELSE lower(z[1]) END, 'v': CASE WHEN {digit} OR {unit} OR {name} THEN lower(z[1]) END}}), lambda w: w.c IS NOT NULL) AS t
- FROM (SELECT DISTINCT {key} AS key, regexp_extract_all(coalesce(text, ''), '{_TOKEN.replace(chr(92) + "n", chr(10))}') AS raw FROM {table})"""
+ WHEN {name} THEN '{NAME}' ELSE lower(z[1]) END, 'v': CASE WHEN {digit} OR {unit} OR {name} THEN lower(z[1]) END, 'low': lower(z[1])}}), lambda w: w.c IS NOT NULL) AS t
+ FROM (SELECT key, regexp_extract_all(coalesce(text, ''), '{_TOKEN.replace(chr(92) + "n", chr(10))}') AS raw FROM (SELECT DISTINCT {key} AS key, text FROM {table}))"""
 
     windows = f"unnest(range(1, greatest(len(t) - {WORDS - 2}, 2))) AS place"
+    lists = "list_transform(p, lambda w: w.c) AS c, list_transform(p, lambda w: w.low) AS low, list_transform(p, lambda w: w.v) AS v"
+    same_item = "IS NOT DISTINCT FROM"
     return f"""WITH q AS ({words("benchmark", "item_id")}), d AS MATERIALIZED (SELECT row_number() OVER () AS rid, key, t FROM ({words("documents", "doc_id")})),
-qw AS (SELECT key AS item, place, list_slice(t, place, place + {WORDS - 1}) AS p FROM (SELECT key, t, {windows} FROM q WHERE len(t) > 0)),
-qt AS (SELECT item, place, list_transform(p, lambda w: w.c) AS h, list_transform(p, lambda w: w.v) AS old FROM qw
- WHERE len(list_filter(p, lambda w: w.v IS NULL)) >= least({LITERALS}, len(p))),
-qc AS (SELECT item, count(DISTINCT place) AS n FROM qt GROUP BY item),
-qn AS (SELECT DISTINCT item, place, h, old, n FROM qt JOIN qc USING (item)),
-dw AS (SELECT rid, place AS spot, list_slice(t, place, place + {WORDS - 1}) AS p FROM (SELECT rid, t, {windows} FROM d WHERE len(t) > 0)),
-hits AS (SELECT DISTINCT rid, item, spot, place, n, old, new, spot - place AS shift
- FROM (SELECT rid, spot, list_transform(p, lambda w: w.c) AS h, list_transform(p, lambda w: w.v) AS new FROM dw) x JOIN qn USING (h)),
-slots AS (SELECT DISTINCT rid, item, shift, unnest(list_zip(old, new)) AS s FROM hits),
-vals AS (SELECT rid, item, shift, s[1] AS old, count(DISTINCT s[2]) AS c, max((s[1] <> s[2])::int) AS other FROM slots WHERE s[1] IS NOT NULL GROUP BY 1, 2, 3, 4),
-ok AS (SELECT rid, item, shift, max(c) AS c, sum(other) AS n_changed FROM vals GROUP BY 1, 2, 3)
-SELECT d.key AS doc_id, h.item AS item_id, count(DISTINCT place) AS n_windows, max(n) AS item_windows, coalesce(max(n_changed), 0)::bigint AS n_changed
-FROM hits h JOIN d ON d.rid = h.rid LEFT JOIN ok ON h.rid = ok.rid AND h.item = ok.item AND h.shift = ok.shift
-WHERE coalesce(c, 1) = 1 GROUP BY h.rid, d.key, h.item HAVING count(DISTINCT place) >= {SHARE} * max(n) OR count(DISTINCT place) >= {LONG}"""
+qw AS (SELECT DISTINCT item, place, {lists}, len(list_filter(p, lambda w: w.v IS NULL)) >= least({LITERALS}, len(p)) AS telling
+ FROM (SELECT key AS item, place, list_slice(t, place, place + {WORDS - 1}) AS p FROM (SELECT key, t, {windows} FROM q WHERE len(t) > 0))),
+qc AS (SELECT item, count(DISTINCT place) FILTER (WHERE telling) AS n, count(DISTINCT place) AS places FROM qw GROUP BY item),
+qn AS MATERIALIZED (SELECT qw.*, n, places FROM qw JOIN qc ON qw.item {same_item} qc.item),
+dw AS MATERIALIZED (SELECT rid, spot, {lists} FROM (SELECT rid, place AS spot, list_slice(t, place, place + {WORDS - 1}) AS p FROM (SELECT rid, t, {windows} FROM d WHERE len(t) > 0))),
+th AS MATERIALIZED (SELECT DISTINCT rid, item, place, n, places, dw.c AS kinds, qn.v AS old, dw.v AS new, spot - place AS shift FROM dw JOIN qn ON dw.c = qn.c WHERE telling),
+rh AS (SELECT DISTINCT rid, item, place, n, places FROM dw JOIN qn ON dw.low = qn.low),
+slots AS (SELECT DISTINCT rid, item, shift, unnest(list_zip(kinds, old, new)) AS s FROM th),
+vals AS (SELECT rid, item, shift, s[1] AS kind, s[2] AS old, count(DISTINCT s[3]) AS c, max((s[2] <> s[3])::int) AS other FROM slots WHERE s[2] IS NOT NULL GROUP BY 1, 2, 3, 4, 5),
+ok AS (SELECT rid, item, shift, sum(CASE WHEN c = 1 THEN other ELSE 0 END) AS n_changed, list(kind || old) FILTER (WHERE c > 1) AS torn FROM vals GROUP BY 1, 2, 3),
+kept AS (SELECT th.rid, th.item, place, n, places, n_changed, true AS by_kind FROM th LEFT JOIN ok ON th.rid = ok.rid AND th.item {same_item} ok.item AND th.shift = ok.shift
+ WHERE torn IS NULL OR NOT list_has_any(list_transform(list_filter(list_zip(kinds, old), lambda z: z[2] IS NOT NULL), lambda z: z[1] || z[2]), torn)),
+f AS (SELECT rid, item, count(DISTINCT place) FILTER (WHERE by_kind) AS here, max(n) AS n, count(DISTINCT place) AS there, max(places) AS places,
+ coalesce(max(n_changed), 0)::bigint AS n_changed FROM (SELECT * FROM kept UNION ALL SELECT rid, item, place, n, places, NULL, false FROM rh) GROUP BY 1, 2),
+g AS (SELECT *, here > 0 AND (here >= {SHARE} * n OR here >= {LONG}) AS by_template FROM f)
+SELECT d.key AS doc_id, item AS item_id, CASE WHEN by_template THEN here ELSE there END AS n_windows, CASE WHEN by_template THEN n ELSE places END AS item_windows, n_changed
+FROM g JOIN d ON g.rid = d.rid WHERE by_template OR there >= {SHARE} * places OR there >= {LONG}"""

@@ -1,3 +1,5 @@
+import duckdb
+
 import corpus_pipeline
 from beaconry.llm import decontamination as dc
 from beaconry.llm import tool_calls as tc
@@ -49,6 +51,23 @@ def test_verbatim_copies_whatever_they_consist_of(spark):
     assert sorted(r.doc_id for r in dc.without_leaks(docs, bench).collect()) == [5, 6]
 
 
+def test_sql_has_the_same_rule(spark):
+    """Names only, torn values, null items and ids, short questions, equal rows: rows of the query and of its SQL."""
+    sums, names = "12 + 7 = 19, 3 x 4 = 12, 8 - 5 = 3", "Ask Anna Berg, Carl Dorn, Eva Frey, Gerd Hahn or Ida Jung about Kurt Lang"
+    torn = "Put 40 here then " + " ".join(f"w{chr(97 + i)}x" for i in range(22)) + " and take 40 away at once"
+    bench = [(1, sums), (2, names), (3, QUESTION), (None, QUESTION), (4, torn), (5, "Short one"), (6, None), (7, "5 5 5 5 5 5"), (3, QUESTION), (8, "")]
+    docs = [(1, f"See: {sums}."), (2, names.lower()), (3, QUESTION.upper()), (4, torn.replace("40", "41", 1)), (4, torn.replace("40", "41")), (5, "short one"), (6, None),
+            (7, ""), (8, "5 5 5 5 5 5 5"), (None, QUESTION), (9, QUESTION.replace("60", "75").replace("Anna", "Bert")), (9, QUESTION.replace("60", "75").replace("Anna", "Bert")),
+            (10, "short one more"), (11, f"{QUESTION} {torn} {QUESTION.replace('2', '3')}"), (12, torn.replace("wax", "wbx"))]
+    got = dc.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")).drop("k1", "k2").collect()
+    con = duckdb.connect()
+    for name, key, rows in (("documents", "doc_id", docs), ("benchmark", "item_id", bench)):
+        con.execute(f"CREATE TABLE {name} ({key} BIGINT, text VARCHAR)")
+        con.executemany(f"INSERT INTO {name} VALUES (?, ?)", rows)
+    order = lambda rows: sorted(map(tuple, rows), key=repr)
+    assert order(got) == order(con.execute(dc.leaks_sql()).fetchall()) and len(got) > 10
+
+
 def test_calls(spark):
     calls = spark.createDataFrame([
         (1, "a", None, "add", '{"y": 2, "x": "1", "z": true}'), (1, "b", "a", "add", '{"x": 1}'), (1, "c", "b", "add", "broken"), (1, "d", "c", "none", "{}"),
